@@ -1,8 +1,9 @@
 """Isolation forest per company (Liu, Ting, Zhou 2008) as a Spark job.
 
-Growing needs at most ``SAMPLE`` rows per tree, which Spark picks by hash before any
-Python runs. Scoring splits a long company into blocks and hands the forest to each, so
-no Python group grows with the company. Trees live in heap order (children of node i are
+A tree needs at most ``SAMPLE`` rows. A company no longer than that (64 years of quarters)
+is one array row, grown and scored in one Arrow pass. For a longer one Spark picks the rows
+of each tree by hash before any Python runs, and scoring splits the company into blocks
+with the forest handed to each, so no Python group grows with the company. Trees live in heap order (children of node i are
 2i+1 and 2i+2), which lets numpy grow and walk all trees of a company at once.
 """
 
@@ -18,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarterwise.functions.series import whole
+from quarterwise.sources.durable import spread
 
 FEATURES = ("revenue", "expenses", "profit", "operating_cost")
 TREES = 100
@@ -101,18 +103,30 @@ def anomaly_score(points: np.ndarray, feature, threshold, size, sample_n: int) -
     return out
 
 
+def _forest(points: np.ndarray, tree: np.ndarray, sample_n: int, company: int):
+    rng = np.random.default_rng([SEED, company & (2**63 - 1)])
+    return grow(points, tree, depth_limit(sample_n), rng)
+
+
+def _score_short(company: pd.Series, points: pd.DataFrame) -> pd.Series:
+    """Scores of whole companies of at most SAMPLE rows: every row is in every tree."""
+    out = []
+    columns = [points[f] for f in FEATURES]
+    for i, key in enumerate(company):
+        values = np.column_stack([c.iloc[i] for c in columns]).astype(float)
+        n = len(values)
+        forest = _forest(np.tile(values, (TREES, 1)), np.repeat(np.arange(TREES), n), n, int(key))
+        out.append(anomaly_score(values, *forest, n))
+    return pd.Series(out)
+
+
 def _grow_company(rows: pd.DataFrame) -> pd.DataFrame:
-    """One forest row. Tree -1 marks rows of a short company: they are in every tree."""
+    """One forest row from the sampled rows of a long company."""
     rows = rows.sort_values(["tree", "date"])
-    points, tree = rows[list(FEATURES)].to_numpy(float), rows["tree"].to_numpy(np.int64)
-    sample_n = len(rows)
-    if tree[0] < 0:
-        points, tree = np.tile(points, (TREES, 1)), np.repeat(np.arange(TREES), sample_n)
-    else:
-        sample_n = int(np.bincount(tree, minlength=TREES).max())
+    tree = rows["tree"].to_numpy(np.int64)
+    sample_n = int(np.bincount(tree, minlength=TREES).max())
     company = int(rows["company_id"].iloc[0])
-    rng = np.random.default_rng([SEED, company & (2**63 - 1)])
-    feature, threshold, size = grow(points, tree, depth_limit(sample_n), rng)
+    feature, threshold, size = _forest(rows[list(FEATURES)].to_numpy(float), tree, sample_n, company)
     return pd.DataFrame(
         {
             "company_id": [company],
@@ -138,21 +152,19 @@ def _score_block(rows: pd.DataFrame, forest: pd.DataFrame) -> pd.DataFrame:
 
 
 def grow_forests(rows: DataFrame) -> DataFrame:
-    """One forest per company from at most SAMPLE rows per tree.
+    """One forest per long company from at most SAMPLE rows per tree.
 
-    A row of a long company enters a tree when its hash falls under twice the sampling
-    rate; the lowest SAMPLE hashes of the tree are then kept. So a company of any length
-    contributes about 2 * SAMPLE * TREES rows to the ranking.
+    A row enters a tree when its hash falls under twice the sampling rate; the lowest
+    SAMPLE hashes of the tree are then kept. So a company of any length contributes about
+    2 * SAMPLE * TREES rows to the ranking.
     """
-    key = F.struct("company_id", "date")
     admitted = F.filter(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
         lambda t: F.pmod(F.xxhash64(F.lit(SEED), t, "company_id", "date"), F.col("rows_n")) < 2 * SAMPLE,
     )
-    every = F.when(F.col("rows_n") <= SAMPLE, F.array(F.lit(-1))).otherwise(admitted)
-    draw = W.partitionBy("company_id", "tree").orderBy(F.xxhash64(F.lit(SEED + 1), "tree", key), "date")
+    draw = W.partitionBy("company_id", "tree").orderBy(F.xxhash64(F.lit(SEED + 1), "tree", "company_id", "date"), "date")
     sampled = (
-        rows.withColumn("tree", F.explode(every))
+        rows.withColumn("tree", F.explode(admitted))
         .withColumn("draw", F.row_number().over(draw))
         .where(F.col("draw") <= SAMPLE)
         .drop("draw")
@@ -160,25 +172,44 @@ def grow_forests(rows: DataFrame) -> DataFrame:
     return sampled.groupBy("company_id").applyInPandas(_grow_company, _FOREST_SCHEMA)
 
 
-def isolation_scores(records: DataFrame) -> DataFrame:
-    """Anomaly score of every row of the companies with enough rows."""
-    rows = (
-        records.select("company_id", "date", *FEATURES)
-        .dropna()
-        .withColumn("rows_n", F.count(F.lit(1)).over(whole()))
-        .where(F.col("rows_n") >= MIN_ROWS)
+def score_short(rows: DataFrame) -> DataFrame:
+    """Companies of at most SAMPLE rows: one array row each, grown and scored in one pass."""
+    points = F.sort_array(F.collect_list(F.struct("date", *FEATURES)))
+    whole_company = rows.groupBy("company_id").agg(points.alias("points"))
+    columns = F.struct(*[F.col(f"points.{f}").alias(f) for f in FEATURES])
+    score = F.pandas_udf(_score_short, "array<double>")(F.col("company_id"), columns)
+    return (
+        whole_company.withColumn("score", score)
+        .select("company_id", F.inline(F.arrays_zip("points", "score")))
+        .select("company_id", "points.date", "score", *[f"points.{f}" for f in FEATURES])
     )
+
+
+def score_long(rows: DataFrame) -> DataFrame:
+    """Longer companies: their rows in blocks, each block with its company's forest."""
     blocks = F.ceil(F.col("rows_n") / BLOCK_ROWS)
     forests = grow_forests(rows).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-    spread = rows.withColumn("block", F.pmod(F.xxhash64("date"), blocks))
+    blocked = rows.withColumn("block", F.pmod(F.xxhash64("date"), blocks))
     by = ["company_id", "block"]
     return (
-        spread.groupBy(*by)
-        .cogroup(forests.groupBy(*by))
+        spread(blocked, *by)
+        .groupBy(*by)
+        .cogroup(spread(forests, *by).groupBy(*by))
         .applyInPandas(_score_block, _SCORE_SCHEMA)
     )
 
 
+def isolation_scores(records: DataFrame) -> DataFrame:
+    """Anomaly score of every row of the companies with enough rows."""
+    rows = (
+        spread(records.select("company_id", "date", *FEATURES).dropna(), "company_id")
+        .withColumn("rows_n", F.count(F.lit(1)).over(whole()))
+        .where(F.col("rows_n") >= MIN_ROWS)
+    )
+    short = score_short(rows.where(F.col("rows_n") <= SAMPLE))
+    return short.unionByName(score_long(rows.where(F.col("rows_n") > SAMPLE)))
+
+
 def isolation_forest_anomalies(records: DataFrame) -> DataFrame:
     """The most isolated 8 % of a company's rows, named after their most unusual metric."""
     w = whole()

@@ -1,4 +1,4 @@
-"""Lineage cuts that survive the loss of executors."""
+"""How intermediate frames are laid out and kept."""
 
 from __future__ import annotations
 
@@ -21,3 +21,13 @@ def durable(df: DataFrame) -> DataFrame:
     """Write the frame once to the checkpoint folder and continue from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition for work that is heavy per row rather than per byte.
+
+    Adaptive execution would merge small partitions by their bytes and leave the work to a
+    few tasks; an explicit count keeps the configured parallelism.
+    """
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(count, *keys)
