@@ -38,6 +38,17 @@ def trailing_mean(col: str, rows: int, digits: int = 2) -> Column:
     return F.round(F.avg(col).over(ordered().rowsBetween(-(rows - 1), 0)), digits)
 
 
+def trailing_mean_of_rounded(col: str, rows: int, digits: int = 2, places: int = 4) -> Column:
+    """Trailing mean of values with few decimals, summed in DECIMAL.
+
+    Such means often end in a 5 exactly where they are rounded; a sum without rounding
+    error makes that step reproducible.
+    """
+    w = ordered().rowsBetween(-(rows - 1), 0)
+    total = F.sum(F.col(col).cast(f"decimal(28,{places})")).over(w).cast("double")
+    return F.round(total / F.nullif(F.count(col).over(w), F.lit(0)), digits)
+
+
 def fill_both_ways(col: str) -> Column:
     """Last known value, else the next known one, else 0."""
     w = ordered()

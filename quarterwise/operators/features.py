@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.functions.scalars import ratio
-from quarterwise.functions.series import growth, trailing_mean
+from quarterwise.functions.series import growth, trailing_mean, trailing_mean_of_rounded
 from quarterwise.operators.validation import clean_financial_records
 
 
@@ -41,8 +41,9 @@ def engineer_features(records: DataFrame) -> DataFrame:
 
 def add_rolling_metrics(features: DataFrame, window: int = 4) -> DataFrame:
     """Trailing means over up to ``window`` rows, from the first row on."""
-    metrics = ["revenue", "profit", "profit_margin"]
-    return features.withColumns({f"{m}_rolling_{window}q": trailing_mean(m, window) for m in metrics})
+    means = {m: trailing_mean(m, window) for m in ("revenue", "profit")}
+    means["profit_margin"] = trailing_mean_of_rounded("profit_margin", window)
+    return features.withColumns({f"{m}_rolling_{window}q": mean for m, mean in means.items()})
 
 
 def run_preprocessing(records: DataFrame) -> DataFrame:

@@ -2,17 +2,21 @@
 
 Values are standardised per series, so companies of any size share one model. Training
 runs in Spark ML; features, predictions and the recursive forecast are row-local
-projections. The panel is persisted once and read by every fit.
+projections. The panel is written once and read by every fit.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+import sys
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
+from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -21,7 +25,10 @@ from pyspark.sql import functions as F
 
 from quarterwise.operators.forecast.accuracy import add_error, no_errors, spread
 from quarterwise.operators.forecast.closed_form import model_struct
-from quarterwise.operators.forecast.series import FULL, HELD_OUT
+from quarterwise.sources.durable import durable
+
+# Executors need not have this package installed: its task functions travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LAGS = 4
 FEATURES = (
@@ -29,6 +36,8 @@ FEATURES = (
 )
 KEYS = ("company_id", "last_date", "target", "fold")
 SEED = 42
+PARALLEL_FITS = 4
+HUBER = 1.345
 
 
 def feature_columns(recent: Column, t: Column, n: Column, scale: Column) -> dict[str, Column]:
@@ -84,17 +93,17 @@ def training_rows(folds: DataFrame) -> DataFrame:
 
 @dataclass
 class Learner:
-    """A Spark ML regressor with its label; ``fit`` and ``predict`` work on any frame."""
+    """A Spark ML regressor, made once a session is there, and its label."""
 
     label: str
-    estimator: object
+    make: Callable[[], object]
     inputs: Sequence[str] = FEATURES
 
     def vectors(self, df: DataFrame) -> DataFrame:
         return VectorAssembler(inputCols=list(self.inputs), outputCol="features").transform(df)
 
     def fit(self, rows: DataFrame):
-        return self.estimator.setFeaturesCol("features").setLabelCol("label").fit(self.vectors(rows))
+        return self.make().fit(self.vectors(rows))
 
     def predict(self, model, rows: DataFrame) -> DataFrame:
         return model.transform(self.vectors(rows)).withColumnRenamed("prediction", "z_hat").drop("features")
@@ -102,49 +111,65 @@ class Learner:
 
 @dataclass
 class KernelLearner(Learner):
-    """Radial basis kernel by random Fourier features (Rahimi, Recht 2007), Huber loss.
+    """Radial basis kernel by random Fourier features (Rahimi, Recht 2007).
 
-    The projection is drawn from a fixed seed, so its size depends on the two parameters
-    below and not on the data.
+    Ridge regression by normal equations, one pass over the rows, then two passes with
+    Huber weights so that outliers pull less. The projection is drawn from a fixed seed, so its size depends on ``size`` and not on
+    the data. It is one matrix product per Arrow batch: written out as column expressions
+    it outgrows the method size that Spark compiles.
     """
 
     size: int = 48
-    weights: list = field(init=False)
+    reweightings: int = 2
 
-    def __post_init__(self):
-        rng = np.random.default_rng(SEED)
-        spread_of = math.sqrt(2.0 / len(self.inputs))
-        drawn = rng.normal(0.0, spread_of, (self.size, len(self.inputs)))
-        shift = rng.uniform(0.0, 2 * math.pi, self.size)
-        self.weights = [(row.tolist(), float(b)) for row, b in zip(drawn, shift, strict=True)]
+    def fit(self, rows: DataFrame):
+        model = self.make().fit(self.vectors(rows).withColumn("weight", F.lit(1.0)))
+        for _ in range(self.reweightings):
+            limit = HUBER * model.summary.rootMeanSquaredError
+            miss = F.greatest(F.abs(F.col("label") - F.col("z_hat")), F.lit(1e-12))
+            weighted = self.predict(model, rows).withColumn("weight", F.least(F.lit(limit) / miss, F.lit(1.0)))
+            model = self.make().fit(self.vectors(weighted))
+        return model
 
     def vectors(self, df: DataFrame) -> DataFrame:
-        unit = math.sqrt(2.0 / self.size)
+        waves = _fourier_features(len(self.inputs), self.size)
+        return df.withColumn("features", array_to_vector(waves(F.struct(*self.inputs))))
+
 
-        def wave(w: list, b: float) -> Column:
-            inner = reduce(lambda a, c: a + c, [F.col(f) * x for f, x in zip(self.inputs, w, strict=True)])
-            return F.cos(inner + b) * unit
+def _fourier_features(inputs: int, size: int):
+    rng = np.random.default_rng(SEED)
+    weights = rng.normal(0.0, math.sqrt(2.0 / inputs), (inputs, size))
+    shift = rng.uniform(0.0, 2 * math.pi, size)
 
-        return df.withColumn("features", array_to_vector(F.array(*[wave(w, b) for w, b in self.weights])))
+    def waves(x: pd.DataFrame) -> pd.Series:
+        return pd.Series(list(np.cos(x.to_numpy(float) @ weights + shift) * math.sqrt(2.0 / size)))
+
+    return F.pandas_udf(waves, "array<double>")
 
 
 def random_forest(trees: int = 200, depth: int = 4) -> Learner:
-    estimator = RandomForestRegressor(
-        numTrees=trees, maxDepth=depth, minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=SEED
-    )
-    return Learner(f"RandomForest(n={trees},depth={depth})", estimator)
+    def make():
+        return RandomForestRegressor(
+            numTrees=trees, maxDepth=depth, minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=SEED
+        )
+
+    return Learner(f"RandomForest(n={trees},depth={depth})", make)
 
 
 def gradient_boosting(rounds: int = 300, rate: float = 0.05) -> Learner:
-    estimator = GBTRegressor(
-        maxIter=rounds, maxDepth=3, stepSize=rate, subsamplingRate=0.8, minInstancesPerNode=2, seed=SEED
-    )
-    return Learner(f"GradientBoosting(n={rounds},lr={rate})", estimator)
+    def make():
+        return GBTRegressor(
+            maxIter=rounds, maxDepth=3, stepSize=rate, subsamplingRate=0.8, minInstancesPerNode=2, seed=SEED
+        )
+
+    return Learner(f"GradientBoosting(n={rounds},lr={rate})", make)
 
 
 def kernel_regression(size: int = 48) -> KernelLearner:
-    estimator = LinearRegression(loss="huber", regParam=0.01, maxIter=100)
-    return KernelLearner(f"KernelRegression(RBF,features={size})", estimator, size=size)
+    def make():
+        return LinearRegression(solver="normal", regParam=0.01, weightCol="weight")
+
+    return KernelLearner(f"KernelRegression(RBF,features={size})", make, size=size)
 
 
 LEARNERS: dict[str, Learner] = {
@@ -157,18 +182,23 @@ LEARNERS: dict[str, Learner] = {
 def recursive_forecast(learner: Learner, model, folds: DataFrame, horizon: int) -> DataFrame:
     """Each prediction becomes the newest of the four values the next one sees.
 
-    All series advance together, one projection per step: no shuffle, no loop over series.
+    All series advance together: no shuffle, no loop over series. The generator of each step
+    materialises the new state; as a plain projection it would be inlined into the next
+    step, several times over, and the predictions with it.
     """
-    state = folds.select(*KEYS, "n", "center", "scale", F.slice("zs", -LAGS, LAGS).alias("recent")).withColumn(
+    carried = (*KEYS, "n", "center", "scale")
+    state = folds.select(*carried, F.slice("zs", -LAGS, LAGS).alias("recent")).withColumn(
         "path", F.array().cast("array<double>")
     )
     for step in range(horizon):
         features = feature_columns(F.col("recent"), F.col("n") + step, F.col("n"), F.col("scale"))
         ahead = learner.predict(model, state.withColumns(features))
-        z = F.array("z_hat")
-        state = ahead.withColumns(
-            {"recent": F.concat(F.slice("recent", 2, LAGS - 1), z), "path": F.concat("path", z)}
-        ).drop("z_hat", *FEATURES)
+        newest = F.array("z_hat")
+        moved = F.struct(
+            F.concat(F.slice("recent", 2, LAGS - 1), newest).alias("recent"),
+            F.concat("path", newest).alias("path"),
+        )
+        state = ahead.select(*carried, F.inline(F.array(moved)))
     in_units = F.transform("path", lambda z: z * F.col("scale") + F.col("center"))
     return state.select(*KEYS, in_units.alias("forecast"))
 
@@ -190,32 +220,38 @@ def add_learner_models(
 ) -> DataFrame:
     """Model-layout rows of the pooled learners.
 
-    Rows are sorted inside their hash partition before they are cached, so a fit with a
-    fixed seed sees them in the same order every time.
+    Both frames are written to the checkpoint folder once: a fit runs many small jobs, and
+    each would otherwise ship the whole upstream plan to its tasks. The training rows are
+    repartitioned without a count: adaptive execution sizes the partitions by bytes, which
+    is what the many passes of a fit want. They are sorted inside their partition, so a fit
+    with a fixed seed sees them in the same order every time.
     """
-    staged = standardised_folds(folds).persist()
-    rows = training_rows(staged).sortWithinPartitions("company_id", "target", "fold", "t").persist()
-    targets = [r["target"] for r in staged.select("target").distinct().collect()]
-    parts = []
-    for target in sorted(targets):
-        for fold in (FULL, HELD_OUT):
-            here = (F.col("target") == target) & (F.col("fold") == fold)
-            train = rows.where(here)
-            if train.isEmpty():
-                continue
-            own = staged.where(here)
-            for name, learner in learners.items():
-                model = learner.fit(train)
-                joined = (
-                    own.select(*KEYS, "actual")
-                    .join(recursive_forecast(learner, model, own, horizon), list(KEYS))
-                    .join(in_sample(learner, model, train, fitted), list(KEYS))
-                )
-                s = F.col("sums")
-                warm_up = F.array_repeat(F.lit(None).cast("double"), LAGS)
-                path = F.concat(warm_up, F.col("path.fitted")) if fitted else None
-                result = model_struct(
-                    name, positions[name], learner.label, F.col("forecast"), spread(s["e"], s["sq"], s["n"]), s, path
-                )
-                parts.append(joined.select(*KEYS, "actual", F.inline(F.array(result))))
+    staged = durable(standardised_folds(folds))
+    rows = durable(
+        training_rows(staged).repartition("company_id").sortWithinPartitions("company_id", "target", "fold", "t")
+    )
+    present = sorted({(r["target"], r["fold"]) for r in staged.select("target", "fold").distinct().collect()})
+
+    def results(job: tuple) -> DataFrame:
+        (target, fold), name = job
+        learner = learners[name]
+        here = (F.col("target") == target) & (F.col("fold") == fold)
+        train, own = rows.where(here), staged.where(here)
+        model = learner.fit(train)
+        joined = (
+            own.select(*KEYS, "actual")
+            .join(recursive_forecast(learner, model, own, horizon), list(KEYS))
+            .join(in_sample(learner, model, train, fitted), list(KEYS))
+        )
+        s = F.col("sums")
+        warm_up = F.array_repeat(F.lit(None).cast("double"), LAGS)
+        path = F.concat(warm_up, F.col("path.fitted")) if fitted else None
+        result = model_struct(
+            name, positions[name], learner.label, F.col("forecast"), spread(s["e"], s["sq"], s["n"]), s, path
+        )
+        return joined.select(*KEYS, "actual", F.inline(F.array(result)))
+
+    jobs = [(group, name) for name in learners for group in present]
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        parts = list(pool.map(inheritable_thread_target(folds.sparkSession)(results), jobs))
     return reduce(DataFrame.unionByName, parts)
