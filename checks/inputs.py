@@ -41,19 +41,20 @@ def filings(spark: SparkSession, d: str) -> DataFrame:
     """Every order line as a raw text filing: copies of keys, gaps, junk, negative balances."""
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
 
-    def text(name: str):
-        return F.col(name).cast("string")
+    def text(name: str, places: int = 4):
+        amount = F.col(name).cast("decimal(18,0)") / retail.UNITS
+        return amount.cast(f"decimal(18,{places})").cast("string")
 
     return retail.lines(spark, d).select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string").alias("record_id"),
-        text("company_id").alias("company_id"),
+        F.col("company_id").cast("string").alias("company_id"),
         F.date_format("date", "yyyy-MM-dd").alias("date"),
         F.when(flag == "R", None).when((flag == "N") & (status == "F"), "pending").otherwise(text("revenue")).alias("revenue"),
-        text("expenses").alias("expenses"),
+        text("expenses", 2).alias("expenses"),
         text("profit").alias("profit"),
         F.when(status == "F", text("operating_cost")).alias("operating_cost"),
-        F.when((flag == "A") & (status == "O"), "n/a").otherwise((-F.col("assets")).cast("string")).alias("assets"),
-        text("liabilities").alias("liabilities"),
+        F.when((flag == "A") & (status == "O"), "n/a").otherwise(F.concat(F.lit("-"), text("assets", 2))).alias("assets"),
+        text("liabilities", 2).alias("liabilities"),
     )
 
 

@@ -1,8 +1,9 @@
 """Company financials derived from an order-line schema.
 
 A supplier is a company, its region the sector, its nation the country; the lines it
-shipped in a quarter are its record of that quarter. Sums run in DECIMAL and are cast
-once, so they do not depend on the order of partial aggregates.
+shipped in a quarter are its record of that quarter. Money is counted in whole units of
+0.0001 (BIGINT), so sums are exact, do not depend on the order of partial aggregates, and
+stay in primitive arithmetic.
 """
 
 from __future__ import annotations
@@ -30,16 +31,22 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+UNITS = 10_000
+
+
+def _hundredths(col: str) -> Column:
+    return F.round(F.col(col) * 100).cast("bigint")
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with their money measures, one row per line, as exact decimals.
+    """Order lines with their money measures in units, one row per line.
 
     No broadcast hint: the part and order sides grow with the data, so Spark picks the
     join from their measured size and splits a hot key's partition at run time.
     """
-    quantity = F.col("l_quantity").cast("decimal(6,0)")
-    revenue = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
-    cost = quantity * F.col("p_retailprice").cast("decimal(10,2)")
-    total = F.col("o_totalprice").cast("decimal(12,2)")
+    revenue = _hundredths("l_extendedprice") * (100 - _hundredths("l_discount"))
+    cost = F.col("l_quantity").cast("bigint") * _hundredths("p_retailprice")
+    total = _hundredths("o_totalprice") * 100
     return (
         _table(spark, sf_dir, "lineitem")
         .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -52,13 +59,11 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_returnflag",
             "l_linestatus",
             revenue.alias("revenue"),
-            cost.alias("expenses"),
-            (revenue - cost).alias("profit"),
-            (cost * (F.lit("0.50").cast("decimal(3,2)") + F.col("l_tax").cast("decimal(4,2)"))).alias("operating_cost"),
+            (cost * 100).alias("expenses"),
+            (revenue - cost * 100).alias("profit"),
+            (cost * (50 + _hundredths("l_tax"))).alias("operating_cost"),
             total.alias("assets"),
-            F.when(F.col("o_orderstatus") != "F", total)
-            .otherwise(F.lit(0).cast("decimal(12,2)"))
-            .alias("liabilities"),
+            F.when(F.col("o_orderstatus") != "F", total).otherwise(F.lit(0)).alias("liabilities"),
         )
     )
 
@@ -67,7 +72,7 @@ def financial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per company and quarter; pre-aggregated before its only wide shuffle."""
 
     def total(name: str) -> Column:
-        return F.sum(name).cast("double").alias(name)
+        return (F.sum(name) / UNITS).alias(name)
 
     measures = ["revenue", "expenses", "profit", "operating_cost", "assets", "liabilities"]
     return lines(spark, sf_dir).groupBy("company_id", "date").agg(*[total(m) for m in measures])
