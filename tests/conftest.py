@@ -53,9 +53,9 @@ def series(records):
     def make(values):
         return records(
             [
-                row(c, quarter(k), revenue=float(v), expenses=0.6 * v, profit=0.4 * v, operating_cost=0.3 * v)
+                row(c, quarter(k), revenue=v, expenses=0.6 * v, profit=0.4 * v, operating_cost=0.3 * v)
                 for c, vs in values.items()
-                for k, v in enumerate(vs)
+                for k, v in enumerate(map(float, vs))
             ]
         )
 
