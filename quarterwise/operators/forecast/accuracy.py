@@ -1,73 +1,76 @@
-"""Forecast error measures, on columns and inside array folds."""
+"""Forecast error measures, on columns and inside array folds.
+
+The functions that return text build Spark SQL expressions. A fold has dozens of terms;
+as text it reaches the JVM in one call and is parsed there, instead of one call per term.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Z95 = 1.96
-ERROR_FIELDS = ("e", "abs", "sq", "pct", "n", "n_pct")
+NO_ERRORS = "0D AS e, 0D AS abs, 0D AS sq, 0D AS pct, 0D AS n, 0D AS n_pct"
 
 
-def percentage_error(actual: Column, predicted: Column) -> Column:
+def percentage_error(actual: str, predicted: str) -> str:
     """|a - p| / |a|, NULL where the actual value is 0."""
-    return F.abs((actual - predicted) / F.nullif(actual, F.lit(0.0)))
+    return f"abs(({actual} - {predicted}) / nullif({actual}, 0D))"
 
 
-def no_errors() -> list[Column]:
-    return [F.lit(0.0).alias(f) for f in ERROR_FIELDS]
+def add_error(acc: str, actual: str, fitted: str) -> str:
+    """Struct fields of the running sums after one more pair."""
+    miss = f"({actual} - {fitted})"
+    return (
+        f"{acc}.e + {miss} AS e, {acc}.abs + abs({miss}) AS abs, {acc}.sq + {miss} * {miss} AS sq, "
+        f"{acc}.pct + coalesce({percentage_error(actual, fitted)}, 0D) AS pct, "
+        f"{acc}.n + 1D AS n, {acc}.n_pct + if({actual} <> 0D, 1D, 0D) AS n_pct"
+    )
 
 
-def add_error(acc: Column, actual: Column, fitted: Column) -> list[Column]:
-    """Running sums after one more pair."""
-    miss = actual - fitted
-    return [
-        (acc["e"] + miss).alias("e"),
-        (acc["abs"] + F.abs(miss)).alias("abs"),
-        (acc["sq"] + miss * miss).alias("sq"),
-        (acc["pct"] + F.coalesce(percentage_error(actual, fitted), F.lit(0.0))).alias("pct"),
-        (acc["n"] + 1.0).alias("n"),
-        (acc["n_pct"] + F.when(actual != 0, 1.0).otherwise(0.0)).alias("n_pct"),
-    ]
+def error_sums(pairs: str) -> str:
+    """Sums over an array of structs (actual, fitted)."""
+    return f"aggregate({pairs}, struct({NO_ERRORS}), (acc, p) -> struct({add_error('acc', 'p.actual', 'p.fitted')}))"
 
 
-def error_sums(pairs: Column) -> Column:
-    """Sums over an array of (actual, fitted)."""
-    return F.aggregate(pairs, F.struct(*no_errors()), lambda acc, p: F.struct(*add_error(acc, p["actual"], p["fitted"])))
+def error_totals(actual: str, fitted: str) -> str:
+    """The same sums as an aggregate over rows."""
+    miss = f"({actual} - {fitted})"
+    return (
+        f"struct(sum({miss}) AS e, sum(abs({miss})) AS abs, sum({miss} * {miss}) AS sq, "
+        f"coalesce(sum({percentage_error(actual, fitted)}), 0D) AS pct, "
+        f"cast(count(1) AS double) AS n, cast(count_if({actual} <> 0D) AS double) AS n_pct)"
+    )
 
 
-def spread(total: Column, squares: Column, n: Column) -> Column:
+def spread(total: str, squares: str, n: str) -> str:
     """Population standard deviation from sums."""
-    mean = total / n
-    return F.sqrt(F.greatest(squares / n - mean * mean, F.lit(0.0)))
+    return f"sqrt(greatest({squares} / {n} - ({total} / {n}) * ({total} / {n}), 0D))"
 
 
-def metric_fields(sums: Column) -> list[Column]:
+def metric_fields(sums: str) -> str:
     """mae, rmse and mape to 2 places; mape NULL when every actual value is 0."""
-    return [
-        F.round(sums["abs"] / sums["n"], 2).alias("mae"),
-        F.round(F.sqrt(sums["sq"] / sums["n"]), 2).alias("rmse"),
-        F.round(sums["pct"] / F.nullif(sums["n_pct"], F.lit(0.0)) * 100, 2).alias("mape"),
-    ]
+    return (
+        f"round({sums}.abs / {sums}.n, 2) AS mae, round(sqrt({sums}.sq / {sums}.n), 2) AS rmse, "
+        f"round({sums}.pct / nullif({sums}.n_pct, 0D) * 100, 2) AS mape"
+    )
 
 
-def band(forecast: Column, sigma: Column, side: int) -> Column:
-    """Lower (-1) or upper (+1) 95 % bound; the width grows with the root of the step."""
-    return F.transform(forecast, lambda f, i: f + side * Z95 * sigma * F.sqrt((i + 1).cast("double")))
+def band(forecast: str, sigma: str, side: str) -> str:
+    """Lower (-) or upper (+) 95 % bound; the width grows with the root of the step."""
+    return f"transform({forecast}, (f, i) -> f {side} 1.96D * {sigma} * sqrt(cast(i + 1 AS double)))"
 
 
-def held_out_mape(actual: Column, forecast: Column) -> Column:
+def held_out_mape(actual: str, forecast: str) -> str:
     """Unrounded mean percentage error of a forecast, NULL without usable actual values."""
-    errors = F.array_compact(F.zip_with(actual, forecast, percentage_error))
-    total = F.aggregate(errors, F.lit(0.0), lambda acc, e: acc + e)
-    return total / F.nullif(F.size(errors), F.lit(0)) * 100
+    errors = f"array_compact(zip_with({actual}, {forecast}, (a, p) -> {percentage_error('a', 'p')}))"
+    return f"aggregate({errors}, 0D, (acc, e) -> acc + e) / nullif(size({errors}), 0) * 100"
 
 
 def error_metrics(df: DataFrame, actual: str, predicted: str, *keys: str) -> DataFrame:
     """mae, rmse and mape per group of a long frame of pairs."""
-    a, p = F.col(actual), F.col(predicted)
+    miss = f"({actual} - {predicted})"
     return df.groupBy(*keys).agg(
-        F.round(F.avg(F.abs(a - p)), 2).alias("mae"),
-        F.round(F.sqrt(F.avg((a - p) * (a - p))), 2).alias("rmse"),
-        F.round(F.avg(percentage_error(a, p)) * 100, 2).alias("mape"),
+        F.expr(f"round(avg(abs({miss})), 2) AS mae"),
+        F.expr(f"round(sqrt(avg({miss} * {miss})), 2) AS rmse"),
+        F.expr(f"round(avg({percentage_error(actual, predicted)}) * 100, 2) AS mape"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarterwise.operators.forecast.closed_form import CLOSED_FORM
 from quarterwise.operators.forecast.learners import Learner, add_learner_models
-from quarterwise.operators.forecast.selection import MODEL_FIELDS, best_forecasts, per_series, with_ensemble
+from quarterwise.operators.forecast.selection import MODEL_FIELDS, best_forecasts, held_result, per_series, with_ensemble
 from quarterwise.operators.forecast.series import (
     FULL,
     HORIZON,
@@ -134,17 +134,15 @@ def fitted_and_forecast(
 
 def model_comparison(table: DataFrame) -> DataFrame:
     """All models of every series with in-sample and held-out error, the ensemble last."""
-    series = with_ensemble(per_series(table))
+    shown = ("model", "label", "forecast", "lower", "upper", "mape")
     row = "struct<model: string, label: string, forecast: array<double>, lower: array<double>, upper: array<double>, mape: double, wf_mape: double>"
-
-    def listed(m: Column) -> Column:
-        held = F.get(F.filter(F.col("held"), lambda h: h["model"] == m["model"]), 0)
-        return F.struct(m["model"], m["label"], m["forecast"], m["lower"], m["upper"], m["mape"], held["wf_mape"]).cast(row)
-
-    e = F.col("ensemble")
-    own = F.struct(F.lit("ensemble"), e["label"], e["forecast"], e["lower"], e["upper"], e["mape"], F.col("ensemble_wf_mape")).cast(row)
-    everything = F.concat(F.transform("full", listed), F.array_compact(F.array(F.when(e.isNotNull(), own))))
-    return series.select("company_id", "target", F.inline(everything))
+    listed = f"struct({', '.join(f'm.{f}' for f in shown)}, {held_result('m.model')}.wf_mape AS wf_mape)"
+    own = f"struct('ensemble' AS model, {', '.join(f'ensemble.{f}' for f in shown[1:])}, ensemble_wf_mape AS wf_mape)"
+    everything = (
+        f"concat(transform(full, m -> cast({listed} AS {row})), "
+        f"array_compact(array(CASE WHEN ensemble IS NOT NULL THEN cast({own} AS {row}) END)))"
+    )
+    return with_ensemble(per_series(table)).selectExpr("company_id", "target", f"inline({everything})")
 
 
 __all__ = [

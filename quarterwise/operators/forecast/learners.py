@@ -23,7 +23,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterwise.operators.forecast.accuracy import add_error, no_errors, spread
+from quarterwise.operators.forecast.accuracy import error_totals, spread
 from quarterwise.operators.forecast.closed_form import model_struct
 from quarterwise.sources.durable import durable
 
@@ -65,7 +65,7 @@ def standardised_folds(folds: DataFrame) -> DataFrame:
         lambda acc, y: F.struct((acc["s"] + y).alias("s"), (acc["q"] + y * y).alias("q")),
     )
     n = F.col("n").cast("double")
-    sigma = spread(F.col("sums.s"), F.col("sums.q"), n)
+    sigma = F.expr(spread("sums.s", "sums.q", "cast(n AS double)"))
     return (
         folds.withColumn("sums", sums)
         .withColumn("center", F.col("sums.s") / n)
@@ -205,14 +205,10 @@ def recursive_forecast(learner: Learner, model, folds: DataFrame, horizon: int)
 
 def in_sample(learner: Learner, model, rows: DataFrame, fitted: bool) -> DataFrame:
     """Error sums (and the fitted path) of every series."""
-    hat = F.col("z_hat") * F.col("scale") + F.col("center")
-    pairs = learner.predict(model, rows).select(*KEYS, "t", F.col("y").alias("actual"), hat.alias("fitted"))
-    zero = F.struct(*no_errors())
-    one = F.struct(*add_error(zero, F.col("actual"), F.col("fitted")))
-    scored = pairs.withColumn("one", one)
-    sums = F.struct(*[F.sum(f"one.{f}").alias(f) for f in ("e", "abs", "sq", "pct", "n", "n_pct")])
-    path = F.sort_array(F.collect_list(F.struct("t", "fitted"))).alias("path") if fitted else F.lit(None).cast("array<struct<t:int,fitted:double>>").alias("path")
-    return scored.groupBy(*KEYS).agg(sums.alias("sums"), path)
+    hat = F.expr("z_hat * scale + center AS fitted")
+    pairs = learner.predict(model, rows).select(*KEYS, "t", F.col("y").alias("actual"), hat)
+    path = "sort_array(collect_list(struct(t, fitted)))" if fitted else "cast(NULL AS array<struct<t:int,fitted:double>>)"
+    return pairs.groupBy(*KEYS).agg(F.expr(f"{error_totals('actual', 'fitted')} AS sums"), F.expr(f"{path} AS path"))
 
 
 def add_learner_models(
@@ -243,13 +239,10 @@ def add_learner_models(
             .join(recursive_forecast(learner, model, own, horizon), list(KEYS))
             .join(in_sample(learner, model, train, fitted), list(KEYS))
         )
-        s = F.col("sums")
-        warm_up = F.array_repeat(F.lit(None).cast("double"), LAGS)
-        path = F.concat(warm_up, F.col("path.fitted")) if fitted else None
-        result = model_struct(
-            name, positions[name], learner.label, F.col("forecast"), spread(s["e"], s["sq"], s["n"]), s, path
-        )
-        return joined.select(*KEYS, "actual", F.inline(F.array(result)))
+        path = f"concat(array_repeat(cast(NULL AS double), {LAGS}), path.fitted)" if fitted else None
+        sigma = spread("sums.e", "sums.sq", "sums.n")
+        result = model_struct(name, positions[name], learner.label, "forecast", sigma, "sums", path)
+        return joined.select(*KEYS, "actual", F.expr(f"inline(array({result}))"))
 
     jobs = [(group, name) for name in learners for group in present]
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:

@@ -6,7 +6,7 @@ horizon; a group is at most twice the number of models.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.operators.forecast.accuracy import held_out_mape
@@ -20,73 +20,70 @@ NO_SCORE = 9999.0
 
 def with_held_out_error(models: DataFrame) -> DataFrame:
     """Adds ``wf_mape``: the error on the held-out rows, NULL on the full fold."""
-    return models.withColumn("wf_mape", held_out_mape(F.col("actual"), F.col("forecast")))
+    return models.withColumn("wf_mape", F.expr(held_out_mape("actual", "forecast")))
 
 
 def per_series(models: DataFrame) -> DataFrame:
     """One row per series: the full and the held-out results as arrays in model order."""
-    result = F.struct(*MODEL_FIELDS, "actual", "wf_mape")
 
-    def of(fold: str) -> Column:
-        return F.sort_array(F.collect_list(F.when(F.col("fold") == fold, result)))
+    def of(fold: str, name: str):
+        result = f"struct({', '.join(MODEL_FIELDS)}, actual, wf_mape)"
+        return F.expr(f"sort_array(collect_list(CASE WHEN fold = '{fold}' THEN {result} END)) AS {name}")
 
     return (
         with_held_out_error(models)
         .groupBy("company_id", "target")
-        .agg(F.max("last_date").alias("last_date"), of(FULL).alias("full"), of(HELD_OUT).alias("held"))
+        .agg(F.max("last_date").alias("last_date"), of(FULL, "full"), of(HELD_OUT, "held"))
     )
 
 
-def _sum_over(models: Column, term) -> Column:
-    return F.aggregate(models, F.lit(0.0), lambda acc, m: acc + term(m))
+def held_result(model: str) -> str:
+    """The held-out result of a model, NULL if there is none."""
+    return f"get(filter(held, h -> h.model = {model}), 0)"
 
 
-def _combined(models: Column, field: str, weight) -> Column:
-    """Weighted sum over the models, step by step."""
-    steps = F.sequence(F.lit(0), F.size(F.get(models, 0)["forecast"]) - 1)
-    return F.transform(steps, lambda k: _sum_over(models, lambda m: weight(m) * F.get(m[field], k)))
+def _combined(models: str, field: str, weight: str) -> str:
+    """Weighted sum over the models, step by step; ``weight`` is an expression in m."""
+    steps = f"sequence(0, size(get({models}, 0).forecast) - 1)"
+    return f"transform({steps}, k -> aggregate({models}, 0D, (acc, m) -> acc + {weight} * get(m.{field}, k)))"
 
 
-def ensemble(models: Column) -> Column:
-    """Average weighted by 1 / mape; without a usable mape, the plain mean +- 8 %."""
-    valid = F.filter(models, lambda m: m["mape"].isNotNull() & (m["mape"] > 0))
-    total = _sum_over(valid, lambda m: 1.0 / m["mape"])
+def _valid(results: str) -> str:
+    """The results whose mape can serve as a weight, each with that weight."""
+    return f"filter({results}, m -> m.mape > 0D)"
 
-    def weight(m: Column) -> Column:
-        return (1.0 / m["mape"]) / total
 
-    listed = F.array_join(
-        F.transform(valid, lambda m: F.concat(m["model"], F.lit(":"), F.round(weight(m), 2).cast("decimal(4,2)").cast("string"))), " | "
-    )
-    closest = F.array_min(F.transform(valid, lambda m: F.struct(m["mape"], m["position"], m["fitted"].alias("fitted"))))
-    weighted = F.struct(
-        F.concat(F.lit("Ensemble("), listed, F.lit(")")).alias("label"),
-        _combined(valid, "forecast", weight).alias("forecast"),
-        _combined(valid, "lower", weight).alias("lower"),
-        _combined(valid, "upper", weight).alias("upper"),
-        (_sum_over(valid, lambda m: m["mape"]) / F.size(valid)).alias("mape"),
-        closest["fitted"].alias("fitted"),
+def _ensemble(valid: str, results: str) -> str:
+    """Average weighted by 1 / mape; without a usable mape, the plain mean +- 8 %."""
+    total = f"aggregate({valid}, 0D, (t, v) -> t + 1D / v.mape)"
+    weight = f"((1D / m.mape) / {total})"
+    label = f"array_join(transform({valid}, m -> concat(m.model, ':', cast(round({weight}, 2) AS decimal(4,2)))), ' | ')"
+    weighted = (
+        f"struct(concat('Ensemble(', {label}, ')') AS label, "
+        + "".join(f"{_combined(valid, f, weight)} AS {f}, " for f in ("forecast", "lower", "upper"))
+        + f"aggregate({valid}, 0D, (acc, m) -> acc + m.mape) / size({valid}) AS mape, "
+        f"array_min(transform({valid}, m -> struct(m.mape AS mape, m.position AS position, m.fitted AS fitted))).fitted AS fitted)"
     )
-    mean = _combined(models, "forecast", lambda m: F.lit(1.0) / F.size(models))
-    plain = F.struct(
-        F.lit("Ensemble(simple_avg)").alias("label"),
-        mean.alias("forecast"),
-        F.transform(mean, lambda f: f * (1 - SIMPLE_BAND)).alias("lower"),
-        F.transform(mean, lambda f: f * (1 + SIMPLE_BAND)).alias("upper"),
-        F.lit(None).cast("double").alias("mape"),
-        F.get(models, 0)["fitted"].alias("fitted"),
+    mean = _combined(results, "forecast", f"(1D / size({results}))")
+    plain = (
+        f"struct('Ensemble(simple_avg)' AS label, {mean} AS forecast, "
+        f"transform({mean}, f -> f * {1 - SIMPLE_BAND}D) AS lower, transform({mean}, f -> f * {1 + SIMPLE_BAND}D) AS upper, "
+        f"cast(NULL AS double) AS mape, get({results}, 0).fitted AS fitted)"
     )
-    return F.when(F.size(valid) > 0, weighted).otherwise(plain)
+    return f"CASE WHEN size({results}) < 2 THEN NULL WHEN size({valid}) > 0 THEN {weighted} ELSE {plain} END"
 
 
 def with_ensemble(series: DataFrame) -> DataFrame:
     """Adds ``ensemble`` (NULL with fewer than two models) and its held-out error."""
-    held_actual = F.get(F.col("held"), 0)["actual"]
-    return (
-        series.withColumn("ensemble", F.when(F.size("full") >= 2, ensemble(F.col("full"))))
-        .withColumn("held_ensemble", F.when(F.size("held") >= 2, ensemble(F.col("held"))["forecast"]))
-        .withColumn("ensemble_wf_mape", held_out_mape(held_actual, F.col("held_ensemble")))
+    out = series.withColumns({"full_valid": F.expr(_valid("full")), "held_valid": F.expr(_valid("held"))})
+    out = out.withColumns(
+        {
+            "ensemble": F.expr(_ensemble("full_valid", "full")),
+            "held_ensemble": F.expr(_ensemble("held_valid", "held")),
+        }
     )
+    error = held_out_mape("get(held, 0).actual", "held_ensemble.forecast")
+    return out.withColumn("ensemble_wf_mape", F.expr(error))
 
 
 def best_forecasts(models: DataFrame, fair: bool = False) -> DataFrame:
@@ -96,39 +93,23 @@ def best_forecasts(models: DataFrame, fair: bool = False) -> DataFrame:
     hold rows out takes its first model. The ensemble replaces the winner when its mape is
     more than 5 % better: its in-sample mape by default, its held-out one when ``fair``.
     """
-
-    def scored(m: Column) -> Column:
-        held = F.get(F.filter(F.col("held"), lambda h: h["model"] == m["model"]), 0)
-        return F.struct(
-            F.coalesce(held["wf_mape"], F.lit(NO_SCORE)).alias("score"),
-            m["position"].alias("position"),
-            held["wf_mape"].alias("wf_mape"),
-            m.alias("result"),
-        )
-
-    staged = with_ensemble(per_series(models)).withColumn("best", F.array_min(F.transform("full", scored)))
-    ens, best = F.col("ensemble"), F.col("best.result")
-    ens_error = F.col("ensemble_wf_mape") if fair else ens["mape"]
-    bar = F.when(F.col("best.wf_mape") == 0, NO_SCORE).otherwise(F.col("best.wf_mape")) * ENSEMBLE_EDGE
-    won = F.coalesce(ens_error < bar, F.lit(False))
-    chosen = staged.withColumn("ensemble_wins", won)
-    e = F.col("ensemble_wins")
-
-    def pick(field: str) -> Column:
-        return F.when(e, ens[field]).otherwise(best[field]).alias(field)
-
-    return chosen.select(
+    error = f"{held_result('m.model')}.wf_mape"
+    scored = f"struct(coalesce({error}, {NO_SCORE}D) AS score, m.position AS position, {error} AS wf_mape, m AS result)"
+    ensemble_error = "ensemble_wf_mape" if fair else "ensemble.mape"
+    bar = f"if(best.wf_mape = 0D, {NO_SCORE}D, best.wf_mape) * {ENSEMBLE_EDGE}D"
+    chosen = (
+        with_ensemble(per_series(models))
+        .withColumn("best", F.expr(f"array_min(transform(full, m -> {scored}))"))
+        .withColumn("won", F.expr(f"coalesce({ensemble_error} < {bar}, false)"))
+    )
+    picked = [f"if(won, ensemble.{f}, best.result.{f}) AS {f}" for f in ("label", "forecast", "lower", "upper", "mape", "fitted")]
+    single = [f"if(won, NULL, best.result.{f}) AS {f}" for f in ("mae", "rmse")]
+    return chosen.selectExpr(
         "company_id",
         "target",
         "last_date",
-        F.when(e, F.lit("ensemble")).otherwise(best["model"]).alias("model_name"),
-        F.col("best.wf_mape").alias("wf_mape"),
-        pick("label"),
-        pick("forecast"),
-        pick("lower"),
-        pick("upper"),
-        F.when(~e, best["mae"]).alias("mae"),
-        F.when(~e, best["rmse"]).alias("rmse"),
-        pick("mape"),
-        pick("fitted"),
+        "if(won, 'ensemble', best.result.model) AS model_name",
+        "best.wf_mape AS wf_mape",
+        *picked,
+        *single,
     )
