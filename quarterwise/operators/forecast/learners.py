@@ -20,7 +20,7 @@ from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.operators.forecast.accuracy import error_totals, spread
@@ -40,55 +40,41 @@ PARALLEL_FITS = 4
 HUBER = 1.345
 
 
-def feature_columns(recent: Column, t: Column, n: Column, scale: Column) -> dict[str, Column]:
-    """Features of the row at index ``t`` from the four values before it, oldest first."""
-    values = [F.get(recent, i) for i in range(LAGS)]
-    mean = reduce(lambda a, b: a + b, values) / LAGS
-    squares = reduce(lambda a, b: a + b, [(v - mean) * (v - mean) for v in values]) / LAGS
-    angle = F.lit(2 * math.pi) * (t % 4) / 4
-    lags = {f"lag{k}": values[LAGS - k] for k in range(1, LAGS + 1)}
-    return {
-        **lags,
-        "trail_mean": mean,
-        "trail_std": F.sqrt(squares) + 1e-9 / scale,
-        "season_sin": F.sin(angle),
-        "season_cos": F.cos(angle),
-        "time_index": t.cast("double") / n,
-    }
+def feature_columns(t: str) -> list[str]:
+    """Feature expressions of the row at index ``t``; ``recent`` holds the values before it."""
+    values = [f"recent[{i}]" for i in range(LAGS)]
+    mean = f"(({' + '.join(values)}) / {LAGS})"
+    squares = " + ".join(f"({v} - {mean}) * ({v} - {mean})" for v in values)
+    angle = f"({2 * math.pi!r}D * ({t} % 4) / 4)"
+    lags = [f"{values[LAGS - k]} AS lag{k}" for k in range(1, LAGS + 1)]
+    return [
+        *lags,
+        f"{mean} AS trail_mean",
+        f"sqrt(({squares}) / {LAGS}) + 1e-9D / scale AS trail_std",
+        f"sin({angle}) AS season_sin",
+        f"cos({angle}) AS season_cos",
+        f"cast({t} AS double) / n AS time_index",
+    ]
 
 
 def standardised_folds(folds: DataFrame) -> DataFrame:
     """Adds the training mean and std of each fold (1 for a constant series) and z values."""
-    sums = F.aggregate(
-        "ys",
-        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q")),
-        lambda acc, y: F.struct((acc["s"] + y).alias("s"), (acc["q"] + y * y).alias("q")),
-    )
-    n = F.col("n").cast("double")
-    sigma = F.expr(spread("sums.s", "sums.q", "cast(n AS double)"))
+    zero, added = "struct(0D AS s, 0D AS q)", "struct(acc.s + y AS s, acc.q + y * y AS q)"
+    sigma = spread("sums.s", "sums.q", "cast(n AS double)")
     return (
-        folds.withColumn("sums", sums)
-        .withColumn("center", F.col("sums.s") / n)
-        .withColumn("scale", F.coalesce(F.nullif(sigma, F.lit(0.0)), F.lit(1.0)))
-        .withColumn("zs", F.transform("ys", lambda y: (y - F.col("center")) / F.col("scale")))
-        .drop("sums")
+        folds.withColumn("sums", F.expr(f"aggregate(ys, {zero}, (acc, y) -> {added})"))
+        .selectExpr(*folds.columns, "sums.s / n AS center", f"coalesce(nullif({sigma}, 0D), 1D) AS scale")
+        .withColumn("zs", F.expr("transform(ys, y -> (y - center) / scale)"))
     )
 
 
 def training_rows(folds: DataFrame) -> DataFrame:
     """Long panel: one row per series, fold and index from the fifth value on."""
-    points = F.transform(
-        F.sequence(F.lit(LAGS), F.col("n") - 1),
-        lambda t: F.struct(
-            t.alias("t"),
-            F.slice("zs", t - (LAGS - 1), LAGS).alias("recent"),
-            F.get("zs", t).alias("label"),
-            F.get("ys", t).alias("y"),
-        ),
-    )
-    long = folds.select(*KEYS, "n", "center", "scale", F.inline(points))
-    features = feature_columns(F.col("recent"), F.col("t"), F.col("n"), F.col("scale"))
-    return long.withColumns(features).drop("recent")
+    point = f"struct(t AS t, slice(zs, t - {LAGS - 1}, {LAGS}) AS recent, zs[t] AS label, ys[t] AS y)"
+    points = f"inline(transform(sequence({LAGS}, n - 1), t -> {point}))"
+    kept = (*KEYS, "n", "center", "scale")
+    long = folds.selectExpr(*kept, points)
+    return long.selectExpr(*kept, "t", "label", "y", *feature_columns("t"))
 
 
 @dataclass
@@ -187,20 +173,12 @@ def recursive_forecast(learner: Learner, model, folds: DataFrame, horizon: int)
     step, several times over, and the predictions with it.
     """
     carried = (*KEYS, "n", "center", "scale")
-    state = folds.select(*carried, F.slice("zs", -LAGS, LAGS).alias("recent")).withColumn(
-        "path", F.array().cast("array<double>")
-    )
+    state = folds.selectExpr(*carried, f"slice(zs, -{LAGS}, {LAGS}) AS recent", "cast(array() AS array<double>) AS path")
+    moved = f"struct(concat(slice(recent, 2, {LAGS - 1}), array(z_hat)) AS recent, concat(path, array(z_hat)) AS path)"
     for step in range(horizon):
-        features = feature_columns(F.col("recent"), F.col("n") + step, F.col("n"), F.col("scale"))
-        ahead = learner.predict(model, state.withColumns(features))
-        newest = F.array("z_hat")
-        moved = F.struct(
-            F.concat(F.slice("recent", 2, LAGS - 1), newest).alias("recent"),
-            F.concat("path", newest).alias("path"),
-        )
-        state = ahead.select(*carried, F.inline(F.array(moved)))
-    in_units = F.transform("path", lambda z: z * F.col("scale") + F.col("center"))
-    return state.select(*KEYS, in_units.alias("forecast"))
+        ahead = learner.predict(model, state.selectExpr("*", *feature_columns(f"(n + {step})")))
+        state = ahead.selectExpr(*carried, f"inline(array({moved}))")
+    return state.selectExpr(*KEYS, "transform(path, z -> z * scale + center) AS forecast")
 
 
 def in_sample(learner: Learner, model, rows: DataFrame, fitted: bool) -> DataFrame:
