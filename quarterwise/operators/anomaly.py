@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterwise.functions.scalars import over_nonzero, severity
-from quarterwise.functions.series import whole
+from quarterwise.functions.scalars import over_nonzero
 from quarterwise.operators.isolation import isolation_forest_anomalies
 
 Z_METRICS = ("revenue", "expenses", "profit", "operating_cost")
@@ -26,44 +25,38 @@ DEBT_FLAG, DEBT_SEVERE = 0.70, 0.80
 METHODS = ("Z-Score", "IQR", "IsolationForest", "DebtRatioThreshold")
 
 
-def _flag(metric: str, value: Column, z: Column, level: Column, method: str) -> Column:
-    return F.struct(
-        F.lit(metric).alias("metric"),
-        value.alias("value"),
-        F.round(z, 3).alias("z_score"),
-        level.alias("severity"),
-        F.lit(method).alias("method"),
+def _flag(metric: str, value: str, z: str, level: str, method: str) -> str:
+    return (
+        f"struct('{metric}' AS metric, {value} AS value, round({z}, 3) AS z_score, "
+        f"{level} AS severity, '{method}' AS method)"
     )
 
 
-def _moments(metrics: Sequence[str]) -> dict[str, Column]:
-    w = whole()
-    out = {"rows_n": F.count(F.lit(1)).over(w)}
-    for m in metrics:
-        out[f"{m}_mean"] = F.avg(m).over(w)
-        out[f"{m}_std"] = F.stddev_pop(m).over(w)
-    return out
+def _level(score: str, severe_above: float) -> str:
+    return f"if({score} > {severe_above}D, 'SEVERE', 'WARNING')"
 
 
-def _quartiles(metrics: Sequence[str]) -> dict[str, Column]:
-    marks = F.array(F.lit(0.25), F.lit(0.75))
-    return {f"{m}_q": F.percentile(m, marks).over(whole()) for m in metrics}
+def _with_moments(records: DataFrame, metrics: Sequence[str], quartiles: Sequence[str] = ()) -> DataFrame:
+    """Row count, mean and std (and quartiles) of the company's metrics on every row."""
+    company = "OVER (PARTITION BY company_id)"
+    stats = [f"count(1) {company} AS rows_n"]
+    for m in metrics:
+        stats += [f"avg({m}) {company} AS {m}_mean", f"stddev_pop({m}) {company} AS {m}_std"]
+    stats += [f"percentile({m}, array(0.25D, 0.75D)) {company} AS {m}_q" for m in quartiles]
+    return records.selectExpr("*", *stats)
 
 
-def _z_flag(metric: str) -> Column:
-    z = over_nonzero(F.col(metric) - F.col(f"{metric}_mean"), f"{metric}_std")
-    hit = (F.col("rows_n") >= Z_MIN_ROWS) & (F.abs(z) > Z_FLAG)
-    value = F.round(metric, 2)
-    return F.when(hit, _flag(metric, value, z, severity(F.abs(z), Z_SEVERE), "Z-Score"))
+def _z_flag(m: str) -> str:
+    z = f"(({m} - {m}_mean) / nullif({m}_std, 0D))"
+    flag = _flag(m, f"round({m}, 2)", z, _level(f"abs({z})", Z_SEVERE), "Z-Score")
+    return f"CASE WHEN rows_n >= {Z_MIN_ROWS} AND abs({z}) > {Z_FLAG}D THEN {flag} END"
 
 
-def _iqr_flag(metric: str) -> Column:
-    v, q1, q3 = F.col(metric), F.col(f"{metric}_q")[0], F.col(f"{metric}_q")[1]
-    spread = q3 - q1
-    hit = (v < q1 - FENCE * spread) | (v > q3 + FENCE * spread)
-    unit = F.coalesce(F.nullif(F.col(f"{metric}_std"), F.lit(0.0)), F.lit(1.0))
-    z = (v - F.col(f"{metric}_mean")) / unit
-    return F.when(hit, _flag(metric, F.round(metric, 2), z, F.lit("WARNING"), "IQR"))
+def _iqr_flag(m: str) -> str:
+    reach = f"{FENCE}D * ({m}_q[1] - {m}_q[0])"
+    z = f"({m} - {m}_mean) / coalesce(nullif({m}_std, 0D), 1D)"
+    flag = _flag(m, f"round({m}, 2)", z, "'WARNING'", "IQR")
+    return f"CASE WHEN {m} < {m}_q[0] - {reach} OR {m} > {m}_q[1] + {reach} THEN {flag} END"
 
 
 def debt_statistics(records: DataFrame) -> DataFrame:
@@ -72,46 +65,44 @@ def debt_statistics(records: DataFrame) -> DataFrame:
     return records.agg(F.avg(debt).alias("mean"), F.stddev_samp(debt).alias("std"))
 
 
-def _debt_flag(records: DataFrame, threshold: float) -> Column:
-    debt = over_nonzero("liabilities", "assets")
+def _with_debt(staged: DataFrame, records: DataFrame) -> DataFrame:
+    """The row's debt ratio and the one-row statistics of all companies."""
     panel = debt_statistics(records).select(F.struct("mean", "std").alias("s")).scalar()
-    unit = F.coalesce(F.nullif(panel["std"], F.lit(0.0)), F.lit(1.0))
-    z = (debt - panel["mean"]) / unit
-    flag = _flag("debt_to_assets", F.round(debt, 4), z, severity(debt, DEBT_SEVERE), "DebtRatioThreshold")
-    return F.when(debt > threshold, flag)
+    return staged.withColumns({"debt": over_nonzero("liabilities", "assets"), "panel": panel})
 
 
-def _flag_rows(staged: DataFrame, *flags: Column) -> DataFrame:
-    return staged.select("company_id", "date", F.inline(F.array_compact(F.array(*flags))))
+def _debt_flag(threshold: float) -> str:
+    z = "(debt - panel.mean) / coalesce(nullif(panel.std, 0D), 1D)"
+    flag = _flag("debt_to_assets", "round(debt, 4)", z, _level("debt", DEBT_SEVERE), "DebtRatioThreshold")
+    return f"CASE WHEN debt > {threshold}D THEN {flag} END"
+
+
+def _flag_rows(staged: DataFrame, flags: Sequence[str]) -> DataFrame:
+    return staged.selectExpr("company_id", "date", f"inline(array_compact(array({', '.join(flags)})))")
 
 
 def zscore_anomalies(records: DataFrame, metrics: Sequence[str] = Z_METRICS) -> DataFrame:
     """Cells more than two population standard deviations off their company's mean."""
     metrics = [m for m in metrics if m in records.columns]
-    return _flag_rows(records.withColumns(_moments(metrics)), *[_z_flag(m) for m in metrics])
+    return _flag_rows(_with_moments(records, metrics), [_z_flag(m) for m in metrics])
 
 
 def iqr_anomalies(records: DataFrame, metrics: Sequence[str] = IQR_METRICS) -> DataFrame:
     """Cells outside the quartile fences of their company."""
     metrics = [m for m in metrics if m in records.columns]
-    staged = records.withColumns({**_moments(metrics), **_quartiles(metrics)})
-    return _flag_rows(staged, *[_iqr_flag(m) for m in metrics])
+    return _flag_rows(_with_moments(records, metrics, metrics), [_iqr_flag(m) for m in metrics])
 
 
 def debt_risk_flags(records: DataFrame, threshold: float = DEBT_FLAG) -> DataFrame:
     """Quarters with more debt than ``threshold`` of assets; z against all companies."""
-    return _flag_rows(records, _debt_flag(records, threshold))
+    return _flag_rows(_with_debt(records, records), [_debt_flag(threshold)])
 
 
 def rule_flags(records: DataFrame) -> DataFrame:
     """All rule-based flags from one pass and one exchange by company."""
-    staged = records.withColumns({**_moments(Z_METRICS), **_quartiles(IQR_METRICS)})
-    return _flag_rows(
-        staged,
-        *[_z_flag(m) for m in Z_METRICS],
-        *[_iqr_flag(m) for m in IQR_METRICS],
-        _debt_flag(records, DEBT_FLAG),
-    )
+    staged = _with_debt(_with_moments(records, Z_METRICS, IQR_METRICS), records)
+    flags = [*map(_z_flag, Z_METRICS), *map(_iqr_flag, IQR_METRICS), _debt_flag(DEBT_FLAG)]
+    return _flag_rows(staged, flags)
 
 
 def keep_most_severe(flags: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.operators.forecast.closed_form import CLOSED_FORM
-from quarterwise.operators.forecast.learners import Learner, add_learner_models
+from quarterwise.operators.forecast.learners import LEARNERS, Learner, add_learner_models
 from quarterwise.operators.forecast.selection import MODEL_FIELDS, best_forecasts, held_result, per_series, with_ensemble
 from quarterwise.operators.forecast.series import (
     FULL,
@@ -17,7 +17,7 @@ from quarterwise.operators.forecast.series import (
     training_series,
     with_folds,
 )
-from quarterwise.operators.forecast.learners import LEARNERS
+from quarterwise.sources.durable import durable
 
 DEFAULT_MODELS = ("arima", "random_forest", "gradient_boosting", "svr")
 DOCUMENTED_MODELS = ("seasonal", "polynomial", "holt")
@@ -34,7 +34,8 @@ def model_table(
     """One row per series, fold and model, in the model layout.
 
     Closed-form models are columns of the fold row until a generator splits them up.
-    Learners are fitted here (Spark jobs run) and joined in by union.
+    Learners are fitted here (Spark jobs run) and joined in by union; both then start from
+    a checkpoint, so the series are built once.
     """
     learners = LEARNERS if learners is None else learners
     unknown = [m for m in models if m not in CLOSED_FORM and m not in learners]
@@ -42,12 +43,14 @@ def model_table(
         raise ValueError(f"Unknown models: {unknown}. Available: {[*CLOSED_FORM, *learners]}")
     parts = []
     closed = [m for m in models if m in CLOSED_FORM]
+    pooled = {m: learners[m] for m in models if m in learners}
+    if closed and pooled:
+        folds = durable(folds)
     if closed:
         staged = folds
         for name in closed:
             staged = CLOSED_FORM[name](staged, horizon, models.index(name), fitted)
         parts.append(staged.select(*SERIES_FIELDS, F.inline(F.array(*closed))))
-    pooled = {m: learners[m] for m in models if m in learners}
     if pooled:
         positions = {m: models.index(m) for m in pooled}
         parts.append(add_learner_models(folds, horizon, pooled, positions, fitted))
