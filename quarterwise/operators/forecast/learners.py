@@ -111,7 +111,7 @@ class KernelLearner(Learner):
     def fit(self, rows: DataFrame):
         model = self.make().fit(self.vectors(rows).withColumn("weight", F.lit(1.0)))
         for _ in range(self.reweightings):
-            limit = HUBER * model.summary.rootMeanSquaredError
+            limit = max(HUBER * model.summary.rootMeanSquaredError, 1e-9)  # a perfect fit keeps its weights
             miss = F.greatest(F.abs(F.col("label") - F.col("z_hat")), F.lit(1e-12))
             weighted = self.predict(model, rows).withColumn("weight", F.least(F.lit(limit) / miss, F.lit(1.0)))
             model = self.make().fit(self.vectors(weighted))

@@ -170,6 +170,15 @@ def test_learners_beat_the_last_value_on_seasonal_series(series):
     assert full["lower"][3] < full["forecast"][3] < full["upper"][3]
 
 
+def test_learners_on_constant_and_short_series(series):
+    learned = {m: SMALL[m] for m in ("random_forest", "svr")}
+    table = engine.series_models(series({1: [50] * 9, 2: [80] * 8}), models=list(learned), learners=learned)
+    rows = table.where("target = 'revenue'").collect()
+    assert len(rows) == 4 and {r["fold"] for r in rows} == {"full"}
+    for r in rows:
+        assert np.allclose(r["forecast"], 50.0 if r["company_id"] == 1 else 80.0)
+
+
 def test_forest_is_reproducible(series):
     df = series({c: [10 * c + 5 * np.sin(t + c) for t in range(20)] for c in range(1, 7)})
     forest = {"random_forest": SMALL["random_forest"]}
