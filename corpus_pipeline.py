@@ -6,11 +6,18 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarterwise.llm import exact_dedup, mixing, near_dedup
+from quarterwise.llm import decontamination, exact_dedup, mixing, near_dedup, toxicity
 from quarterwise.llm.shared import shared_folder
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the score, learned from the labels of two thirds, does not reject."""
+    labels = toxicity.fold_of_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scores(docs, labels).where(F.col("score") < toxicity.REJECT).select("row.*")
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.without_copies(docs)
 
@@ -19,14 +26,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.without_near_copies(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with the words that the mix takes of each."""
     return mixing.mixed_documents(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_exact_copies),
     ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
 ]
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarterwise.llm import exact_dedup, mixing, near_dedup
+from quarterwise.llm import decontamination, exact_dedup, mixing, near_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op1_decontaminate")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold benchmark items, and how much of the most covered one."""
+    return decontamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 #: Size of a document in words, and its place in the stream of its source, as the operator has them.
 _MIX_SQL = r"""
 with d as (
@@ -66,6 +73,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copies(documents(spark, sf_dir))
 
 
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document; labels of the held-out third are not seen."""
+    labels = toxicity.fold_of_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.scores(documents(spark, sf_dir), labels)
+    doc_id = F.col("row.doc_id")
+    return scored.select(doc_id, toxicity.held_out(doc_id).alias("held_out"), "score", (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"), "hits")
+
+
 #: Links from counts of common shingles; components by growing reachable sets, small on documents without huge groups.
 _NEAR_SQL = r"""
 with recursive w as (
