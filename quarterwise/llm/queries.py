@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterwise.llm import decontamination, exact_dedup, mixing, near_dedup, toxicity
+from quarterwise.llm import decontamination, exact_dedup, language_id, language_model, mixing, near_dedup, toxicity
+from quarterwise.llm.columns import packed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,6 +74,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copies(documents(spark, sf_dir))
 
 
+@query("op6_language_model")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of each whole text; the held-out fifth is not learned from."""
+    docs = documents(spark, sf_dir)
+    rows = packed(docs.select("doc_id", "text")).select(F.struct("row.doc_id").alias("row"), "row.text")
+    training = docs.where(~toxicity.held_out(F.col("doc_id"), 5, 1)).select(F.xxhash64("doc_id").alias("place"), "text")
+    doc_id = F.col("row.doc_id")
+    return language_model.scores(rows, training).select(doc_id, toxicity.held_out(doc_id, 5, 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of each document; labels of the held-out third are not seen."""
@@ -108,3 +119,12 @@ select doc_id, n_shingles, min(other) as component_id, doc_id = min(other) as ke
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near copies of each document, on two-word shingles."""
     return near_dedup.near_copies(documents(spark, sf_dir), shingle=2)
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of each document; the held-out quarter is not learned from."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language_id.learn(docs.where(~toxicity.held_out(F.col("doc_id"), 4, 2)).select("text", "lang"))
+    doc_id = F.col("row.doc_id")
+    return language_id.identify(docs.drop("lang"), model).select(doc_id, toxicity.held_out(doc_id, 4, 2).alias("held_out"), "lang_pred", "score")
