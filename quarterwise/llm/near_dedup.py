@@ -4,13 +4,16 @@ A document's set of shingles gets two small collections, each of `KEYS` keys tha
 minhashes. The tables are all pairs of a key of the first and a key of the second collection:
 KEYS**2 tables of 2 * ROWS minhashes for 2 * KEYS * ROWS minhash computations instead of
 2 * KEYS**2 * ROWS. Two sets of similarity 0.8 share a bucket of some table with probability
-(1 - (1 - 0.8**ROWS)**KEYS)**2 > 0.9999. Keys of the second collection are read only for documents
+(1 - (1 - 0.8**ROWS)**KEYS)**2 > 0.9996. Keys of the second collection are read only for documents
 that share a key of the first with another one.
 
-Equal sets are one node. A bucket's nodes are compared on their full sets with one of them, the
-pivot; where a bucket then still joins several components, the remaining pairs across components
-are compared too, unless sizes or distances to the pivot (the Jaccard distance is a metric) rule a
-link out. So pairs are not emitted inside what is already linked, and no link is given up.
+One bit of every minhash makes a sketch. Nodes of a bucket whose sketches differ in more bits than six
+standard deviations above a link's mean (a chance of about one in a billion) are not compared.
+
+Equal sets are one node. A bucket's other nodes are compared on their full sets with one of them,
+its pivot. Where a bucket then still joins several components, nodes of different components are
+compared block by block. So pairs are not emitted inside what is already linked, and no link is
+given up.
 
 Defined results: A-Z are lower-cased. A null or empty text, or one of white space only, has no
 shingle and is alone. A text of fewer words than a shingle has one shingle of all its words. The
@@ -22,6 +25,7 @@ as linked. One document of a component is kept: that with the smallest id.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +40,11 @@ from quarterwise.llm.shared import bit_filter, cut, in_filter
 from quarterwise.llm.text import LOWER, distinct_per_text, longs, mixed, slices, windows, word_hashes, words
 
 #: Keys of a collection and minhashes of a key.
-KEYS, ROWS = 14, 3
+KEYS, ROWS = 22, 5
+#: Orders of nodes by which buckets choose their pivots, so that a large group has several.
+ORDERS = 2
+#: Nodes of a block where components are compared.
+BLOCK = 128
 #: Links need intersection >= PERCENT / 100 of the union.
 PERCENT = 80
 _FACTORS = np.random.default_rng(8).integers(1, 1 << 63, 2 * KEYS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -55,25 +63,35 @@ def _set_id(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
-def _keys(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """2 * KEYS keys for each text that has shingles."""
+def _keys(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """2 * KEYS keys for each text that has shingles, and four 64-bit words of bits."""
     starts = first[:-1][first[1:] > first[:-1]]
     out = np.zeros((len(starts), 2 * KEYS), np.uint64)
+    bits = np.zeros((len(starts), 256), bool)
     for k, factor in enumerate(_FACTORS):
-        least = np.minimum.reduceat(values * factor, starts) if len(starts) else np.zeros(0, np.uint64)
+        least = mixed(np.minimum.reduceat(values * factor, starts)) if len(starts) else np.zeros(0, np.uint64)
         out[:, k // ROWS] = mixed(out[:, k // ROWS] + least + np.uint64(k))
-    return out
+        bits[:, k] = least >> np.uint64(63) > 0
+    return out, np.packbits(bits, axis=1).view(np.int64)
+
+
+def _alike(x: str, y: str, percent: int) -> Column:
+    """Whether the sketches of two nodes allow a link."""
+    n, differ = 2 * KEYS * ROWS, (1 - percent / 100) / 2
+    most = math.floor(n * differ + 6.3 * math.sqrt(n * differ * (1 - differ)))
+    apart = " + ".join(f"bit_count({x}[{k}] ^ {y}[{k}])" for k in range(4))
+    return F.expr(f"{apart} <= {most}")
 
 
 def signatures(texts: DataFrame, shingle: int) -> DataFrame:
-    """(id, n_shingles, set_id, first, second) of (id, text); the last three are null without shingles."""
+    """(id, n_shingles, set_id, first, second, sketch) of (id, text); set_id is null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "text"):
             values, first = _sets(data, offsets, shingle)
             counts = np.diff(first)
             filled = np.flatnonzero(counts)
-            keys = _keys(values, first)
+            keys, bits = _keys(values, first)
             place = np.full(len(counts), -1)
             place[filled] = np.arange(len(filled))
             lists = [[], []]
@@ -84,12 +102,13 @@ def signatures(texts: DataFrame, shingle: int) -> DataFrame:
                 np.cumsum((counts > 0) * KEYS, out=bounds[1:])
                 lists[half] = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
             ids = [_set_id(values[a:b]) if b > a else None for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+            sketch = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum((counts > 0) * 4)]), pa.int32()), pa.array(bits.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(counts), pa.array(ids, pa.binary()), lists[0], lists[1]],
-                names=["id", "n_shingles", "set_id", "first", "second"],
+                [rows.column(0), pa.array(counts), pa.array(ids, pa.binary()), lists[0], lists[1], sketch],
+                names=["id", "n_shingles", "set_id", "first", "second", "sketch"],
             )
 
-    return texts.mapInArrow(run, "id bigint, n_shingles bigint, set_id binary, first array<bigint>, second array<int>")
+    return texts.mapInArrow(run, "id bigint, n_shingles bigint, set_id binary, first array<bigint>, second array<int>, sketch array<bigint>")
 
 
 def _node() -> Column:
@@ -171,10 +190,11 @@ def _linked(percent: int) -> Column:
 
 
 def links(texts: DataFrame, nodes: DataFrame, shingle: int, percent: int = PERCENT) -> DataFrame:
-    """Confirmed links (a, b) that connect all nodes connected by links that the tables propose."""
-    spots = cut(buckets(nodes))
-    pivots = spots.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node")).alias("pivot"), F.min_by("size", F.xxhash64("node")).alias("pivot_size"))
-    fits = 100 * F.least("size", "pivot_size") >= percent * F.greatest("size", "pivot_size")
+    """Confirmed links (a, b) that connect all nodes which linked pairs of the tables' buckets connect."""
+    spots = cut(buckets(nodes).join(nodes.select("node", "sketch"), "node"))
+    place = F.xxhash64("node", F.col("bucket") % ORDERS)
+    pivots = spots.groupBy("bucket").agg(F.min_by("node", place).alias("pivot"), F.min_by("size", place).alias("pivot_size"), F.min_by("sketch", place).alias("pivot_sketch"))
+    fits = (100 * F.least("size", "pivot_size") >= percent * F.greatest("size", "pivot_size")) & _alike("sketch", "pivot_sketch", percent)
     around = spots.join(pivots, "bucket").where("node <> pivot")
     low, high = F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
     stars = around.where(fits).select(low, high).distinct()
@@ -184,29 +204,82 @@ def links(texts: DataFrame, nodes: DataFrame, shingle: int, percent: int = PERCE
     first = cut(_compared(stars, bodies, shingle))
     found = first.where(_linked(percent)).select("a", "b")
 
-    # what the stars leave open: pairs across components, in a bucket, that no bound rules out
+    # what the stars leave open: buckets that still join several components
     reach = components(found)
-    placed = cut(spots.join(reach, "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("component")))
-    mixed_buckets = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-    measured = first.select("a", "b", (1 - F.col("common") / F.col("together")).alias("d"))
-    rest = placed.join(mixed_buckets, "bucket").join(pivots.select("bucket", "pivot"), "bucket")
-    rest = rest.withColumns({"p": F.least("node", "pivot"), "q": F.greatest("node", "pivot")})
-    rest = rest.join(measured, (rest["p"] == measured["a"]) & (rest["q"] == measured["b"]), "left").select("bucket", "node", "size", "component", "pivot", "d").where("node <> pivot")
-    # without a distance, sizes alone kept the node from its pivot: it is further than a link
-    reach_d = (100 - percent) / 100 + 1e-9
-    x, y = rest.alias("x"), rest.alias("y")
-    near = (F.coalesce(F.abs(F.col("x.d") - F.col("y.d")), F.lit(0.0)) <= reach_d) & (100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size"))
-    cross = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & near)
-    cross = cross.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = _compared(cut(cross), bodies, shingle).where(_linked(percent)).select("a", "b")
-    return found.unionByName(second)
+    placed = cut(spots.select("bucket", "node").join(reach, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")))
+    parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    open_nodes = placed.join(main.select("bucket", "main"), "bucket").select("main", "node", "component").distinct()
+    return found.unionByName(_block_links(cut(open_nodes), bodies, shingle, percent))
+
+
+def _block_links(members: DataFrame, bodies: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of different components, of members (main, node, component).
+
+    Around each main component, its own nodes and all others that meet it in a bucket form blocks of
+    about BLOCK nodes. Every block of others is compared with every other block; a row is a pair of blocks, never a pair of nodes,
+    and one link for each pair of components comes out of it.
+    """
+    other = (F.col("component") != F.col("main")).alias("other")
+    sides = members.select("main", "node", "component", other)
+    sizes = sides.groupBy("main", "other").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = sides.join(sizes, ["main", "other"]).withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")))
+    rows = dealt.join(bodies, "node").groupBy("main", "other", "block", "blocks").agg(F.collect_list(F.struct("node", "component", "body")).alias("nodes"))
+    rows = cut(rows)
+    left = rows.where("other").select("main", F.col("block").alias("i"), F.col("nodes").alias("x"))
+    right = rows.select("main", "other", F.col("block").alias("j"), F.col("nodes").alias("y"))
+    pairs = left.join(right, "main").where("not other or i <= j").select("x", "y").repartition(F.xxhash64("x"), F.xxhash64("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for k in range(batch.num_rows):
+                x, y = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+                raw = [unpack(n["body"]) for n in x + y]
+                offsets = np.zeros(len(raw) + 1, np.int64)
+                np.cumsum([len(r) for r in raw], out=offsets[1:])
+                values, first = _sets(np.frombuffer(b"".join(raw), np.uint8), offsets, shingle)
+                common = _intersections(values, first, len(x))
+                size = np.diff(first)
+                together = size[: len(x), None] + size[None, len(x) :] - common
+                cx, cy = np.array([n["component"] for n in x]), np.array([n["component"] for n in y])
+                hit = (100 * common >= percent * together) & (cx[:, None] != cy[None, :])
+                linked = {(cx[i], cy[j]): (x[i]["node"], y[j]["node"]) for i, j in np.argwhere(hit)}
+                found += linked.values()
+            ends = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+    return pairs.mapInArrow(run, "a bigint, b bigint")
+
+
+def _intersections(values: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """Sizes of the intersections of the first `n` sets with the rest."""
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    names, place = np.unique(values, return_inverse=True)
+    low, high = np.zeros(len(names), bool), np.zeros(len(names), bool)
+    low[place[owner < n]] = True
+    high[place[owner >= n]] = True
+    shared = low & high
+    number = np.cumsum(shared) - 1
+    keep = shared[place]
+    owner, column = owner[keep], number[place[keep]]
+    out = np.zeros((n, len(first) - 1 - n), np.int64)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for start in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(column, [start, start + 4096])
+        hits = np.zeros((len(first) - 1, 4096), np.float32)
+        hits[owner[a:b], column[a:b] - start] = 1
+        out += (hits[:n] @ hits[n:].T).astype(np.int64)
+    return out
 
 
 def _classes(texts: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Signatures of all documents, and (set_id, component_id, component_rows) of every set."""
     signed = cut(signatures(texts, shingle))
     filled = signed.where("set_id is not null")
-    nodes = filled.groupBy("set_id").agg(_node().alias("node"), F.min("id").alias("least_id"), F.max("n_shingles").alias("size"), F.first("first").alias("first"), F.first("second").alias("second"))
+    nodes = filled.groupBy("set_id").agg(_node().alias("node"), F.min("id").alias("least_id"), F.max("n_shingles").alias("size"), F.first("first").alias("first"), F.first("second").alias("second"), F.first("sketch").alias("sketch"))
     nodes = cut(nodes)
     same_id = filled.select("id", "set_id").where("id is not null").distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
     twice = filled.join(same_id, "id").select("id", "set_id").distinct().join(nodes.select("set_id", "node"), "set_id").select(F.col("id").alias("a"), F.col("node").alias("b"))
