@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterwise.llm import decontamination, exact_dedup, language_id, language_model, mixing, near_dedup, toxicity
+from quarterwise.llm import decontamination, exact_dedup, html_text, language_id, language_model, mixing, near_dedup, pii, secrets_scan, toxicity
 from quarterwise.llm.columns import packed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,30 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def _listed(spans: Column, kinds: tuple[str, ...]) -> Column:
+    """kind:start:end of the spans of these kinds, comma-joined."""
+    own = F.filter(spans, lambda s: s.kind.isin(*kinds))
+    return F.array_join(F.transform(own, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+
+@query("op3_personal_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of each document: base spans by pattern, further ones by learned contexts."""
+    found = pii.spans(documents(spark, sf_dir).select("doc_id", "text"), keep=["doc_id"]).select("row.doc_id", "spans")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    every = (*pii.KINDS, *(pii.FOUND + k for k in pii.KINDS))
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(_listed(F.col("spans"), pii.KINDS), 256).alias("base_sha256"), _listed(F.col("spans"), every).alias("spans"))
+
+
+@query("op4_secrets")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document: base spans by pattern, further ones by novelty."""
+    found = secrets_scan.spans(documents(spark, sf_dir).select("doc_id", "text")).select("row.doc_id", "spans")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    base = secrets_scan.KINDS[:3]
+    return found.select("doc_id", *[count(k) for k in base], F.sha2(_listed(F.col("spans"), base), 256).alias("base_sha256"), _listed(F.col("spans"), secrets_scan.KINDS).alias("spans"))
+
+
 _EXACT_SQL = """
 with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body from documents)
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id is not distinct from max(doc_id) over w as kept, sha256(body) as text_sha256
@@ -128,3 +152,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.learn(docs.where(~toxicity.held_out(F.col("doc_id"), 4, 2)).select("text", "lang"))
     doc_id = F.col("row.doc_id")
     return language_id.identify(docs.drop("lang"), model).select(doc_id, toxicity.held_out(doc_id, 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_main_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return html_text.main_text(pages).select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
