@@ -12,7 +12,7 @@ seeds themselves pairs them with items.
 
 Words are runs of letters and digits, lower-cased. Defined results: null and empty texts are clean.
 Items that are null or of fewer than `SEED` words match nothing. Equal items are one, named by the
-smallest id. Coverage depends on the text alone, so repeated rows, and rows without an id, are
+smallest id (null if they have none). Coverage depends on the text alone, so repeated rows, and rows without an id, are
 treated alike.
 """
 
@@ -197,17 +197,17 @@ def _tiled(pairs: DataFrame, seed: int) -> DataFrame:
 
 def tiled_pairs(texts: DataFrame, benchmark: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(id, stamp) of all texts (id, text), and the tiles of every pair (stamp, item) that shares a seed."""
-    items = cut(_items(benchmark, seed))
+    items = cut(_items(benchmark, seed).withColumn("key", F.monotonically_increasing_id()))
     seeds = items.select("words", F.explode("seeds").alias("seed")).distinct()
     found = cut(_runs(texts, bit_filter(seeds.select("seed").distinct(), F.col("seed")), seed))
     runs = found.where(F.size("runs") > 0).select("stamp", F.explode("runs").alias("run")).distinct().select("stamp", F.col("run.at").alias("at"), F.col("run.words").alias("run"))
     stretches = runs.withColumn("n", F.size("run"))
     # which items a stretch may belong to: its words' runs of SEED, joined as lists
     grams = stretches.select("stamp", "at", F.explode(F.expr(f"transform(sequence(1, n - {seed} + 1), i -> slice(run, i, {seed}))")).alias("gram"))
-    item_grams = items.select("item", F.explode(F.expr(f"transform(sequence(1, size(words) - {seed} + 1), i -> slice(words, i, {seed}))")).alias("gram")).distinct()
-    hits = grams.join(item_grams, "gram").select("stamp", "at", "item").distinct()
-    pairs = hits.join(stretches, ["stamp", "at"]).groupBy("stamp", "item").agg(F.collect_list(F.struct("at", F.col("run").alias("words"))).alias("runs"))
-    return found.select("id", "stamp"), _tiled(pairs.join(items.select("item", "words"), "item"), seed)
+    item_grams = items.select("key", F.explode(F.expr(f"transform(sequence(1, size(words) - {seed} + 1), i -> slice(words, i, {seed}))")).alias("gram")).distinct()
+    hits = grams.join(item_grams, "gram").select("stamp", "at", "key").distinct()
+    pairs = hits.join(stretches, ["stamp", "at"]).groupBy("stamp", "key").agg(F.collect_list(F.struct("at", F.col("run").alias("words"))).alias("runs"))
+    return found.select("id", "stamp"), _tiled(pairs.join(items.select("key", "item", "words"), "key"), seed)
 
 
 def contamination(texts: DataFrame, benchmark: DataFrame, seed: int = SEED, least: float = LEAST_COVERAGE) -> tuple[DataFrame, DataFrame]:
@@ -216,7 +216,7 @@ def contamination(texts: DataFrame, benchmark: DataFrame, seed: int = SEED, leas
     share = pairs.withColumn("coverage", F.col("tiled") / F.col("item_words"))
     best = share.groupBy("stamp").agg(
         F.max("coverage").alias("coverage"),
-        F.max_by("item", F.struct("coverage", -F.col("item"))).alias("item_id"),
+        F.max_by("item", F.struct("coverage", -F.coalesce("item", F.lit((1 << 63) - 1)))).alias("item_id"),
         F.sum((F.col("coverage") >= least).cast("long")).alias("n_items"),
     )
     return stamps, best
