@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,9 +18,13 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
-def packed(df: DataFrame) -> DataFrame:
-    """All columns of `df` in one struct column `row`, so that an operator's own columns cannot clash with them."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+def packed(df: DataFrame, keep: list[str] | None = None, **more: Column) -> DataFrame:
+    """The columns of `df` (`keep`: only these) in one struct column `row`, so that an operator's own columns cannot clash with them.
+
+    `more` are further columns, made from the columns of `df`.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in (df.columns if keep is None else keep)])
+    return df.select(row.alias("row"), *[c.alias(name) for name, c in more.items()])
 
 
 def unpacked(df: DataFrame, *more: str) -> DataFrame:

@@ -168,7 +168,7 @@ def copies(docs: DataFrame, ident: str = "doc_id", text: str = "text", bits: int
 def without_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text", bits: int = FINGERPRINT_BITS) -> DataFrame:
     """The documents that stay, with all their columns."""
     texts = docs.select(F.col(f"`{ident}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = packed(docs).withColumn("text", F.col(f"row.`{text}`").cast("string"))
+    rows = packed(docs, text=F.col(f"`{text}`").cast("string"))
     light, doubtful = _verified(texts, bits)
     groups = cut(_groups(light, "id"))
     joined = _joined(_recipes(rows, bits, doubtful), groups).where(F.col(f"row.`{ident}`").eqNullSafe(F.col("keep_id")))

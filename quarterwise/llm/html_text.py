@@ -250,9 +250,9 @@ def extract(source: str | None) -> tuple[str, str]:
     return "\n\n".join(blocks), "/".join(page.tag[k] for k in reversed(path))
 
 
-def main_text(pages: DataFrame, source: str = "html") -> DataFrame:
-    """Column `row` with the page, and text and path."""
-    rows = packed(pages).withColumn("html", F.col(f"row.`{source}`").cast("string"))
+def main_text(pages: DataFrame, source: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """Column `row` with the page's columns (`keep`: only these), and text and path."""
+    rows = packed(pages, keep, html=F.col(f"`{source}`").cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -140,9 +140,9 @@ def _decide(model: Filter, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nd
     return best, share
 
 
-def identify(docs: DataFrame, model: Filter, text: str = "text") -> DataFrame:
-    """Column `row` with the document, and lang_pred and score."""
-    rows = packed(docs).withColumn("text", F.col(f"row.`{text}`").cast("string"))
+def identify(docs: DataFrame, model: Filter, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Column `row` with the document's columns (`keep`: only these), and lang_pred and score."""
+    rows = packed(docs, keep, text=F.col(f"`{text}`").cast("string"))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
 

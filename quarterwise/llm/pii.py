@@ -140,9 +140,7 @@ def word_totals(texts: DataFrame) -> DataFrame:
 
 def spans(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Column `row` with the document's columns (`keep`: only these), and spans: array of (start, end, kind), by start and kind."""
-    body = F.coalesce(F.col(f"row.`{text}`").cast("string"), F.lit(""))
-    texts = packed(docs).select("row", body.alias("text"))
-    row = F.col("row") if keep is None else F.struct(*[F.col(f"row.`{c}`").alias(c) for c in keep])
+    texts = packed(docs, keep, text=F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
     whole = F.col("text")
     digit = whole.rlike("[0-9]")
     pieces = F.concat(
@@ -152,7 +150,7 @@ def spans(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
         _pieces("phone", whole, PHONE, F.contains(whole, F.lit("+"))),
         _pieces("token", whole, TOKEN, digit | F.contains(whole, F.lit("@")), context=True),
     )
-    found = cut(texts.select(row.alias("row"), pieces.alias("pieces"), F.monotonically_increasing_id().alias("at")))
+    found = cut(texts.select("row", pieces.alias("pieces"), F.monotonically_increasing_id().alias("at")))
     placed = cut(_placed(found))
     base = placed.where(_holds()).select("at", "start", "end", "kind")
     tokens = cut(_tokens(placed, base))

@@ -70,7 +70,7 @@ def _listed(spans: Column, kinds: tuple[str, ...]) -> Column:
 @query("op3_personal_data")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of each document: base spans by pattern, further ones by learned contexts."""
-    found = pii.spans(documents(spark, sf_dir).select("doc_id", "text"), keep=["doc_id"]).select("row.doc_id", "spans")
+    found = pii.spans(documents(spark, sf_dir), keep=["doc_id"]).select("row.doc_id", "spans")
     count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
     every = (*pii.KINDS, *(pii.FOUND + k for k in pii.KINDS))
     return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(_listed(F.col("spans"), pii.KINDS), 256).alias("base_sha256"), _listed(F.col("spans"), every).alias("spans"))
@@ -79,7 +79,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_secrets")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document: base spans by pattern, further ones by novelty."""
-    found = secrets_scan.spans(documents(spark, sf_dir).select("doc_id", "text")).select("row.doc_id", "spans")
+    found = secrets_scan.spans(documents(spark, sf_dir), keep=["doc_id"]).select("row.doc_id", "spans")
     count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
     base = secrets_scan.KINDS[:3]
     return found.select("doc_id", *[count(k) for k in base], F.sha2(_listed(F.col("spans"), base), 256).alias("base_sha256"), _listed(F.col("spans"), secrets_scan.KINDS).alias("spans"))
@@ -102,7 +102,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of each whole text; the held-out fifth is not learned from."""
     docs = documents(spark, sf_dir)
-    rows = packed(docs.select("doc_id", "text")).select(F.struct("row.doc_id").alias("row"), "row.text")
+    rows = packed(docs, ["doc_id"], text=F.col("text"))
     training = docs.where(~toxicity.held_out(F.col("doc_id"), 5, 1)).select(F.xxhash64("doc_id").alias("place"), "text")
     doc_id = F.col("row.doc_id")
     return language_model.scores(rows, training).select(doc_id, toxicity.held_out(doc_id, 5, 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -151,11 +151,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = language_id.learn(docs.where(~toxicity.held_out(F.col("doc_id"), 4, 2)).select("text", "lang"))
     doc_id = F.col("row.doc_id")
-    return language_id.identify(docs.drop("lang"), model).select(doc_id, toxicity.held_out(doc_id, 4, 2).alias("held_out"), "lang_pred", "score")
+    return language_id.identify(docs, model, keep=["doc_id"]).select(doc_id, toxicity.held_out(doc_id, 4, 2).alias("held_out"), "lang_pred", "score")
 
 
 @query("op10_main_text")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of each page."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    return html_text.main_text(pages).select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html_text.main_text(pages, keep=["page_id", "url"]).select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -118,9 +118,9 @@ def _flagged(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.unique(every[(every >= 0) & (every < len(offsets) - 1)])
 
 
-def spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Column `row` with the document, and spans: array of (start, end, kind, secret), by start and kind."""
-    rows = packed(docs).withColumn("text", F.col(f"row.`{text}`").cast("string"))
+def spans(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Column `row` with the document's columns (`keep`: only these), and spans: array of (start, end, kind, secret), by start and kind."""
+    rows = packed(docs, keep, text=F.col(f"`{text}`").cast("string"))
     shipped = docs.sparkSession.sparkContext.broadcast(primed(identifiers(rows)))
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("secret", pa.string())]))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, spans array<struct<start: bigint, end: bigint, kind: string, secret: string>>"
