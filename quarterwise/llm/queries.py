@@ -112,7 +112,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of each document; labels of the held-out third are not seen."""
     labels = toxicity.fold_of_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.scores(documents(spark, sf_dir), labels)
+    scored = toxicity.scores(documents(spark, sf_dir), labels, keep=["doc_id"])
     doc_id = F.col("row.doc_id")
     return scored.select(doc_id, toxicity.held_out(doc_id).alias("held_out"), "score", (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"), "hits")
 

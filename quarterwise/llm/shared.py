@@ -9,8 +9,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bits of a filter that tasks get: 16 MB, whatever the data.
-FILTER_BITS = 1 << 27
+#: Bits of a filter that tasks get: 8 MB, whatever the data.
+FILTER_BITS = 1 << 26
 _MAP_BITS = 32768
 
 
@@ -44,7 +44,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def bit_filter(df: DataFrame, value: Column) -> np.ndarray:
-    """Bits of FILTER_BITS set at the low bits of a 64-bit column. At most 4,096 bitmaps of 4 KB come back, for any number of rows."""
+    """Bits of FILTER_BITS set at the low bits of a 64-bit column. At most 2,048 bitmaps of 4 KB come back, for any number of rows."""
     at = F.expr(f"value & {FILTER_BITS - 1}L")
     maps = (
         df.select(value.alias("value"))

@@ -19,6 +19,7 @@ Null labels are none; labels of an id that differ count as toxic if any is.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import unicodedata
 from collections.abc import Iterator, Sequence
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,52 +120,67 @@ def _phrases(folded: str, begin: int) -> list[str]:
     return ([f" {before[-1]} {word} "] if before else []) + ([f" {word} {after[0]} "] if after else [])
 
 
-def _labelled(texts: DataFrame, labels: DataFrame, emit, column: str) -> DataFrame:
-    """(id, stamp, list of strings, toxic) of the labelled texts: `emit` makes the list from the folded text."""
-    shipped = texts.sparkSession.sparkContext.broadcast(bit_filter(labels, F.col("id")))
+def _emitted(texts: DataFrame, ids: DataFrame, emit, kind: str) -> DataFrame:
+    """(id, made) of the texts (id, text) whose id may be in `ids`: `emit` makes the value, of SQL type `kind`, from the folded text."""
+    shipped = texts.sparkSession.sparkContext.broadcast(bit_filter(ids, F.col("id")))
+    made = pa.binary() if kind == "binary" else pa.list_(pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column(0).fill_null(0)).astype(np.int64)
-            batch = batch.filter(pa.array(in_filter(shipped.value, ids)))
+            known = in_filter(shipped.value, np.asarray(batch.column(0).fill_null(0)).astype(np.int64))
+            batch = batch.filter(pa.array(known))
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
-                folded = [fold(t) for t in rows.column(1).to_pylist()]
-                stamps = [hash_text(t) for t in folded]
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(stamps, pa.binary()), pa.array([emit(t) for t in folded], pa.list_(pa.string()))], names=["id", "stamp", column])
-
-    rows = texts.where("id is not null").mapInArrow(run, f"id bigint, stamp binary, {column} array<string>")
-    return rows.join(labels, "id").groupBy("stamp").agg(F.max("toxic").alias("toxic"), F.first(column).alias(column))
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([emit(fold(t)) for t in rows.column(1).to_pylist()], made)], names=["id", "made"])
 
+    return texts.where("id is not null").mapInArrow(run, f"id bigint, made {kind}")
 
-def hash_text(folded: str) -> bytes:
-    import hashlib
 
+def _stamp(folded: str) -> bytes:
     return hashlib.blake2b(folded.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def learn_entries(words: DataFrame, toxic: int, clean: int) -> dict[str, float]:
-    """Entries and weights from (stamp, toxic, words) of distinct texts, of which `toxic` and `clean` are the numbers."""
-    counts = words.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
-    begins = F.expr(f"transform(filter(sequence({BEGINNINGS.start}, {BEGINNINGS.stop - 1}), k -> k < length(word)), k -> concat(' ', substring(word, 1, k)))")
-    entries = F.explode(F.concat(begins, F.array(F.concat(F.lit(" "), "word", F.lit(" "))))).alias("entry")
+def distinct_labelled(texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, toxic): one id for each distinct labelled text, toxic if any of its labels is."""
+    stamps = _emitted(texts, labels, _stamp, "binary").join(labels, "id")
+    return stamps.groupBy("made").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic")).select("id", "toxic")
+
+
+def _words(folded: str) -> list[str]:
+    return sorted(set(folded.split()))
+
+
+def _beginnings(word: str, least: int, below: str) -> str:
+    """SQL for the beginnings of a word, with a space before, whose lengths are in BEGINNINGS and under `below`."""
+    lengths = f"filter(sequence({BEGINNINGS.start}, {BEGINNINGS.stop - 1}), k -> k < {below})"
+    return f"transform({lengths}, k -> concat(' ', substring({word}, {least}, k)))"
+
+
+def learn_entries(texts: DataFrame, labelled: DataFrame, toxic: int, clean: int) -> dict[str, float]:
+    """Entries and weights from texts (id, text) and distinct labelled texts (id, toxic), of which `toxic` and `clean` are the numbers."""
+    words = _emitted(texts, labelled, _words, "array<string>").join(labelled, "id")
+    counts = cut(words.select("toxic", F.explode("made").alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")))
+    whole = F.array(F.concat(F.lit(" "), "word", F.lit(" ")))
+    entries = F.explode(F.concat(F.expr(_beginnings("word", 1, "length(word)")), whole)).alias("entry")
     told = counts.select("t", "n", entries).groupBy("entry").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
     told = cut(told.where((F.col("t") >= LEAST_TEXTS) & (F.col("t") / (F.col("n") + 1) >= LEAST_SHARE)))
     # of telling beginnings of one another: the longest that loses little, the shortest that gains much
-    shorter = F.expr(f"transform(filter(sequence({BEGINNINGS.start}, {BEGINNINGS.stop - 1}), k -> k < length(rtrim(entry)) - if(endswith(entry, ' '), 0, 1)), k -> substring(entry, 1, k + 1))")
+    shorter = F.expr(_beginnings("entry", 2, "length(rtrim(entry)) - if(endswith(entry, ' '), 0, 1)"))
     parts = told.select("entry", "t", F.explode(shorter).alias("part")).join(told.select(F.col("entry").alias("part"), F.col("t").alias("part_t")), "part")
     gained = parts.where(F.col("t") < LITTLE * F.col("part_t")).select("entry")
     lost = parts.where(F.col("t") >= LITTLE * F.col("part_t")).select(F.col("part").alias("entry"))
     chosen = cut(told.join(gained.union(lost).distinct(), "entry", "left_anti"))
-    own = words.where("toxic = 1").select("stamp", F.explode("words").alias("word")).select("stamp", entries).distinct()
-    strongest = own.join(chosen, "entry").groupBy("stamp").agg(F.max_by("entry", F.struct("t", "entry")).alias("entry"))
+    entry_of = counts.where("t > 0").select("word", entries).join(chosen, "entry").select("word", "entry", "t")
+    own = _emitted(texts, labelled.where("toxic = 1"), _words, "array<string>").select("id", F.explode("made").alias("word"))
+    strongest = own.join(entry_of, "word").groupBy("id").agg(F.max_by("entry", F.struct("t", "entry")).alias("entry"))
     counted = chosen.join(strongest.groupBy("entry").count(), "entry", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     kept = counted.where((F.col("count") >= LEAST_TEXTS) | (F.col("t") >= SURE_TEXTS))
     rows = kept.orderBy(F.desc("t"), "entry").limit(MOST_ENTRIES).select("entry", "t", "n").collect()
     return {r.entry: math.log((r.t + 0.5) / (toxic + 1)) - math.log((r.n - r.t + 0.5) / (clean + 1)) for r in rows}
 
 
-def learn_exceptions(texts: DataFrame, labels: DataFrame, entries: dict[str, float]) -> list[str]:
+def learn_exceptions(texts: DataFrame, labelled: DataFrame, entries: dict[str, float]) -> list[str]:
+    """Phrases around hits in the distinct labelled texts that are nearly always clean."""
     shipped = texts.sparkSession.sparkContext.broadcast(tuple(entries.items()))
     made: list[ahocorasick.Automaton | None] = []
 
@@ -172,34 +189,32 @@ def learn_exceptions(texts: DataFrame, labels: DataFrame, entries: dict[str, flo
             made.append(_automaton(dict(shipped.value), ()))
         return sorted({p for _, a, _ in hits(made[0], folded) for p in _phrases(folded, a)})
 
-    phrases = _labelled(texts, labels, around, "phrases").select("toxic", F.explode("phrases").alias("phrase"))
+    phrases = _emitted(texts, labelled, around, "array<string>").where(F.size("made") > 0).join(labelled, "id").select("toxic", F.explode("made").alias("phrase"))
     counts = phrases.groupBy("phrase").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
     clean = counts.where((F.col("n") - F.col("t") >= EXCEPTION_TEXTS) & (1 - F.col("t") / F.col("n") >= EXCEPTION_SHARE))
     return [r.phrase for r in clean.orderBy(F.desc("n"), "phrase").limit(MOST_ENTRIES).collect()]
 
 
-def _sums(rows: DataFrame, entries: dict[str, float], exceptions: Sequence[str]) -> DataFrame:
-    """Adds weight (of all hits), hits and length to rows of (anything, text), without the text."""
-    lead = [c for c in rows.columns if c != "text"]
+def _sums(rows: DataFrame, entries: dict[str, float], exceptions: Sequence[str], text: str) -> DataFrame:
+    """Adds weight (of all hits), hits and length of the field `text` to rows (row), and leaves that field in its place."""
     shipped = rows.sparkSession.sparkContext.broadcast((tuple(entries.items()), tuple(exceptions)))
-    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in lead) + ", weight double, hits bigint, length bigint"
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, weight double, hits bigint, length bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = dict(shipped.value[0])
         automaton = _automaton(weights, shipped.value[1])
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            for row in range(0, batch.num_rows, 256):
-                part = batch.slice(row, 256)
+            for at in range(0, batch.num_rows, 256):
+                row = batch.column(0).slice(at, 256)
                 weight, number, length = [], [], []
-                for text in part.column(at).to_pylist():
-                    found = hits(automaton, fold(text)) if automaton else []
+                for body in pc.struct_field(row, text).cast(pa.string()).to_pylist():
+                    found = hits(automaton, fold(body)) if automaton else []
                     weight.append(math.fsum(weights[e] for e, _, _ in found))
                     number.append(len(found))
-                    length.append(len(text or ""))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in lead), pa.array(weight, pa.float64()), pa.array(number, pa.int64()), pa.array(length, pa.int64())], names=[*lead, "weight", "hits", "length"])
+                    length.append(len(body or ""))
+                yield pa.RecordBatch.from_arrays([row, pa.array(weight, pa.float64()), pa.array(number, pa.int64()), pa.array(length, pa.int64())], names=["row", "weight", "hits", "length"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).select("row", "weight", "hits", "length")
 
 
 def _terms() -> tuple[Column, Column]:
@@ -238,19 +253,20 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, floa
 def learn(texts: DataFrame, labels: DataFrame, exceptions: Sequence[str] = ()) -> Model:
     """A model from texts (id, text) and labels (id, toxic); only labelled texts are used."""
     labels = cut(labels.where("id is not null and toxic is not null").groupBy("id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic")))
-    words = cut(_labelled(texts, labels, lambda folded: sorted(set(folded.split())), "words"))
-    total = words.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
+    labelled = cut(distinct_labelled(texts, labels))
+    total = labelled.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
     toxic, clean = int(total[0]), int(total[1] - total[0])
-    entries = learn_entries(words, toxic, clean) if toxic and clean else {}
-    excused = tuple(dict.fromkeys([*(f" {' '.join(fold(e).split())} " for e in exceptions), *(learn_exceptions(texts, labels, entries) if entries else [])]))
+    entries = learn_entries(texts, labelled, toxic, clean) if toxic and clean else {}
+    excused = tuple(dict.fromkeys([*(f" {' '.join(fold(e).split())} " for e in exceptions), *(learn_exceptions(texts, labelled, entries) if entries else [])]))
     shipped = texts.sparkSession.sparkContext.broadcast(bit_filter(labels, F.col("id")))
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(in_filter(shipped.value, np.asarray(batch.column(0).fill_null(0)).astype(np.int64))))
 
-    own = texts.where("id is not null").mapInArrow(mine, texts.schema)
-    scored = _sums(own, entries, excused).join(labels, "id").select("toxic", *[t.cast("double").alias(n) for t, n in zip(_terms(), ("x", "y"), strict=True)], F.xxhash64("id").alias("place"))
+    own = packed(texts.where("id is not null").mapInArrow(mine, texts.schema))
+    scored = _sums(own, entries, excused, "text").withColumn("id", F.col("row.id")).drop("row").join(labels, "id")
+    scored = scored.select("toxic", *[t.cast("double").alias(n) for t, n in zip(_terms(), ("x", "y"), strict=True)], F.xxhash64("id").alias("place"))
     sample = scored.orderBy("place").limit(FIT_ROWS).toPandas()
     return Model(entries, excused, _fit(sample[["x", "y"]].to_numpy(float), sample["toxic"].to_numpy(float)))
 
@@ -266,11 +282,11 @@ def _model(docs: DataFrame, labels: DataFrame, ident: str, text: str, label: str
     return learn(texts, labels.select(F.col(f"`{ident}`").cast("bigint").alias("id"), F.col(f"`{label}`").alias("toxic")), exceptions)
 
 
-def scores(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", label: str = "toxic", exceptions: Sequence[str] = ()) -> DataFrame:
-    """Column `row` with the document, and score, hits and weight, by a model learned from all of `labels`."""
+def scores(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", label: str = "toxic", exceptions: Sequence[str] = (), keep: list[str] | None = None) -> DataFrame:
+    """Column `row` with the document (`keep`: these columns and the text), and score, hits and weight, by a model learned from all of `labels`."""
     model = _model(docs, labels, ident, text, label, exceptions)
-    rows = packed(docs).withColumn("text", F.col(f"row.`{text}`").cast("string"))
-    return _sums(rows, model.entries, model.exceptions).select("row", _score(model).alias("score"), "hits", "weight")
+    rows = packed(docs, keep and [*keep, text])
+    return _sums(rows, model.entries, model.exceptions, text).select("row", _score(model).alias("score"), "hits", "weight")
 
 
 def fold_of_labels(labels: DataFrame, ident: str = "doc_id") -> DataFrame:
