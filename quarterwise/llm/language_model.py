@@ -51,6 +51,7 @@ class Vocabulary:
     class_mass: np.ndarray
     tokens: int
     distinct: int
+    words: int
     unigram: np.ndarray
 
 
@@ -61,36 +62,36 @@ class Hmm:
     emit: np.ndarray  # symbols x states
 
 
-def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
+def vocabulary(counts: DataFrame, texts: int, head_words: int = HEAD, words: int = WORDS, class_number: int = CLASSES) -> Vocabulary:
     """From the word counts of the training texts and the number of these, each of which has an end."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, distinct = int(total[0]) + texts, int(total[1]) + (texts > 0)
-    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("w")).orderBy(F.desc("n")).limit(HEAD).collect()
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("w")).orderBy(F.desc("n")).limit(head_words).collect()
     least, taken = math.inf, 0
     for row in sizes:
         taken += row.w
-        if taken > HEAD:
+        if taken > head_words:
             break
         least = row.n
     head = counts.where(F.col("n") >= least).toPandas() if least < math.inf else counts.limit(0).toPandas()
     hashes = np.append(head["word"].to_numpy(np.int64).view(np.uint64), END)
     n = np.append(head["n"].to_numpy(np.int64), texts)
     mark = np.append(head["mark"].to_numpy(np.int64), 0)
-    own = np.lexsort((hashes[:-1], -n[:-1]))[:WORDS]
-    symbol = mark + WORDS + 1
+    own = np.lexsort((hashes[:-1], -n[:-1]))[:words]
+    symbol = mark + words + 1
     symbol[own] = np.arange(len(own)) + 1
     symbol[-1] = 0
-    classes = np.full(CLASSES, 0.5)
+    classes = np.full(class_number, 0.5)
     for row in counts.groupBy("mark").agg((F.sum("n") + 0.5 * F.count(F.lit(1))).alias("mass")).collect():
         classes[row.mark] += row.mass
     np.subtract.at(classes, mark[own], n[own] + 0.5)
     classes = np.maximum(classes, 0.5)
-    unigram = np.zeros(1 + WORDS + CLASSES)
+    unigram = np.zeros(1 + words + class_number)
     unigram[0] = texts + 0.5
     unigram[symbol[own]] = n[own] + 0.5
-    unigram[WORDS + 1 :] = classes
+    unigram[words + 1 :] = classes
     order = np.argsort(hashes)
-    return Vocabulary(hashes[order], n[order], symbol[order].astype(np.int32), classes, tokens, distinct, unigram / unigram.sum())
+    return Vocabulary(hashes[order], n[order], symbol[order].astype(np.int32), classes, tokens, distinct, words, unigram / unigram.sum())
 
 
 def _symbols(v: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -102,7 +103,7 @@ def _symbols(v: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     place = np.searchsorted(v.head, hashes)
     place[place == len(v.head)] = 0
     known = v.head[place] == hashes
-    symbol = np.where(known, v.symbol[place], word_marks(data, w.start, w.end, CLASSES) + WORDS + 1).astype(np.int32)
+    symbol = np.where(known, v.symbol[place], word_marks(data, w.start, w.end, len(v.class_mass)) + v.words + 1).astype(np.int32)
     count = np.where(known, v.count[place], -1)
     end_count = v.count[np.searchsorted(v.head, END)]
     return np.insert(symbol, ends, 0), np.insert(hashes, ends, END), np.insert(count, ends, end_count), w.first + np.arange(len(w.first))
@@ -229,7 +230,7 @@ def _scored(rows: DataFrame, v, m: Hmm) -> DataFrame:
             logs, _, _ = _forward(own, own.start, symbols, first, keep=False)
             known = np.log10(np.maximum(count, 0) + 0.5)
             rare = count < 0
-            inner = np.where(symbols > WORDS, np.where(rare, 0, known) - np.log10(voc.class_mass)[np.maximum(symbols - WORDS - 1, 0)], 0.0)
+            inner = np.where(symbols > voc.words, np.where(rare, 0, known) - np.log10(voc.class_mass)[np.maximum(symbols - voc.words - 1, 0)], 0.0)
             add = lambda x: np.add.reduceat(x, first[:-1])
             bounds = np.concatenate([[0], np.cumsum(add(rare.astype(np.int64)))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -248,11 +249,11 @@ def _scored(rows: DataFrame, v, m: Hmm) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def scores(rows: DataFrame, training: DataFrame) -> DataFrame:
+def scores(rows: DataFrame, training: DataFrame, head_words: int = HEAD, words: int = WORDS) -> DataFrame:
     """Column `row`, and n_tokens, n_known, train_tokens, base_score and score, of rows (row, text); training: rows (place, text)."""
     spark = rows.sparkSession
     counts = cut(hash_counts(training, CLASSES))
-    v = spark.sparkContext.broadcast(vocabulary(counts, training.count()))
+    v = spark.sparkContext.broadcast(vocabulary(counts, training.count(), head_words, words))
     m = train(training, v)
     scored = cut(_scored(rows, v, m).withColumn("at", F.monotonically_increasing_id()))
     rare = scored.select("at", F.explode("rare").alias("word")).groupBy("at", "word").agg(F.count(F.lit(1)).alias("times"))
