@@ -201,7 +201,11 @@ check("f10_walk_forward", lambda s, d: selection.with_held_out_error(_table(s, d
 check("f11_winner", lambda s, d: selection.best_forecasts(_table(s, d)).select(
           "company_id", "target", "model_name", "label", F.round("wf_mape", 4).alias("wf_mape")),
       query(f"select company_id, target, model_name, label, {rnd('wf_mape', 4)} as wf_mape from winners where step = 1", "winners"))
-check("f11_fair_winner", lambda s, d: selection.best_forecasts(_table(s, d), fair=True).groupBy("target", "model_name").agg(F.count(F.lit(1)).alias("series")))
+check("f11_fair_winner", lambda s, d: selection.best_forecasts(_table(s, d), fair=True).select(
+          "company_id", "target", "model_name", F.round("wf_mape", 4).alias("wf_mape")),
+      query(f"""select company_id, target, {rnd('s.wf_mape', 4)} as wf_mape,
+      case when coalesce(e.wf_mape < case when s.wf_mape = 0 then 9999 else s.wf_mape end * 0.95::double, false) then 'ensemble' else s.model end as model_name
+      from singles s left join ensemble_errors e using (company_id, target)""", "singles", "ensemble_errors"))
 check("f12_future_quarters", lambda s, d: i.records(s, d).groupBy("company_id").agg(F.max("date").alias("last_date")).select(
           "company_id", F.explode(future_quarters("last_date")).alias("forecast_date")),
       query("""select company_id, cast(date_trunc('quarter', max(date)) + to_months(cast(3 * step as integer)) as date) as forecast_date
@@ -219,11 +223,19 @@ check("f4_random_forest", _learner("random_forest"))
 check("f5_gradient_boosting", _learner("gradient_boosting"))
 check("f6_kernel_regression", _learner("svr"))
 check("f13_all_forecasts", lambda s, d: engine.run_all_forecasts(i.records(s, d), learners=i.LEARNERS))
-check("f17_fitted_and_forecast", lambda s, d: engine.fitted_and_forecast(i.records(s, d), models=i.CLOSED))
+check("f17_fitted_and_forecast", lambda s, d: engine.fitted_and_forecast(i.records(s, d), models=i.CLOSED).select(
+          "company_id", "model_name", "model", "mae", F.round("mape", 4).alias("mape"), "kind", "date",
+          *[F.round(c, 2).alias(c) for c in ("value", "lower", "upper")]),
+      query(f"""select company_id, model_name, label as model, mae, {rnd('mape', 4)} as mape, kind, date,
+        {', '.join(f'{rnd(c, 2)} as {c}' for c in ('value', 'lower', 'upper'))}
+      from feed join (select company_id, model_name, label, mae, mape from winners where target = 'revenue' and step = 1) using (company_id)
+      where value is not null""", "feed", "winners"))
 check("f17_model_comparison", lambda s, d: engine.model_comparison(_table(s, d)).select(
-          "company_id", "target", "model", F.round("mape", 4).alias("mape"), F.round("wf_mape", 4).alias("wf_mape")).where("model <> 'ensemble'"),
+          "company_id", "target", "model", F.round("mape", 4).alias("mape"), F.round("wf_mape", 4).alias("wf_mape")),
       query(f"""select company_id, target, model, {rnd('m.mape', 4)} as mape, {rnd('wf_mape', 4)} as wf_mape
-      from (select * from models where fold = 'full' and step = 1) m join held_errors using (company_id, target, model)""", "models", "held_errors"))
+      from (select * from models where fold = 'full' and step = 1) m join held_errors using (company_id, target, model)
+      union all select company_id, target, 'ensemble', {rnd('e.mape', 4)}, {rnd('h.wf_mape', 4)}
+      from (select * from ensembles where step = 1) e join ensemble_errors h using (company_id, target)""", "models", "held_errors", "ensembles", "ensemble_errors"))
 
 # Report sheets
 

@@ -257,3 +257,43 @@ stage(
     "winners",
     "series",
 )
+# the ensemble of the held-out fold and its error on the rows held out
+stage(
+    "ensemble_errors",
+    """  select company_id, target, avg(abs((y - forecast) / nullif(y, 0))) * 100 as wf_mape
+  from (select company_id, target, step, sum(w * forecast) as forecast
+    from models join (select company_id, target, model, (1 / mape) / sum(1 / mape) over (partition by company_id, target) as w
+      from models where fold = 'held_out' and step = 1 and mape > 0) using (company_id, target, model)
+    where fold = 'held_out' group by company_id, target, step) e
+  join series s using (company_id, target) where s.t = s.n - 4 + step - 1 group by company_id, target""",
+    "models",
+    "series",
+)
+stage(
+    "pairs",
+    " union all ".join(f"select {KEY}, '{m}' as model, t, fitted from {m}_pairs" for m in LABELS)
+    + f" union all select {KEY}, unnest(['arima', 'holt']), t, y from folds where t = 0",  # their levels start there
+    *[f"{m}_pairs" for m in LABELS],
+    "folds",
+)
+stage(
+    "fitted_models",
+    """  select company_id, case when w.model_name = 'ensemble' then l.model else w.model_name end as model
+  from (select company_id, model_name from winners where target = 'revenue' and step = 1) w
+  left join (select company_id, arg_min(model, (mape, position)) as model from weights where target = 'revenue' group by company_id) l using (company_id)""",
+    "winners",
+    "weights",
+)
+stage(
+    "feed",
+    """  select company_id, case target when 'revenue' then 'actual' else 'actual_profit' end as kind, date, y as value,
+    cast(null as double) as lower, cast(null as double) as upper from series
+  union all select company_id, 'fitted', date, fitted, null, null
+    from fitted_models join pairs using (company_id, model) join series using (company_id, target, t) where target = 'revenue' and fold = 'full'
+  union all select company_id, 'forecast', cast(date_trunc('quarter', last_date) + to_months(cast(3 * step as integer)) as date), forecast, lower, upper
+    from winners join (select distinct company_id, target, last_date from series) using (company_id, target) where target = 'revenue'""",
+    "series",
+    "fitted_models",
+    "pairs",
+    "winners",
+)

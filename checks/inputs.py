@@ -15,7 +15,7 @@ from quarterwise.sources import retail
 CLOSED = ("arima", "seasonal", "polynomial", "holt")
 LEARNERS = {
     "random_forest": random_forest(),
-    "gradient_boosting": gradient_boosting(rounds=20),
+    "gradient_boosting": gradient_boosting(),
     "svr": kernel_regression(),
 }
 
@@ -54,7 +54,7 @@ def filings(spark: SparkSession, d: str) -> DataFrame:
         text("profit").alias("profit"),
         F.when(status == "F", text("operating_cost")).alias("operating_cost"),
         F.when((flag == "A") & (status == "O"), "n/a").otherwise(F.concat(F.lit("-"), text("assets", 2))).alias("assets"),
-        text("liabilities", 2).alias("liabilities"),
+        F.when((flag == "R") & (status == "F"), F.concat(text("liabilities", 2), F.lit("d"))).otherwise(text("liabilities", 2)).alias("liabilities"),
     )
 
 
@@ -67,7 +67,7 @@ sql.stage(
     cast(expenses as varchar) as expenses, cast(profit as varchar) as profit,
     case when l_linestatus = 'F' then cast(operating_cost as varchar) end as operating_cost,
     case when l_returnflag = 'A' and l_linestatus = 'O' then 'n/a' else cast(-assets as varchar) end as assets,
-    cast(liabilities as varchar) as liabilities
+    cast(liabilities as varchar) || case when l_returnflag = 'R' and l_linestatus = 'F' then 'd' else '' end as liabilities
   from lines""",
     "lines",
 )

@@ -42,11 +42,19 @@ def error_totals(actual: str, fitted: str) -> str:
     )
 
 
-def spread(total: str, squares: str, n: str) -> str:
-    """Population standard deviation from sums."""
+def deviation(total: str, squares: str, n: str) -> str:
+    """Population standard deviation from sums of errors, whose mean is small against their spread.
+
+    Not for levels: there the two terms cancel. See `array_deviation`.
+    """
     return f"sqrt(greatest({squares} / {n} - ({total} / {n}) * ({total} / {n}), 0D))"
 
 
+def array_deviation(values: str, mean: str, n: str) -> str:
+    """Population standard deviation of an array around its mean."""
+    return f"sqrt(aggregate({values}, 0D, (acc, y) -> acc + (y - {mean}) * (y - {mean})) / {n})"
+
+
 def metric_fields(sums: str) -> str:
     """mae, rmse and mape to 2 places; mape NULL when every actual value is 0."""
     return (

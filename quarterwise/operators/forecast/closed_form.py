@@ -19,9 +19,9 @@ from quarterwise.operators.forecast.accuracy import (
     NO_ERRORS,
     add_error,
     band,
+    deviation,
     error_sums,
     metric_fields,
-    spread,
 )
 
 ALPHA, BETA = 0.3, 0.1
@@ -48,7 +48,7 @@ def _staged(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def _sigma(sums: str) -> str:
-    return spread(f"{sums}.e", f"{sums}.sq", f"{sums}.n")
+    return deviation(f"{sums}.e", f"{sums}.sq", f"{sums}.n")
 
 
 def _pairs(fitted_at: Callable[[str], str]) -> str:
@@ -221,7 +221,7 @@ def add_arima(folds: DataFrame, horizon: int, position: int, fitted: bool = Fals
             position,
             "ARIMA(1,1,1)",
             "arima_ahead",
-            spread("arima_state.resid_sum", "arima_state.resid_sq", "arima_state.n"),
+            deviation("arima_state.resid_sum", "arima_state.resid_sq", "arima_state.n"),
             "arima_state",
             "arima_state.path" if fitted else None,
         ),

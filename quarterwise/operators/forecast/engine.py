@@ -109,11 +109,13 @@ def fitted_and_forecast(
     models: Sequence[str] = DEFAULT_MODELS,
     learners: dict[str, Learner] | None = None,
 ) -> DataFrame:
-    """Chart feed of the revenue series: actual, fitted and forecast points of the winner."""
-    series = training_series(records, ["revenue"])
+    """Chart feed: the revenue series with fitted and forecast points of its winner, and the profit history."""
+    histories = training_series(records)
+    series = histories.where(F.col("target") == "revenue")
     table = model_table(with_folds(series, horizon), horizon, models, learners, fitted=True)
     winners = best_forecasts(table).drop("last_date")
-    joined = series.join(winners, ["company_id", "target"])
+    profits = histories.where(F.col("target") == "profit").select("company_id", F.col("dates").alias("profit_dates"), F.col("ys").alias("profits"))
+    joined = series.join(winners, ["company_id", "target"]).join(profits, "company_id", "left")
 
     def points(kind: str, dates: Column, values: Column, lower: Column, upper: Column) -> Column:
         zipped = F.arrays_zip(dates.alias("date"), values.alias("value"), lower.alias("lower"), upper.alias("upper"))
@@ -127,6 +129,7 @@ def fitted_and_forecast(
     none = F.array().cast("array<double>")
     feed = F.concat(
         points("actual", F.col("dates"), F.col("ys"), none, none),
+        points("actual_profit", F.coalesce("profit_dates", F.array().cast("array<date>")), F.coalesce("profits", none), none, none),
         points("fitted", F.col("dates"), F.col("fitted"), none, none),
         points("forecast", future_quarters("last_date", horizon), F.col("forecast"), F.col("lower"), F.col("upper")),
     )

@@ -23,7 +23,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterwise.operators.forecast.accuracy import error_totals, spread
+from quarterwise.operators.forecast.accuracy import array_deviation, deviation, error_totals
 from quarterwise.operators.forecast.closed_form import model_struct
 from quarterwise.sources.durable import durable
 
@@ -59,11 +59,9 @@ def feature_columns(t: str) -> list[str]:
 
 def standardised_folds(folds: DataFrame) -> DataFrame:
     """Adds the training mean and std of each fold (1 for a constant series) and z values."""
-    zero, added = "struct(0D AS s, 0D AS q)", "struct(acc.s + y AS s, acc.q + y * y AS q)"
-    sigma = spread("sums.s", "sums.q", "cast(n AS double)")
     return (
-        folds.withColumn("sums", F.expr(f"aggregate(ys, {zero}, (acc, y) -> {added})"))
-        .selectExpr(*folds.columns, "sums.s / n AS center", f"coalesce(nullif({sigma}, 0D), 1D) AS scale")
+        folds.withColumn("center", F.expr("aggregate(ys, 0D, (acc, y) -> acc + y) / n"))
+        .withColumn("scale", F.expr(f"coalesce(nullif({array_deviation('ys', 'center', 'n')}, 0D), 1D)"))
         .withColumn("zs", F.expr("transform(ys, y -> (y - center) / scale)"))
     )
 
@@ -99,7 +97,8 @@ class Learner:
 class KernelLearner(Learner):
     """Radial basis kernel by random Fourier features (Rahimi, Recht 2007).
 
-    Ridge regression by normal equations, one pass over the rows, then two passes with
+    All inputs are scaled to mean 0 and deviation 1 over the training rows, so one width fits them
+    all. Ridge regression by normal equations, one pass over the rows, then two passes with
     Huber weights so that outliers pull less. The projection is drawn from a fixed seed, so its size depends on ``size`` and not on
     the data. It is one matrix product per Arrow batch: written out as column expressions
     it outgrows the method size that Spark compiles.
@@ -109,17 +108,25 @@ class KernelLearner(Learner):
     reweightings: int = 2
 
     def fit(self, rows: DataFrame):
-        model = self.make().fit(self.vectors(rows).withColumn("weight", F.lit(1.0)))
+        """The fitted model and the mean and deviation of each input, by which all rows are scaled first."""
+        moments = rows.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in self.inputs for f in (F.avg, F.stddev_pop)]).first()
+        scaling = [(moments[f"avg_{c}"] or 0.0, moments[f"stddev_pop_{c}"] or 1.0) for c in self.inputs]
+        model = self.make().fit(self.scaled(rows, scaling).withColumn("weight", F.lit(1.0)))
         for _ in range(self.reweightings):
             limit = max(HUBER * model.summary.rootMeanSquaredError, 1e-9)  # a perfect fit keeps its weights
             miss = F.greatest(F.abs(F.col("label") - F.col("z_hat")), F.lit(1e-12))
-            weighted = self.predict(model, rows).withColumn("weight", F.least(F.lit(limit) / miss, F.lit(1.0)))
-            model = self.make().fit(self.vectors(weighted))
-        return model
+            weighted = self.predict((model, scaling), rows).withColumn("weight", F.least(F.lit(limit) / miss, F.lit(1.0)))
+            model = self.make().fit(self.scaled(weighted, scaling))
+        return model, scaling
 
-    def vectors(self, df: DataFrame) -> DataFrame:
+    def predict(self, model, rows: DataFrame) -> DataFrame:
+        fitted, scaling = model
+        return fitted.transform(self.scaled(rows, scaling)).withColumnRenamed("prediction", "z_hat").drop("features")
+
+    def scaled(self, df: DataFrame, scaling: Sequence[tuple[float, float]]) -> DataFrame:
         waves = _fourier_features(len(self.inputs), self.size)
-        return df.withColumn("features", array_to_vector(waves(F.struct(*self.inputs))))
+        inputs = [((F.col(c) - F.lit(mean)) / F.lit(sigma)).alias(c) for c, (mean, sigma) in zip(self.inputs, scaling, strict=True)]
+        return df.withColumn("features", array_to_vector(waves(F.struct(*inputs))))
 
 
 def _fourier_features(inputs: int, size: int):
@@ -218,7 +225,7 @@ def add_learner_models(
             .join(in_sample(learner, model, train, fitted), list(KEYS))
         )
         path = f"concat(array_repeat(cast(NULL AS double), {LAGS}), path.fitted)" if fitted else None
-        sigma = spread("sums.e", "sums.sq", "sums.n")
+        sigma = deviation("sums.e", "sums.sq", "sums.n")
         result = model_struct(name, positions[name], learner.label, "forecast", sigma, "sums", path)
         return joined.select(*KEYS, "actual", F.expr(f"inline(array({result}))"))
 

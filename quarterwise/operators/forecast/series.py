@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarterwise.sources.durable import spread
+from quarterwise.sources.durable import dealt_by
 
 TARGETS = ("revenue", "profit")
 MIN_ROWS = 8
@@ -21,25 +21,20 @@ FULL, HELD_OUT = "full", "held_out"
 
 
 def training_series(records: DataFrame, targets: Sequence[str] = TARGETS) -> DataFrame:
-    """(company_id, last_date, target, dates, ys) for companies with enough history."""
-    grouped = (
-        spread(records.select("company_id", "date", *targets).dropna(), "company_id")
-        .groupBy("company_id")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("date", *targets))).alias("points"),
-            F.max("date").alias("last_date"),
-        )
-        .where(F.size("points") >= MIN_ROWS)
-    )
-    per_target = [
-        F.struct(
-            F.lit(t).alias("target"),
-            F.col("points.date").alias("dates"),
-            F.col(f"points.{t}").alias("ys"),
-        )
-        for t in targets
-    ]
-    return grouped.select("company_id", "last_date", F.inline(F.array(*per_target)))
+    """(company_id, last_date, target, dates, ys) of the series with enough history.
+
+    Every target has its own series: a missing profit does not shorten the revenue.
+    """
+    known = F.coalesce(*[F.col(t) for t in targets]).isNotNull()
+    points = F.sort_array(F.collect_list(F.struct("date", *targets))).alias("points")
+    grouped = dealt_by(records.select("company_id", "date", *targets).where(known), "company_id").groupBy("company_id").agg(points)
+
+    def own(target: str) -> Column:
+        return F.filter("points", lambda p: p[target].isNotNull())
+
+    per_target = [F.struct(F.lit(t).alias("target"), own(t)["date"].alias("dates"), own(t)[t].alias("ys")) for t in targets]
+    series = grouped.select("company_id", F.inline(F.array(*per_target))).where(F.size("ys") >= MIN_ROWS)
+    return series.select("company_id", F.element_at("dates", -1).alias("last_date"), "target", "dates", "ys")
 
 
 def _fold(name: str, ys: Column, actual: Column) -> Column:

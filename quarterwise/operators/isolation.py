@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quarterwise.functions.series import whole
-from quarterwise.sources.durable import spread
+from quarterwise.sources.durable import dealt_by
 
 FEATURES = ("revenue", "expenses", "profit", "operating_cost")
 TREES = 100
@@ -192,9 +192,9 @@ def score_long(rows: DataFrame) -> DataFrame:
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("date"), blocks))
     by = ["company_id", "block"]
     return (
-        spread(blocked, *by)
+        dealt_by(blocked, *by)
         .groupBy(*by)
-        .cogroup(spread(forests, *by).groupBy(*by))
+        .cogroup(dealt_by(forests, *by).groupBy(*by))
         .applyInPandas(_score_block, _SCORE_SCHEMA)
     )
 
@@ -202,7 +202,7 @@ def score_long(rows: DataFrame) -> DataFrame:
 def isolation_scores(records: DataFrame) -> DataFrame:
     """Anomaly score of every row of the companies with enough rows."""
     rows = (
-        spread(records.select("company_id", "date", *FEATURES).dropna(), "company_id")
+        dealt_by(records.select("company_id", "date", *FEATURES).dropna(), "company_id")
         .withColumn("rows_n", F.count(F.lit(1)).over(whole()))
         .where(F.col("rows_n") >= MIN_ROWS)
     )

@@ -96,20 +96,13 @@ def latest_kpi_snapshot(records: DataFrame, companies: DataFrame, kpis: DataFram
 def yoy_growth(records: DataFrame) -> DataFrame:
     """Revenue against the same quarter of the previous year.
 
-    A join rather than a window: its key includes year and quarter, so one company's rows
-    spread over all partitions.
+    A window over the years of a company's quarter: one scan, one exchange, and a partition of a
+    few rows. It expects one row per company and quarter.
     """
-    current = records.select("company_id", "date", year_of("date").alias("year"), quarter_of("date").alias("quarter"), "revenue")
-    previous = records.select(
-        "company_id",
-        (year_of("date") + 1).alias("year"),
-        quarter_of("date").alias("quarter"),
-        F.col("revenue").alias("prev_revenue"),
-    )
+    dated = records.select("company_id", "date", year_of("date").alias("year"), quarter_of("date").alias("quarter"), "revenue")
+    year_before = W.partitionBy("company_id", "quarter").orderBy("year").rangeBetween(-1, -1)
     change = over_nonzero(F.col("revenue") - F.col("prev_revenue"), "prev_revenue")
-    return current.join(previous, ["company_id", "year", "quarter"], "left").select(
-        "company_id", "date", "year", "quarter", "revenue", "prev_revenue", F.round(change, 4).alias("yoy_growth")
-    )
+    return dated.withColumn("prev_revenue", F.first("revenue").over(year_before)).withColumn("yoy_growth", F.round(change, 4))
 
 
 def annual_growth(records: DataFrame) -> DataFrame:
@@ -168,13 +161,12 @@ def quarter_card(kpis: DataFrame) -> DataFrame:
     )
 
 
-def full_analytics(records: DataFrame, companies: DataFrame) -> dict[str, DataFrame]:
-    """KPI frame and everything derived from it.
+def full_analytics(records: DataFrame, companies: DataFrame, kpis: DataFrame | None = None) -> dict[str, DataFrame]:
+    """KPI frame and everything derived from it, all lazy.
 
-    Persist the returned ``kpi_data`` (or read it back from storage) before using several
-    of the others: they all build on that one frame.
+    The caller keeps the KPI frame (`kpis`) where it uses several of them; here nothing is kept.
     """
-    kpis = compute_kpis(records).persist()
+    kpis = compute_kpis(records) if kpis is None else kpis
     return {
         "kpi_data": kpis,
         "company_summary": company_summary(records, companies, kpis),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -11,10 +11,8 @@ from quarterwise.operators.anomaly import anomaly_summary, severe_flags, severit
 from quarterwise.operators.features import compute_kpis
 from quarterwise.operators.kpi import company_summary, sector_comparison
 from quarterwise.operators.reshape import (
-    flag_points,
     long_metrics,
     renamed,
-    top_row,
     with_company,
     with_label,
 )
@@ -139,18 +137,26 @@ def companies_covered(companies: DataFrame) -> DataFrame:
 
 
 def top_performers(summary: DataFrame) -> DataFrame:
-    """Two cards: best average margin and highest total revenue."""
-    margin = top_row(summary, "avg_profit_margin").select(
-        F.lit("Top Performer by Profit Margin").alias("card"),
-        company_caption("company_name", "sector").alias("company"),
-        F.format_string("Profit Margin: %.1f%%", "avg_profit_margin").alias("detail"),
+    """Two cards: best average margin and highest total revenue, from one aggregate. Of equals, the lowest company_id."""
+
+    def best(metric: str) -> Column:
+        place = F.struct(F.col(metric).isNotNull(), metric, -F.col("company_id"))
+        return F.max_by(F.struct("company_name", "sector", metric), place).alias(metric)
+
+    def card(title: str, company: Column, detail: Column) -> Column:
+        return F.struct(F.lit(title).alias("card"), company.alias("company"), detail.alias("detail"))
+
+    top = summary.agg(best("avg_profit_margin"), best("total_revenue"))
+    margin, revenue = F.col("avg_profit_margin"), F.col("total_revenue")
+    cards = F.array(
+        card(
+            "Top Performer by Profit Margin",
+            company_caption(margin["company_name"], margin["sector"]),
+            F.format_string("Profit Margin: %.1f%%", margin["avg_profit_margin"]),
+        ),
+        card("Highest Revenue", revenue["company_name"], F.format_string("£%.1fM total", revenue["total_revenue"] / 1000)),
     )
-    revenue = top_row(summary, "total_revenue").select(
-        F.lit("Highest Revenue").alias("card"),
-        F.col("company_name").alias("company"),
-        F.format_string("£%.1fM total", F.col("total_revenue") / 1000).alias("detail"),
-    )
-    return margin.unionByName(revenue)
+    return top.where(margin.isNotNull()).select(F.inline(cards))
 
 
 def executive_summary(records: DataFrame, companies: DataFrame, kpis: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -282,12 +288,11 @@ def sector_bars(sectors: DataFrame) -> DataFrame:
 def anomaly_timeline(records: DataFrame, flags: DataFrame) -> DataFrame:
     """Revenue of every company, expenses of those with an expense flag, flags marked."""
     lines = long_metrics(records, ["company_id", "date"], ["revenue", "expenses"])
-    marks = flag_points(flags, records).select("company_id", "date", "metric", "severity")
-    flagged_expenses = flags.where(F.col("metric") == "expenses").select("company_id", "metric").distinct()
-    always = lines.where(F.col("metric") == "revenue")
-    sometimes = lines.where(F.col("metric") == "expenses").join(flagged_expenses, ["company_id", "metric"], "left_semi")
+    marks = flags.where(F.col("metric").isin("revenue", "expenses")).select("company_id", "date", "metric", "severity")
+    with_expenses = marks.where(F.col("metric") == "expenses").select("company_id", F.lit(True).alias("wanted")).distinct()
     return (
-        always.unionByName(sometimes)
+        lines.join(with_expenses, "company_id", "left")
+        .where((F.col("metric") == "revenue") | F.col("wanted"))
         .join(marks, ["company_id", "date", "metric"], "left")
         .select("company_id", "date", "metric", "value", F.col("severity").isNotNull().alias("flagged"), "severity")
     )

@@ -72,7 +72,8 @@ def financial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per company and quarter; pre-aggregated before its only wide shuffle."""
 
     def total(name: str) -> Column:
-        return (F.sum(name) / UNITS).alias(name)
+        # as decimals the sums have 28 digits; in 64 bits the assets of some billion lines would overflow
+        return (F.sum(F.col(name).cast("decimal(18,0)")).cast("double") / UNITS).alias(name)
 
     measures = ["revenue", "expenses", "profit", "operating_cost", "assets", "liabilities"]
     return lines(spark, sf_dir).groupBy("company_id", "date").agg(*[total(m) for m in measures])

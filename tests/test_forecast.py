@@ -139,7 +139,7 @@ def test_error_metrics_skip_zero_actuals(spark):
 
 def test_fitted_and_forecast_feed(series):
     out = engine.fitted_and_forecast(series({1: WAVY}), models=["polynomial", "holt"])
-    assert {r["kind"]: r["count"] for r in out.groupBy("kind").count().collect()} == {"actual": 24, "fitted": 24, "forecast": 4}
+    assert {r["kind"]: r["count"] for r in out.groupBy("kind").count().collect()} == {"actual": 24, "actual_profit": 24, "fitted": 24, "forecast": 4}
 
 
 def test_unknown_model(series):
@@ -194,3 +194,27 @@ def test_recursion_plan_does_not_repeat_predictions(series):
     model = SMALL["svr"].fit(learners.training_rows(folds))
     plan = learners.recursive_forecast(SMALL["svr"], model, folds, 4)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("waves(") == 4
+
+
+@pytest.mark.parametrize("level", [0.0, 1e8, 1e9])
+def test_scale_of_high_levels(spark, level):
+    ys = [level + (k * 7 % 5) * 0.5 for k in range(24)]
+    folds = spark.createDataFrame([(1, ys, 24)], "company_id long, ys array<double>, n int")
+    row = learners.standardised_folds(folds).first()
+    assert row["scale"] == pytest.approx(np.std([y - level for y in ys]), rel=1e-6)
+    assert np.std(row["zs"]) == pytest.approx(1)
+
+
+def test_a_missing_profit_does_not_shorten_revenue(records):
+    rows = [row(1, quarter(k), revenue=100.0 + k, profit=None if k in (3, 19) else 40.0) for k in range(20)]
+    got = {r["target"]: r for r in ts.training_series(records(rows)).collect()}
+    assert len(got["revenue"]["ys"]) == 20 and got["revenue"]["last_date"] == quarter(19)
+    assert len(got["profit"]["ys"]) == 18 and got["profit"]["last_date"] == quarter(18)
+
+
+def test_kernel_inputs_are_scaled(series):
+    rows = learners.training_rows(learners.standardised_folds(ts.with_folds(ts.training_series(series({k: [v + k for v in WAVY] for k in range(4)})))))
+    _, scaling = learners.kernel_regression().fit(rows)
+    moments = rows.selectExpr(*[f"avg({c})" for c in learners.FEATURES], *[f"stddev_pop({c})" for c in learners.FEATURES]).first()
+    n = len(learners.FEATURES)
+    assert [m for m, _ in scaling] == pytest.approx(list(moments[:n])) and [s for _, s in scaling] == pytest.approx([m or 1.0 for m in moments[n:]])

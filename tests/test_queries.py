@@ -7,12 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks.registry import ORACLES, QUERIES
 
 SF = Path(entry.SMOKE_DIR)
 TABLES = "region nation customer supplier part orders lineitem".split()
 ROWS_ONLY = {
     "d3_isolation_forest", "d6_all_detectors", "f4_random_forest", "f5_gradient_boosting", "f6_kernel_regression",
-    "f11_fair_winner", "f13_all_forecasts", "f17_fitted_and_forecast",
+    "f13_all_forecasts",
 }
 
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="no test tables")
@@ -38,13 +39,14 @@ def as_rows(columns, rows):
 
 
 def test_only_the_learned_queries_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, str(SF))
-    result = duck.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, str(SF))
+    result = duck.execute(ORACLES[name])
     columns = [c[0] for c in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert as_rows(df.columns, df.collect()) == as_rows(columns, result.fetchall())
@@ -52,3 +54,13 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
+
+
+def test_free_sql_reads_no_files(spark):
+    from pyspark.errors import AnalysisException
+
+    from quarterwise.plans.named_queries import run_select
+
+    with pytest.raises(AnalysisException):
+        run_select(spark, f"select * from parquet.`{SF}/region.parquet`")
+    assert run_select(spark, "select 1 as one").first()["one"] == 1

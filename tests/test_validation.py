@@ -86,3 +86,10 @@ def test_fill_forward_then_back_then_zero(records):
 def test_date_column_may_be_typed(records):
     out = v.validate_financial_records(records([row(0, dt.date(2020, 1, 1))]))
     assert out.first()["company_id"] == 0
+
+
+def test_only_plain_decimal_numbers_are_read(spark):
+    texts = ["12", " -1.5e3 ", ".5", "7.", "12d", "12F", "0x1p3", "NaN", "Infinity", "1e", "", None]
+    got = spark.createDataFrame([(t,) for t in texts], "x string").select(v.to_number("x").alias("x")).collect()
+    assert [r.x for r in got] == [12.0, -1500.0, 0.5, 7.0] + [0.0] * 8
+    assert [r.x for r in spark.createDataFrame([(1e20,), (None,), (-0.25,)], "x double").select(v.to_number("x").alias("x")).collect()] == [1e20, 0.0, -0.25]
