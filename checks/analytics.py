@@ -128,6 +128,9 @@ check("q7_free_select", _free, query(
 
 check("d1_zscore", lambda s, d: anomaly.zscore_anomalies(i.records(s, d)), query("select * from z_flags", "z_flags"))
 check("d2_iqr", lambda s, d: anomaly.iqr_anomalies(i.records(s, d)), query("select * from iqr_flags", "iqr_flags"))
+check("d3_flags_per_company", lambda s, d: isolation_forest_anomalies(i.records(s, d)).groupBy("company_id").agg(F.count(F.lit(1)).alias("flags")),
+      query("""select company_id, cast(ceil(0.08::double * (count(*) - 1)) as bigint) as flags from records
+      group by company_id having count(*) >= 6""", "records"))
 check("d3_isolation_forest", lambda s, d: isolation_forest_anomalies(i.records(s, d)))
 
 
@@ -222,6 +225,9 @@ def _learner(model: str):
 check("f4_random_forest", _learner("random_forest"))
 check("f5_gradient_boosting", _learner("gradient_boosting"))
 check("f6_kernel_regression", _learner("svr"))
+check("c9_next_quarter_all_models", lambda s, d: reports.next_quarter_card(engine.run_all_forecasts(i.records(s, d), learners=i.LEARNERS)).select("company_id", "forecast_date"),
+      query("""select company_id, cast(date_trunc('quarter', max(date)) + to_months(3) as date) as forecast_date
+      from records group by company_id having count(*) >= 8""", "records"))
 check("f13_all_forecasts", lambda s, d: engine.run_all_forecasts(i.records(s, d), learners=i.LEARNERS))
 check("f17_fitted_and_forecast", lambda s, d: engine.fitted_and_forecast(i.records(s, d), models=i.CLOSED).select(
           "company_id", "model_name", "model", "mae", F.round("mape", 4).alias("mape"), "kind", "date",
