@@ -11,7 +11,7 @@ equal recipes always mean equal texts.
 Defined results: a null text is the empty text, and all empty texts are equal. Of equal texts the
 largest id stays; null ids are smaller than any other. Rows with the same id and equal texts are
 one document written twice: all of them count as kept in `copies`, and one of them stays in
-`without_copies`.
+`without_copies` (of texts that differ in case, that with the larger md5).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.llm.columns import packed, unpacked
@@ -73,17 +73,16 @@ def _chunks(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[bytes, li
 
 
 def _recipes(docs: DataFrame, bits: int, doubtful: np.ndarray | None) -> DataFrame:
-    """`row` of a packed table with size, text_sha256, recipe and, where a fingerprint is doubtful, the contents under it."""
-    fields = "size bigint, text_sha256 string, recipe array<bigint>, contents binary"
-    schema = f"row {docs.schema['row'].dataType.simpleString()}, {fields}" if "row" in docs.columns else f"id {docs.schema['id'].dataType.simpleString()}, {fields}"
-    lead = docs.columns[0]
+    """Size, text_sha256, md5 of the text as it is, recipe and, where a fingerprint is doubtful, the contents under it, of rows (id, text)."""
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, size bigint, text_sha256 string, raw string, recipe array<bigint>, contents binary"
     shipped = docs.sparkSession.sparkContext.broadcast(doubtful) if doubtful is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "text"):
-            data = LOWER[data]
-            raw, begin, end, prints, first = _chunks(data, offsets, bits)
             bounds = offsets.tolist()
+            given = data.tobytes()
+            stamps = [hashlib.md5(given[a:b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            raw, begin, end, prints, first = _chunks(LOWER[data], offsets, bits)
             shas = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             contents = [None] * len(shas)
             if shipped is not None:
@@ -93,8 +92,8 @@ def _recipes(docs: DataFrame, bits: int, doubtful: np.ndarray | None) -> DataFra
                     contents[k] = b"".join(len(p).to_bytes(4, "big") + p for p in parts)
             recipe = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(prints.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(np.diff(offsets)), pa.array(shas, pa.string()), recipe, pa.array(contents, pa.binary())],
-                names=[lead, "size", "text_sha256", "recipe", "contents"],
+                [rows.column(0), pa.array(np.diff(offsets)), pa.array(shas, pa.string()), pa.array(stamps, pa.string()), recipe, pa.array(contents, pa.binary())],
+                names=["id", "size", "text_sha256", "raw", "recipe", "contents"],
             )
 
     return docs.mapInArrow(run, schema)
@@ -130,50 +129,52 @@ def _repeated(recipes: DataFrame) -> np.ndarray:
     return bit_filter(prints.groupBy("fingerprint").count().where("count > 1"), F.col("fingerprint"))
 
 
-def _verified(texts: DataFrame, bits: int) -> tuple[DataFrame, np.ndarray | None]:
-    """Recipes in which equal lists mean equal texts, and the filter of doubtful fingerprints, if any."""
+def _verified(texts: DataFrame, bits: int) -> DataFrame:
+    """Recipes in which equal lists (and contents, where there are any) mean equal texts."""
     recipes = cut(_recipes(texts, bits, None))
     distinct = _contents(texts, bits, _repeated(recipes)).distinct()
     doubtful = bit_filter(distinct.groupBy("fingerprint").count().where("count > 1"), F.col("fingerprint"))
-    if not doubtful.any():
-        return recipes, None
-    return cut(_recipes(texts, bits, doubtful)), doubtful
+    return cut(_recipes(texts, bits, doubtful)) if doubtful.any() else recipes
 
 
-def _groups(recipes: DataFrame, ident: str) -> DataFrame:
-    """One row for each distinct text: the id that stays, its rows, and how many of them have that id."""
-    return (
-        recipes.groupBy("recipe", "contents", "size", F.col(ident).alias("ident"))
+def _grouped(docs: DataFrame, ident: str, text: str, bits: int) -> DataFrame:
+    """Recipes of all rows with their group: keep_id and keep_raw of the row that stays, group_size, and keep_rows, its repetitions.
+
+    Two partial aggregates and a join. Its second key, the byte size, has both sides dealt out anew, so that a hot text can be split.
+    """
+    texts = docs.select(F.col(f"`{ident}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    recipes = _verified(texts, bits)
+    place = F.struct("id", "raw")
+    groups = (
+        recipes.groupBy("recipe", "contents", "size", "id", "raw")
         .agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("recipe", "contents")
-        .agg(F.max("ident").alias("keep_id"), F.sum("rows").alias("group_size"), F.max("size").alias("group_bytes"), F.coalesce(F.max_by("rows", "ident"), F.sum("rows")).alias("keep_rows"))
+        .groupBy(F.col("recipe").alias("group_recipe"), F.col("contents").alias("group_contents"))
+        .agg(F.max(place).alias("keep"), F.sum("rows").alias("group_size"), F.max("size").alias("group_bytes"), F.max_by("rows", place).alias("keep_rows"))
     )
-
-
-def _joined(recipes: DataFrame, groups: DataFrame) -> DataFrame:
-    """The byte size is a second key, so both sides are dealt out anew and a hot text can be split."""
-    groups = groups.withColumnsRenamed({"recipe": "group_recipe", "contents": "group_contents"})
     same = F.col("recipe").eqNullSafe(F.col("group_recipe")) & F.col("contents").eqNullSafe(F.col("group_contents")) & (F.col("size") == F.col("group_bytes"))
-    return recipes.join(groups, same)
+    return recipes.join(groups, same).select("id", "raw", "text_sha256", F.col("keep.id").alias("keep_id"), F.col("keep.raw").alias("keep_raw"), "group_size", "keep_rows")
 
 
 def copies(docs: DataFrame, ident: str = "doc_id", text: str = "text", bits: int = FINGERPRINT_BITS) -> DataFrame:
     """One row per document: its id (as `ident`), keep_id, group_size, kept and text_sha256."""
-    texts = docs.select(F.col(f"`{ident}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    recipes, _ = _verified(texts, bits)
-    kept = F.col("id").eqNullSafe(F.col("keep_id")).alias("kept")
-    return _joined(recipes, _groups(recipes, "id")).select(F.col("id").alias(ident), "keep_id", "group_size", kept, "text_sha256")
+    rows = _grouped(docs, ident, text, bits)
+    return rows.select(F.col("id").alias(ident), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def without_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text", bits: int = FINGERPRINT_BITS) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    texts = docs.select(F.col(f"`{ident}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = packed(docs, text=F.col(f"`{text}`").cast("string"))
-    light, doubtful = _verified(texts, bits)
-    groups = cut(_groups(light, "id"))
-    joined = _joined(_recipes(rows, bits, doubtful), groups).where(F.col(f"row.`{ident}`").eqNullSafe(F.col("keep_id")))
-    if groups.where("keep_rows > 1").isEmpty():
-        return unpacked(joined)
-    once = joined.where("keep_rows = 1")
-    again = joined.where("keep_rows > 1").groupBy("recipe", "contents").agg(F.first("row").alias("row"))
-    return unpacked(once).unionByName(unpacked(again))
+    """The documents that stay, with all their columns. Texts move once, in the join with the rows to drop."""
+    rows = _grouped(docs, ident, text, bits)
+    stays = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("raw") == F.col("keep_raw"))
+    marked = cut(rows.where(~stays | (F.col("keep_rows") > 1)).select("id", "raw", stays.alias("stays")).distinct())
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    given = packed(docs, own_id=F.col(f"`{ident}`"), own_raw=F.md5(body.cast("binary")))
+
+    def key(side: DataFrame) -> Column:
+        return given["own_id"].eqNullSafe(side["id"]) & (given["own_raw"] == side["raw"])
+
+    once = unpacked(given.join(marked, key(marked), "left_anti"))
+    twice = marked.where("stays")
+    if twice.isEmpty():
+        return once
+    again = given.join(twice, key(twice), "left_semi").groupBy("own_id", "own_raw").agg(F.first("row").alias("row"))
+    return once.unionByName(unpacked(again))
