@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.llm.columns import packed
-from quarterwise.llm.shared import cut
+from quarterwise.llm.shared import Shipped, cut
 from quarterwise.llm.text import slices
 
 GRAM_BYTES = 4
@@ -143,7 +143,7 @@ def _decide(model: Filter, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nd
 def identify(docs: DataFrame, model: Filter, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Column `row` with the document's columns (`keep`: only these), and lang_pred and score."""
     rows = packed(docs, keep, text=F.col(f"`{text}`").cast("string"))
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = Shipped(docs.sparkSession, model)
     schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

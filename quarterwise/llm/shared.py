@@ -6,6 +6,7 @@ import os
 import tempfile
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,14 +38,27 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
+#: Rows of a batch that goes to Python at once: documents are long, and both sides hold whole batches.
+BATCH_ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS rows; a smaller setting stays."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder: no lost executor costs more than its tasks, nothing is computed twice."""
     ensure_checkpoint_dir(df.sparkSession)
+    small_batches(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def bit_filter(df: DataFrame, value: Column) -> np.ndarray:
     """Bits of FILTER_BITS set at the low bits of a 64-bit column. At most 2,048 bitmaps of 4 KB come back, for any number of rows."""
+    small_batches(df.sparkSession)
     at = F.expr(f"value & {FILTER_BITS - 1}L")
     maps = (
         df.select(value.alias("value"))
@@ -64,3 +78,35 @@ def in_filter(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Which 64-bit values may be in the filter."""
     at = value.astype(np.uint64) & np.uint64(FILTER_BITS - 1)
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+class Shipped:
+    """A value of this package's own types for all tasks, as a broadcast that does not need the package there."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self) -> dict:
+        return {"_held": self._held}
+
+    @property
+    def value(self):
+        if "_read" not in self.__dict__:
+            self._read = cloudpickle.loads(self._held.value)
+        return self._read
+
+
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows with the largest n, as many steps of 2**(1/16) down as keep them at `most` or fewer.
+
+    The driver sees one row per step, about a thousand at any size; no partition sends its own best rows.
+    """
+    step = F.floor(16 * F.log2("n"))
+    sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    least, taken = None, 0
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        taken += row["rows"]
+        if taken > most:
+            break
+        least = row["step"]
+    return counts.limit(0) if least is None else counts.where(step >= least)

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from quarterwise.llm.columns import packed
 from quarterwise.llm.shared import bit_filter, cut, in_filter
+from quarterwise.llm.text import release
 
 REJECT = 0.7
 #: An entry needs so many toxic texts, and this share of toxic texts.
@@ -46,7 +47,9 @@ LITTLE = 0.75
 BEGINNINGS = range(3, 13)
 #: A phrase is an exception with so many clean texts and this share of clean ones.
 EXCEPTION_TEXTS, EXCEPTION_SHARE = 5, 0.95
-#: Entries and exceptions, strongest first, and labelled rows that the two curve parameters are fitted on: bounds of the model's size.
+#: Values of a hash, a share of which draws the rows that the curve is fitted on.
+DRAWS = 1 << 40
+#: Entries and exceptions, strongest first, and (about) labelled rows that the curve is fitted on: bounds of the model's size.
 MOST_ENTRIES, FIT_ROWS = 20_000, 50_000
 
 # Letters of other scripts that look like Latin ones, and digits read as letters.
@@ -132,6 +135,7 @@ def _emitted(texts: DataFrame, ids: DataFrame, emit, kind: str) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([emit(fold(t)) for t in rows.column(1).to_pylist()], made)], names=["id", "made"])
+        release()
 
     return texts.where("id is not null").mapInArrow(run, f"id bigint, made {kind}")
 
@@ -213,6 +217,7 @@ def _sums(rows: DataFrame, entries: dict[str, float], exceptions: Sequence[str],
                     number.append(len(found))
                     length.append(len(body or ""))
                 yield pa.RecordBatch.from_arrays([row, pa.array(weight, pa.float64()), pa.array(number, pa.int64()), pa.array(length, pa.int64())], names=["row", "weight", "hits", "length"])
+        release()
 
     return rows.mapInArrow(run, schema).select("row", "weight", "hits", "length")
 
@@ -267,7 +272,9 @@ def learn(texts: DataFrame, labels: DataFrame, exceptions: Sequence[str] = ()) -
     own = packed(texts.where("id is not null").mapInArrow(mine, texts.schema))
     scored = _sums(own, entries, excused, "text").withColumn("id", F.col("row.id")).drop("row").join(labels, "id")
     scored = scored.select("toxic", *[t.cast("double").alias(n) for t, n in zip(_terms(), ("x", "y"), strict=True)], F.xxhash64("id").alias("place"))
-    sample = scored.orderBy("place").limit(FIT_ROWS).toPandas()
+    number = labels.count()
+    drawn = F.pmod("place", F.lit(DRAWS)) < math.ceil(DRAWS * min(1.0, FIT_ROWS / max(1, number)))
+    sample = scored.where(drawn).select("toxic", "x", "y", "place").toPandas().sort_values(["place", "x", "y", "toxic"])
     return Model(entries, excused, _fit(sample[["x", "y"]].to_numpy(float), sample["toxic"].to_numpy(float)))
 
 
