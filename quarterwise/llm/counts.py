@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarterwise.llm.text import LOWER, longs, slices, word_hashes, words
 
-#: Distinct words that a task holds before it gives them out.
+#: Entries of slices' counts that a task holds before it gives them out.
 HELD = 1 << 20
 
 
@@ -48,7 +48,7 @@ def hash_counts(texts: DataFrame, marks: int) -> DataFrame:
             tails["w"].append(every)
             tails["m"].append(word_marks(data, w.start[at], w.end[at], marks))
             size += len(every)
-            if size > 4 * HELD:
+            if size > HELD:
                 yield from flush()
                 size = 0
         yield from flush()

@@ -5,7 +5,7 @@ all other words by their last two bytes. States emit symbols; a word of a class
 class by count, with half a count for words that were never seen. So every word of any text has a
 probability, and counts of all training words enter it, however many there are.
 
-Training starts from a bounded sample (`WARM_TEXTS` texts, `WARM_ROUNDS` rounds) and goes on with
+Training starts from a bounded sample (about `WARM_TEXTS` texts, `WARM_ROUNDS` rounds) and goes on with
 `ROUNDS` rounds over all training texts. A round's expected counts are added up in each task, then
 across partitions; the driver gets sums whose number is fixed by the model's size. For these counts texts are cut into stretches
 of `STRETCH` tokens, which start in the long-run distribution of states. Scoring runs the scaled
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.llm.counts import hash_counts, word_marks
-from quarterwise.llm.shared import cut, parallelism
+from quarterwise.llm.shared import Shipped, cut, frequent, parallelism
 from quarterwise.llm.text import LOWER, slices, word_hashes, words
 
 STATES, WORDS, CLASSES = 8, 4096, 256
@@ -35,10 +35,12 @@ STATES, WORDS, CLASSES = 8, 4096, 256
 HEAD = 200_000
 WARM_TEXTS, WARM_ROUNDS, ROUNDS = 1200, 14, 3
 STRETCH = 128
+#: Values of a place, a share of which draws the sample.
+DRAWS = 1 << 40
 #: Tokens' worth of the overall distribution in each state's emissions.
 PRIOR = 50.0
 END = np.uint64(0x656E64)
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 
 
 @dataclass
@@ -66,14 +68,7 @@ def vocabulary(counts: DataFrame, texts: int, head_words: int = HEAD, words: int
     """From the word counts of the training texts and the number of these, each of which has an end."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, distinct = int(total[0]) + texts, int(total[1]) + (texts > 0)
-    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("w")).orderBy(F.desc("n")).limit(head_words).collect()
-    least, taken = math.inf, 0
-    for row in sizes:
-        taken += row.w
-        if taken > head_words:
-            break
-        least = row.n
-    head = counts.where(F.col("n") >= least).toPandas() if least < math.inf else counts.limit(0).toPandas()
+    head = frequent(counts, head_words).toPandas()
     hashes = np.append(head["word"].to_numpy(np.int64).view(np.uint64), END)
     n = np.append(head["n"].to_numpy(np.int64), texts)
     mark = np.append(head["mark"].to_numpy(np.int64), 0)
@@ -172,7 +167,7 @@ def _long_run(m: Hmm) -> np.ndarray:
 def _round(texts: DataFrame, v, m: Hmm) -> tuple[float, Hmm]:
     """One Baum-Welch round over (text)."""
     spark = texts.sparkSession
-    shipped = spark.sparkContext.broadcast(m)
+    shipped = Shipped(spark, m)
     s, z = len(m.move), len(m.emit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,8 +177,8 @@ def _round(texts: DataFrame, v, m: Hmm) -> tuple[float, Hmm]:
         for _, data, offsets in slices(batches, "text", TEXT_BYTES):
             symbols, _, _, first = _symbols(v.value, data, offsets)
             cuts = _stretches(first)
-            for at in range(0, len(cuts) - 1, 4096):
-                part = cuts[at : at + 4097]
+            for at in range(0, len(cuts) - 1, 2048):
+                part = cuts[at : at + 2049]
                 logs, move, emit = _expected(own, start, symbols[part[0] : part[-1]], part - part[0])
                 sums[0] += logs
                 sums[1 + s : 1 + s + s * s] += move.ravel()
@@ -202,7 +197,7 @@ def _round(texts: DataFrame, v, m: Hmm) -> tuple[float, Hmm]:
 
 
 def train(texts: DataFrame, v, rounds: int = ROUNDS, warm_rounds: int = WARM_ROUNDS, seed: int = 11) -> Hmm:
-    """From rows (place, text), where the sample has the smallest places. `v`: the broadcast vocabulary."""
+    """From rows (place, text); a hash in `place` draws the sample. `v`: the vocabulary, shipped."""
     draw = np.random.default_rng(seed)
     z = len(v.value.unigram)
     emit = v.value.unigram[:, None] * draw.uniform(0.2, 1.8, (z, STATES))
@@ -210,7 +205,9 @@ def train(texts: DataFrame, v, rounds: int = ROUNDS, warm_rounds: int = WARM_ROU
     m = Hmm(np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
     if not v.value.tokens:
         return m
-    sample = cut(texts.orderBy("place").limit(WARM_TEXTS).repartition(min(8, parallelism(texts.sparkSession))))
+    number = int(v.value.count[np.searchsorted(v.value.head, END)])
+    drawn = F.pmod("place", F.lit(DRAWS)) < math.ceil(DRAWS * min(1.0, WARM_TEXTS / max(1, number)))
+    sample = cut(texts.where(drawn).repartition(min(8, parallelism(texts.sparkSession))))
     for _ in range(warm_rounds):
         _, m = _round(sample, v, m)
     for _ in range(rounds):
@@ -220,7 +217,7 @@ def train(texts: DataFrame, v, rounds: int = ROUNDS, warm_rounds: int = WARM_ROU
 
 def _scored(rows: DataFrame, v, m: Hmm) -> DataFrame:
     """(row, n_tokens, head_known, head_logs, inner_logs, model_logs, rare) of rows (row, text); logs to base 10, rare: words that are not in the head."""
-    shipped = rows.sparkSession.sparkContext.broadcast(m)
+    shipped = Shipped(rows.sparkSession, m)
     schema = f"row {rows.schema['row'].dataType.simpleString()}, n_tokens bigint, head_known bigint, head_logs double, inner_logs double, model_logs double, rare array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +250,7 @@ def scores(rows: DataFrame, training: DataFrame, head_words: int = HEAD, words:
     """Column `row`, and n_tokens, n_known, train_tokens, base_score and score, of rows (row, text); training: rows (place, text)."""
     spark = rows.sparkSession
     counts = cut(hash_counts(training, CLASSES))
-    v = spark.sparkContext.broadcast(vocabulary(counts, training.count(), head_words, words))
+    v = Shipped(spark, vocabulary(counts, training.count(), head_words, words))
     m = train(training, v)
     scored = cut(_scored(rows, v, m).withColumn("at", F.monotonically_increasing_id()))
     rare = scored.select("at", F.explode("rare").alias("word")).groupBy("at", "word").agg(F.count(F.lit(1)).alias("times"))

@@ -6,7 +6,7 @@ it adds when it is compressed together with the code around it, by a compressor
 dictionary of the corpus' most frequent identifiers. Names, prose and repeated strings cost few
 bytes; random ones cost nearly a byte per character and are reported as `novel`.
 
-Identifiers are counted over all texts; the dictionary holds the `IDENTIFIERS` most frequent with `LEAST_USES` or more.
+Identifiers are counted over all texts; the dictionary holds the most frequent (at most `IDENTIFIERS`) with `LEAST_USES` or more.
 
 Defined results: a null text is empty and has no span. Matches do not overlap within a kind; one
 that fails its kind's condition is dropped and not tried again. Novel strings that touch a base span
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.llm.columns import packed
+from quarterwise.llm.shared import cut, frequent
 from quarterwise.llm.text import LOWER, slices
 
 IDENTIFIERS = 4096
@@ -96,7 +97,8 @@ def identifiers(texts: DataFrame, most: int = IDENTIFIERS) -> list[str]:
         yield out()
 
     counts = texts.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counts.where(F.col("n") >= LEAST_USES).orderBy(F.desc("n"), "word").limit(most).collect()]
+    rows = frequent(cut(counts.where(F.col("n") >= LEAST_USES)), most).collect()
+    return [r.word for r in sorted(rows, key=lambda r: (-r.n, r.word))]
 
 
 def primed(words: list[str]) -> bytes:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from llm.conftest import prose
 from quarterwise.llm import language_model as lm
 from quarterwise.llm import queries
+from quarterwise.llm.shared import Shipped
 
 
 def test_forward_is_the_sum_over_all_paths():
@@ -79,8 +80,8 @@ def test_probabilities_of_one_word_texts_sum_to_one(docs_of):
     """All words and the end as the first token, and one unseen word for each class."""
     train = [prose(50, k) for k in range(10)]
     counts = lm.hash_counts(docs_of(train), 4)
-    v = docs_of([]).sparkSession.sparkContext.broadcast(lm.vocabulary(counts, len(train), lm.HEAD, 10, 4))
-    m = lm.train(docs_of(train).select(F.col("doc_id").alias("place"), "text"), v, rounds=1, warm_rounds=2)
+    v = Shipped(counts.sparkSession, lm.vocabulary(counts, len(train), lm.HEAD, 10, 4))
+    m = lm.train(docs_of(train).select(F.xxhash64("doc_id").alias("place"), "text"), v, rounds=1, warm_rounds=2)
     first = m.start @ m.emit.T
     assert first.sum() == pytest.approx(1)
     mass = {}
@@ -94,8 +95,8 @@ def test_probabilities_of_one_word_texts_sum_to_one(docs_of):
 
 
 def test_training_raises_likelihood(docs_of):
-    train = docs_of([" ".join(["ka lo mi", "schu keit ver"][k % 2].split() * 20) for k in range(40)]).select(F.col("doc_id").alias("place"), "text")
-    v = train.sparkSession.sparkContext.broadcast(lm.vocabulary(lm.hash_counts(train, lm.CLASSES), 40))
+    train = docs_of([" ".join(["ka lo mi", "schu keit ver"][k % 2].split() * 20) for k in range(40)]).select(F.xxhash64("doc_id").alias("place"), "text")
+    v = Shipped(train.sparkSession, lm.vocabulary(lm.hash_counts(train, lm.CLASSES), 40))
     m = lm.train(train, v, rounds=0, warm_rounds=0)
     logs = []
     for _ in range(6):
@@ -111,7 +112,7 @@ def test_held_out_texts_gain_on_the_base(spark, small):
 
 def test_messy_and_no_training(messy, no_docs):
     rows = messy.select(F.struct("doc_id", "size").alias("row"), "text")
-    none = no_docs.select(F.col("doc_id").alias("place"), "text")
+    none = no_docs.select(F.xxhash64("doc_id").alias("place"), "text")
     out = lm.scores(rows, none).collect()
     assert len(out) == messy.count() and all(r.base_score == pytest.approx(0, abs=1e-6) and r.n_known == 0 and r.train_tokens == 0 and r.score < 1e-6 for r in out)
     out = lm.scores(rows, messy.select(F.xxhash64("doc_id").alias("place"), "text")).collect()
