@@ -5,10 +5,9 @@ all other words by their last two bytes. States emit symbols; a word of a class
 class by count, with half a count for words that were never seen. So every word of any text has a
 probability, and counts of all training words enter it, however many there are.
 
-Training starts from a bounded sample (about `WARM_TEXTS` texts, `WARM_ROUNDS` rounds) and goes on with
-`ROUNDS` rounds over all training texts. A round's expected counts are added up in each task, then
-across partitions; the driver gets sums whose number is fixed by the model's size. For these counts texts are cut into stretches
-of `STRETCH` tokens, which start in the long-run distribution of states. Scoring runs the scaled
+Training runs `WARM_ROUNDS` and `ROUNDS` rounds, each over all training texts, whatever their number. Their symbols
+are kept between rounds. A round's expected counts are those of whole texts; they are added up in each task, then
+across partitions; the driver gets sums whose number is fixed by the model's size. Scoring runs the scaled
 forward recursion over every whole text.
 
 Defined results: A-Z are lower-cased; a null or empty text is the end token alone. Without training
@@ -33,14 +32,13 @@ from quarterwise.llm.text import LOWER, slices, word_hashes, words
 STATES, WORDS, CLASSES = 8, 4096, 256
 #: Words whose counts go to every task (16 bytes each); the others are looked up by a join.
 HEAD = 200_000
-WARM_TEXTS, WARM_ROUNDS, ROUNDS = 1200, 14, 3
-STRETCH = 128
-#: Values of a place, a share of which draws the sample.
-DRAWS = 1 << 40
+WARM_ROUNDS, ROUNDS = 14, 3
 #: Tokens' worth of the overall distribution in each state's emissions.
 PRIOR = 50.0
 END = np.uint64(0x656E64)
 TEXT_BYTES = 2 << 20
+#: Tokens whose emissions are added up at once.
+ADDED = 1 << 16
 
 
 @dataclass
@@ -117,11 +115,11 @@ def _forward(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray,
     order, begin, active = _by_time(symbols, first)
     logs = np.zeros(len(begin))
     states, factors = [], []
-    alpha = None
+    alpha, ones = None, np.ones(len(m.move))
     for t, n in enumerate(active.tolist()):
         emitted = m.emit[symbols[begin[:n] + t]]
         alpha = (start if t == 0 else alpha[:n] @ m.move) * emitted
-        factor = alpha.sum(axis=1)
+        factor = alpha @ ones
         alpha = alpha / factor[:, None]
         logs[:n] += np.log(factor)
         if keep:
@@ -136,59 +134,67 @@ def _expected(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray)
     """Log likelihood and expected numbers of moves and emissions."""
     logs, states, factors = _forward(m, start, symbols, first, keep=True)
     _, begin, active = _by_time(symbols, first)
-    move = np.zeros_like(m.move)
-    gammas, places = [], []
+    move, emit = np.zeros_like(m.move), np.zeros_like(m.emit)
     beta = np.ones((len(begin), len(m.move)))
+    gammas, places, held = [], [], 0
     for t in range(len(active) - 1, -1, -1):
         n = active[t]
-        gammas.append(states[t] * beta[:n])
+        gammas.append(states.pop() * beta[:n])
         places.append(symbols[begin[:n] + t])
+        held += n
         if t:
             weighed = m.emit[places[-1]] * beta[:n] / factors[t][:, None]
             move += states[t - 1][:n].T @ weighed
             beta[:n] = weighed @ m.move.T
-    gamma, place = np.concatenate(gammas), np.concatenate(places)
-    emit = np.stack([np.bincount(place, gamma[:, s], len(m.emit)) for s in range(len(m.move))], axis=1)
+        if held >= ADDED or not t:
+            gamma, place = np.concatenate(gammas), np.concatenate(places)
+            for k in range(len(m.move)):
+                emit[:, k] += np.bincount(place, gamma[:, k], len(emit))
+            gammas, places, held = [], [], 0
     return float(logs.sum()), move * m.move, emit
 
 
-def _stretches(first: np.ndarray) -> np.ndarray:
-    inner = [np.arange(a, b, STRETCH) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-    return np.append(np.concatenate(inner), first[-1]) if inner else first
+def _coded(texts: DataFrame, v) -> DataFrame:
+    """(symbols), two bytes each (four with a model of more), of rows (text); in each partition from short to long, so that texts of a slice end together."""
+    kind = _symbol_kind(v.value)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, offsets in slices(batches, "text", TEXT_BYTES):
+            symbols, _, _, first = _symbols(v.value, data, offsets)
+            bounds = pa.py_buffer((first * kind.itemsize).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, bounds, pa.py_buffer(symbols.astype(kind))])], names=["symbols"])
+
+    return texts.select("text").mapInArrow(run, "symbols binary").sortWithinPartitions(F.length("symbols"))
 
 
-def _long_run(m: Hmm) -> np.ndarray:
-    out = np.full(len(m.move), 1 / len(m.move))
-    for _ in range(200):
-        out = out @ m.move
-    return out / out.sum()
+def _symbol_kind(v: Vocabulary) -> np.dtype:
+    return np.dtype(np.uint16 if len(v.unigram) <= 1 << 16 else np.int32)
 
 
 def _round(texts: DataFrame, v, m: Hmm) -> tuple[float, Hmm]:
     """One Baum-Welch round over (text)."""
-    spark = texts.sparkSession
-    shipped = Shipped(spark, m)
+    return _coded_round(_coded(texts, v), v, m)
+
+
+def _coded_round(coded: DataFrame, v, m: Hmm) -> tuple[float, Hmm]:
+    """One Baum-Welch round over (symbols)."""
+    shipped = Shipped(coded.sparkSession, m)
     s, z = len(m.move), len(m.emit)
+    kind = _symbol_kind(v.value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shipped.value
-        start = _long_run(own)
         sums = np.zeros(1 + s + s * s + z * s)
-        for _, data, offsets in slices(batches, "text", TEXT_BYTES):
-            symbols, _, _, first = _symbols(v.value, data, offsets)
-            cuts = _stretches(first)
-            for at in range(0, len(cuts) - 1, 2048):
-                part = cuts[at : at + 2049]
-                logs, move, emit = _expected(own, start, symbols[part[0] : part[-1]], part - part[0])
-                sums[0] += logs
-                sums[1 + s : 1 + s + s * s] += move.ravel()
-                sums[1 + s + s * s :] += emit.ravel()
-            opening = start * own.emit[symbols[first[:-1]]]
-            sums[1 : 1 + s] += (opening / opening.sum(axis=1)[:, None]).sum(axis=0)
+        for _, data, offsets in slices(batches, "symbols", TEXT_BYTES):
+            logs, move, emit = _expected(own, own.start, np.frombuffer(data.tobytes(), kind), offsets // kind.itemsize)
+            sums[0] += logs
+            sums[1 : 1 + s] += emit.sum(axis=0) - move.sum(axis=0)  # states that no move leads to: those that texts begin in
+            sums[1 + s : 1 + s + s * s] += move.ravel()
+            sums[1 + s + s * s :] += emit.ravel()
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["at", "value"])
 
-    rows = texts.select("text").mapInArrow(run, "at bigint, value double").groupBy("at").agg(F.sum("value").alias("value")).toPandas()
+    rows = coded.mapInArrow(run, "at bigint, value double").groupBy("at").agg(F.sum("value").alias("value")).toPandas()
     sums = np.zeros(1 + s + s * s + z * s)
     sums[rows["at"].to_numpy(np.int64)] = rows["value"].to_numpy()
     start, move, emit = sums[1 : 1 + s] + 1, sums[1 + s : 1 + s + s * s].reshape(s, s) + 1, sums[1 + s + s * s :].reshape(z, s)
@@ -197,7 +203,7 @@ def _round(texts: DataFrame, v, m: Hmm) -> tuple[float, Hmm]:
 
 
 def train(texts: DataFrame, v, rounds: int = ROUNDS, warm_rounds: int = WARM_ROUNDS, seed: int = 11) -> Hmm:
-    """From rows (place, text); a hash in `place` draws the sample. `v`: the vocabulary, shipped."""
+    """From rows (text), by warm_rounds + rounds rounds over all of them. `v`: the vocabulary, shipped."""
     draw = np.random.default_rng(seed)
     z = len(v.value.unigram)
     emit = v.value.unigram[:, None] * draw.uniform(0.2, 1.8, (z, STATES))
@@ -205,13 +211,9 @@ def train(texts: DataFrame, v, rounds: int = ROUNDS, warm_rounds: int = WARM_ROU
     m = Hmm(np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
     if not v.value.tokens:
         return m
-    number = int(v.value.count[np.searchsorted(v.value.head, END)])
-    drawn = F.pmod("place", F.lit(DRAWS)) < math.ceil(DRAWS * min(1.0, WARM_TEXTS / max(1, number)))
-    sample = cut(texts.where(drawn).repartition(min(8, parallelism(texts.sparkSession))))
-    for _ in range(warm_rounds):
-        _, m = _round(sample, v, m)
-    for _ in range(rounds):
-        _, m = _round(texts, v, m)
+    coded = cut(_coded(texts, v))
+    for _ in range(warm_rounds + rounds):
+        _, m = _coded_round(coded, v, m)
     return m
 
 
@@ -247,7 +249,7 @@ def _scored(rows: DataFrame, v, m: Hmm) -> DataFrame:
 
 
 def scores(rows: DataFrame, training: DataFrame, head_words: int = HEAD, words: int = WORDS) -> DataFrame:
-    """Column `row`, and n_tokens, n_known, train_tokens, base_score and score, of rows (row, text); training: rows (place, text)."""
+    """Column `row`, and n_tokens, n_known, train_tokens, base_score and score, of rows (row, text); training: rows (text)."""
     spark = rows.sparkSession
     counts = cut(hash_counts(training, CLASSES))
     v = Shipped(spark, vocabulary(counts, training.count(), head_words, words))

@@ -103,7 +103,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of each whole text; the held-out fifth is not learned from."""
     docs = documents(spark, sf_dir)
     rows = packed(docs, ["doc_id"], text=F.col("text"))
-    training = docs.where(~toxicity.held_out(F.col("doc_id"), 5, 1)).select(F.xxhash64("doc_id", "text").alias("place"), "text")
+    training = docs.where(~toxicity.held_out(F.col("doc_id"), 5, 1)).select("text")
     doc_id = F.col("row.doc_id")
     return language_model.scores(rows, training).select(doc_id, toxicity.held_out(doc_id, 5, 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 

@@ -28,7 +28,7 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, bytes, offsets) of the texts, cut so that their bytes stay near `most`. Null texts are empty.
+    """(rows, bytes, offsets) of the texts or binaries, cut so that their bytes stay near `most`. Null texts are empty.
 
     At the end, memory that the slices took goes back to the system: workers live on between tasks.
     """
@@ -48,7 +48,7 @@ def release() -> None:
 
 def _slices(batches: Iterable[pa.RecordBatch], text: str, most: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_string()).fill_null("")
+        column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary()).fill_null(b"")
         offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1 + column.offset)[column.offset :]
         data = column.buffers()[2]
         data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)

@@ -118,3 +118,35 @@ def test_messy_and_no_training(messy, no_docs):
     out = lm.scores(rows, messy.select(F.xxhash64("doc_id").alias("place"), "text")).collect()
     assert len(out) == messy.count() and all(math.isfinite(r.score) and r.n_known == r.n_tokens for r in out)
     assert lm.scores(no_docs.select(F.struct("doc_id").alias("row"), "text"), none).count() == 0
+
+
+def test_every_round_is_baum_welch_over_all_whole_texts(docs_of):
+    """1,500 texts, a rare kind in 3 of them, one text long; against rounds by hand."""
+    train = [prose(6, k) for k in range(1496)] + [prose(400, 1)] + ["zu zo zu zo"] * 3
+    texts = docs_of(train).select(F.xxhash64("doc_id").alias("place"), "text")
+    v = Shipped(texts.sparkSession, lm.vocabulary(lm.hash_counts(texts, 4), len(train), lm.HEAD, 20, 4))
+    m = lm.train(texts, v, rounds=0, warm_rounds=0)
+    seqs = []
+    for t in train:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        seqs.append(lm._symbols(v.value, raw, np.array([0, len(raw)]))[0])
+    for _ in range(3):
+        start, move, emit = np.ones(lm.STATES), np.ones((lm.STATES, lm.STATES)), np.zeros_like(m.emit)
+        for x in seqs:
+            a, b = np.zeros((len(x), lm.STATES)), np.ones((len(x), lm.STATES))
+            for t in range(len(x)):
+                a[t] = (m.start if t == 0 else a[t - 1] @ m.move) * m.emit[x[t]]
+                a[t] /= a[t].sum()
+            for t in range(len(x) - 2, -1, -1):
+                b[t] = m.move @ (m.emit[x[t + 1]] * b[t + 1])
+                b[t] /= b[t].sum()
+            for t in range(len(x)):
+                gamma = a[t] * b[t] / (a[t] @ b[t])
+                emit[x[t]] += gamma
+                start += gamma * (t == 0)
+                if t:
+                    both = np.outer(a[t - 1], m.emit[x[t]] * b[t]) * m.move
+                    move += both / both.sum()
+        m = lm.Hmm(start / start.sum(), move / move.sum(axis=1)[:, None], (emit + lm.PRIOR * v.value.unigram[:, None]) / (emit.sum(axis=0) + lm.PRIOR))
+    got = lm.train(texts, v, rounds=1, warm_rounds=2)
+    assert np.allclose(got.start, m.start) and np.allclose(got.move, m.move) and np.allclose(got.emit, m.emit)
