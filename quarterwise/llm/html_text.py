@@ -3,8 +3,10 @@
 A page becomes a tree; scripts, forms and what a page marks as navigation, advert, notice or comments
 leave it first. Each node's composite density is its characters per tag, adjusted by the share of
 link characters and link tags in it and in the body. The node whose children's densities sum to most
-is the main subtree. The least density on the path from the body to it is the threshold: blocks of
-the subtree that are mostly links and fall below it are left out.
+is the main subtree. The least density on the path from the body to it is the threshold: every subtree
+that reaches it is kept around its own node of largest sum, with a heading right before it. Composite density grows with a
+node's size, so subtrees that are not mostly links may reach the threshold in plain characters per tag too.
+Blocks inside that are mostly links and fall below it are left out.
 
 Blocks are the runs of text between block-level tags. Character references are decoded, white space
 inside a block becomes one space, blocks are joined by an empty line.
@@ -34,6 +36,7 @@ DROPPED = frozenset("script style noscript iframe template svg canvas object emb
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("article body center div fieldset figure main section table td".split())
 CLOSES = {
     "p": frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()),
@@ -161,8 +164,8 @@ def _kept(page: Page) -> list[bool]:
     return kept
 
 
-def densities(page: Page, kept: list[bool]) -> tuple[list[float], list[float]]:
-    """Composite density of each node, and the share of link characters in it."""
+def densities(page: Page, kept: list[bool]) -> tuple[list[float], list[float], list[float]]:
+    """Composite density of each node, the share of link characters in it, and its characters per tag."""
     n = len(page.tag)
     chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -196,20 +199,67 @@ def densities(page: Page, kept: list[bool]) -> tuple[list[float], list[float]]:
             continue
         base = math.log(c / max(1, c - lc) * lc + ratio * c + math.e)
         out.append(c / max(1, t) * math.log(max(c / max(1, lc) * max(1, t) / max(1, lt), 1.0)) / math.log(max(base, 1 + 1e-9)))
-    return out, [lc / c if c else 0.0 for c, lc in zip(chars, links, strict=True)]
+    return out, [lc / c if c else 0.0 for c, lc in zip(chars, links, strict=True)], [c / max(1, t) for c, t in zip(chars, tags, strict=True)]
+
+
+def _sums(page: Page, kept: list[bool], density: list[float]) -> list[float]:
+    sums = [0.0] * len(density)
+    for node in range(1, len(density)):
+        if kept[node]:
+            sums[page.parent[node]] += density[node]
+    return sums
+
+
+def _container(page: Page, inside: list[int]) -> int:
+    """The node to keep of a path from a node up: a paragraph or a heading is a part of its container; an article is one, whatever its densest part."""
+    top = next((k for k in inside if page.tag[k] in CONTAINERS), inside[-1])
+    return next((k for k in reversed(inside) if page.tag[k] in ("article", "main")), top)
+
+
+def _reaching(page: Page, sums: list[float], reaches: list[bool], top: int, body: int) -> set[int]:
+    """`top`, and the container of the node of largest sum in each subtree of the body that reaches the threshold and has none yet."""
+    n = len(sums)
+    largest = list(range(n))
+    for node in range(n - 1, 0, -1):
+        up, own = page.parent[node], largest[node]
+        if (sums[own], -own) > (sums[largest[up]], -largest[up]):
+            largest[up] = own
+    tops, within, inside = {top}, [top == 0] * n, [body == 0] * n
+    for node in range(1, n):
+        inside[node] = node == body or inside[page.parent[node]]
+        within[node] = node in tops or within[page.parent[node]]
+        if within[node] or not (inside[node] and reaches[node]):
+            continue
+        path = [largest[node]]
+        while path[-1] != node and path[-1] not in tops:
+            path.append(page.parent[path[-1]])
+        if path[-1] not in tops:
+            tops.add(_container(page, path))
+            within[node] = node in tops
+    return tops
+
+
+def _with_headings(page: Page, kept: list[bool], tops: set[int]) -> set[int]:
+    """Adds headings that stand right before a kept node."""
+    last: dict[int, int] = {}
+    out = set(tops)
+    for node in range(1, len(kept)):
+        up = page.parent[node]
+        if node in tops and page.tag[last.get(up, 0)] in HEADINGS:
+            out.add(last[up])
+        if kept[node]:
+            last[up] = node
+    return out
 
 
 def extract(source: str | None) -> tuple[str, str]:
-    """Text of a page's main subtree, and the subtree's path of tags."""
+    """Text of a page's kept subtrees, and the main one's path of tags."""
     if not source:
         return "", ""
     page = Page(source)
     kept = _kept(page)
-    density, linked = densities(page, kept)
-    sums = [0.0] * len(density)
-    for node in range(1, len(density)):
-        if kept[node]:
-            sums[page.parent[node]] += density[node]
+    density, linked, plain = densities(page, kept)
+    sums = _sums(page, kept, density)
     best = max(range(len(sums)), key=lambda k: (sums[k], -k))
     path, node = [], best
     while node >= 0:
@@ -217,11 +267,10 @@ def extract(source: str | None) -> tuple[str, str]:
         node = page.parent[node]
     body = next((k for k in path if page.tag[k] == "body"), 0)
     inside = path[: path.index(body) + 1]
-    # a paragraph or a heading is a part of its container; an article is one, whatever its densest part
-    top = next((k for k in inside if page.tag[k] in CONTAINERS), body)
-    top = next((k for k in reversed(inside) if page.tag[k] in ("article", "main")), top)
-    threshold = min(density[k] for k in inside)
-    blocks, run, open_nodes, within, skip = [], [], [0], 0, 0
+    threshold, plain_threshold = min(density[k] for k in inside), min(plain[k] for k in inside)
+    reaches = [k and d > 0 and (d >= threshold or (p >= plain_threshold and share <= 0.5)) for k, d, p, share in zip(kept, density, plain, linked, strict=True)]
+    tops = _with_headings(page, kept, _reaching(page, sums, reaches, _container(page, inside), body))
+    blocks, run, within, skip = [], [], 0, 0
 
     def end_block() -> None:
         text = " ".join("".join(run).split())
@@ -231,7 +280,7 @@ def extract(source: str | None) -> tuple[str, str]:
 
     for e in page.events:
         if isinstance(e, str):
-            if (within or top == 0) and not skip:
+            if (within or 0 in tops) and not skip:
                 run.append(e)
             continue
         node = e if e >= 0 else -1 - e
@@ -241,7 +290,7 @@ def extract(source: str | None) -> tuple[str, str]:
             run.append(" ")
         left_out = not kept[node] or (page.tag[node] in BLOCK and linked[node] > 0.5 and density[node] < threshold)
         if e >= 0:
-            within += node == top or within > 0
+            within += node in tops or within > 0
             skip += left_out or skip > 0
         else:
             within -= within > 0

@@ -74,3 +74,14 @@ def test_messy_rows(spark):
     out = html_text.main_text(pages).selectExpr("row.page_id", "row.text as own", "text").collect()
     assert sorted(r.text for r in out) == ["", "", "a", "a"]
     assert html_text.main_text(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["section", "div", "article"])
+@pytest.mark.parametrize("sizes", [(2, 3), (8, 10), (3, 2, 4), (1, 6)])
+def test_siblings_that_hold_the_text_are_all_kept(tag, sizes):
+    parts = [[f"Part {i}", *(f"{WORDS * 2}{i} {k}" for k in range(n))] for i, n in enumerate(sizes)]
+    inner = "".join(f"<{tag}><h2>{h}</h2>{''.join(f'<p>{p}</p>' for p in ps)}</{tag}>" for h, *ps in parts)
+    outside = "".join(f"<h2>{h}</h2><{tag}>{''.join(f'<p>{p}</p>' for p in ps)}</{tag}>" for h, *ps in parts)
+    links = "<ul>" + "".join(f"<li><a href=/{k}>Link number {k}</a></li>" for k in range(30)) + "</ul>"
+    for body in (inner, outside):
+        assert extract(f"<body>{links}<div id=content>{body}</div>{links}</body>")[0] == "\n\n".join(b for p in parts for b in p)
