@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree; scripts, forms and what a page marks as navigation, advert, notice or comments
-leave it first. Each node's composite density is its characters per tag, adjusted by the share of
+A page becomes a tree; scripts, forms and hidden parts leave it first, then containers whose whole class name or id
+marks them as navigation, advert, notice or comments, unless they hold the main subtree or most of the body's
+text outside links. Each node's composite density is its characters per tag, adjusted by the share of
 link characters and link tags in it and in the body. The node whose children's densities sum to most
 is the main subtree. The least density on the path from the body to it is the threshold: every subtree
 that reaches it is kept around its own node of largest sum, with a heading right before it. Composite density grows with a
@@ -59,11 +60,11 @@ OTHER_PARTS = frozenset(
     comment comments commentlist disqus replies respond reply share sharing social related recommended recommendations widget widgets copyright disclaimer""".split()
 )
 OUTSIDE_ARTICLE = frozenset({"header"})
+UNMARKED = HEADINGS | frozenset("html body article main p blockquote pre".split())
 OTHER_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar toolbar form".split())
 
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+))|([^\s=/\"'>]+)")
-_NAME = re.compile(r"[a-z]+")
 
 
 class Page:
@@ -146,24 +147,62 @@ def _is_other(page: Page, node: int, in_article: bool) -> bool:
         return False
     for m in _ATTRIBUTE.finditer(page.attributes[node]):
         name, value = (m[1] or m[5]).lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id"):
-            words = set(_NAME.findall(html.unescape(value)))
-            if words & OTHER_PARTS or (not in_article and words & OUTSIDE_ARTICLE):
-                return True
-        elif (name == "role" and value.strip() in OTHER_ROLES) or name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
+        if (name == "role" and value.strip() in OTHER_ROLES) or name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             return True
     return False
 
 
+def _is_marked(page: Page, node: int, in_article: bool) -> bool:
+    """Whether a whole class name or the id says that this is another part. Paragraphs and headings are never parts of their own."""
+    if not page.attributes[node] or page.tag[node] in UNMARKED:
+        return False
+    for m in _ATTRIBUTE.finditer(page.attributes[node]):
+        if (m[1] or m[5]).lower() in ("class", "id"):
+            names = set(html.unescape(m[2] or m[3] or m[4] or "").lower().split())
+            if names & OTHER_PARTS or (not in_article and names & OUTSIDE_ARTICLE):
+                return True
+    return False
+
+
 def _kept(page: Page) -> list[bool]:
-    kept, article = [True], [False]
+    kept, article, marked = [True], [False], [False]
     for node in range(1, len(page.tag)):
         up = page.parent[node]
         article.append(article[up] or page.tag[node] in ("article", "main"))
         kept.append(kept[up] and not _is_other(page, node, article[node]))
+        marked.append(kept[node] and _is_marked(page, node, article[node]))
+    if any(marked):
+        main = _holding_text(page, kept, article, marked)
+        for node in range(1, len(kept)):
+            kept[node] = kept[node] and kept[page.parent[node]] and (not marked[node] or main[node])
     return kept
 
 
+def _holding_text(page: Page, kept: list[bool], article: list[bool], marked: list[bool]) -> list[bool]:
+    """Nodes that hold the node of largest sum, or most of the body's text outside links. If an article has text outside its own marked parts, that node is sought there."""
+    density, linked, plain = densities(page, kept)
+    sums = _sums(page, kept, density)
+    n = len(kept)
+    under = [False] * n
+    for node in range(1, n):
+        under[node] = page.tag[node] not in ("article", "main") and (marked[node] or under[page.parent[node]])
+    own = [k for k in range(n) if article[k] and not under[k] and density[k] > 0]
+    main = [False] * n
+    node = max(own or range(n), key=lambda k: (sums[k], -k))
+    while node >= 0:
+        main[node] = True
+        node = page.parent[node]
+    if not own:
+        tags = [0] * n
+        for node in range(n - 1, 0, -1):
+            if kept[node]:
+                tags[page.parent[node]] += tags[node] + 1
+        free = [p * max(1, t) * (1 - share) for p, t, share in zip(plain, tags, linked, strict=True)]
+        body = next((k for k in range(n) if page.tag[k] == "body"), 0)
+        main = [held or f > free[body] / 2 for held, f in zip(main, free, strict=True)]
+    return main
+
+
 def densities(page: Page, kept: list[bool]) -> tuple[list[float], list[float], list[float]]:
     """Composite density of each node, the share of link characters in it, and its characters per tag."""
     n = len(page.tag)
@@ -268,7 +307,8 @@ def extract(source: str | None) -> tuple[str, str]:
     body = next((k for k in path if page.tag[k] == "body"), 0)
     inside = path[: path.index(body) + 1]
     threshold, plain_threshold = min(density[k] for k in inside), min(plain[k] for k in inside)
-    reaches = [k and d > 0 and (d >= threshold or (p >= plain_threshold and share <= 0.5)) for k, d, p, share in zip(kept, density, plain, linked, strict=True)]
+    # composite density of a few words without links and tags is as high as that of an article: they count by characters per tag only
+    reaches = [k and d > 0 and ((d >= threshold and own > 0) or (p >= plain_threshold and share <= 0.5)) for k, d, p, share, own in zip(kept, density, plain, linked, sums, strict=True)]
     tops = _with_headings(page, kept, _reaching(page, sums, reaches, _container(page, inside), body))
     blocks, run, within, skip = [], [], 0, 0
 

@@ -85,3 +85,18 @@ def test_siblings_that_hold_the_text_are_all_kept(tag, sizes):
     links = "<ul>" + "".join(f"<li><a href=/{k}>Link number {k}</a></li>" for k in range(30)) + "</ul>"
     for body in (inner, outside):
         assert extract(f"<body>{links}<div id=content>{body}</div>{links}</body>")[0] == "\n\n".join(b for p in parts for b in p)
+
+
+@pytest.mark.parametrize("wrapper", ["layout has-sidebar", "no-comments", "with-cookie-notice", "post share-enabled", "content sidebar", "widget"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_layout_classes_do_not_drop_the_article(wrapper, tag):
+    body = "".join(f"<p>{WORDS * 2}{k}</p>" for k in range(4))
+    source = f'<body><nav><a href=/>Home</a></nav><div class="{wrapper}"><{tag}>{body}<div class="ad">Buy now</div></{tag}></div><div class="comments"><p>First!</p></div></body>'
+    assert extract(source)[0] == "\n\n".join(f"{WORDS * 2}{k}" for k in range(4))
+
+
+def test_parts_of_an_article_are_not_dropped_by_a_word_in_their_class():
+    body = "".join(f"<p>{WORDS * 2}{k}</p>" for k in range(4))
+    comments = "".join(f"<div><p>{WORDS * 3}</p></div>" for _ in range(9))
+    text, _ = extract(f'<body><article>{body}<p class="notice">Note this.</p><section class="related-work"><p>{WORDS}</p></section><section id="comments">{comments}</section></article></body>')
+    assert text == "\n\n".join([*(f"{WORDS * 2}{k}" for k in range(4)), "Note this.", WORDS.strip()])
