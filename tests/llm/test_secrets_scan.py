@@ -59,3 +59,15 @@ def test_marginal_bytes():
 def test_identifiers_count_all_texts(docs_of, no_docs):
     assert secrets_scan.identifiers(docs_of(["foo bar_1 foo " * 20, None, "foo 12 ab", "bar_1 q", "rare_one"])) == ["foo", "bar_1"]
     assert secrets_scan.spans(no_docs).count() == 0
+
+
+def test_secrets_of_letters_only_are_measured(docs_of):
+    """A repeated name and a word that the corpus uses are not novel."""
+    word = "responsabilidades"
+    texts = [
+        "send it with bearer QxZkWvJpTrLmHsYd to the host", "the pwd is qxzkwvjptrlmhsydbgfc for now", "signature QXZKWVJPTRLMHSYD end",
+        f"the private {word} of it", "AuthenticatorFactory " * 40 + "key AuthenticatorFactory", f"{word} " * 40,
+    ]
+    rows = {r.row.doc_id: [(s.kind, s.secret) for s in r.spans] for r in secrets_scan.spans(docs_of(texts)).collect()}
+    assert [rows[k] for k in range(3)] == [[("novel", "QxZkWvJpTrLmHsYd")], [("novel", "qxzkwvjptrlmhsydbgfc")], [("novel", "QXZKWVJPTRLMHSYD")]]
+    assert rows[3] == [] and rows[4] == []
