@@ -49,8 +49,8 @@ BEGINNINGS = range(3, 13)
 EXCEPTION_TEXTS, EXCEPTION_SHARE = 5, 0.95
 #: Values of a hash, a share of which draws the rows that the curve is fitted on.
 DRAWS = 1 << 40
-#: Entries and exceptions, strongest first, and (about) labelled rows that the curve is fitted on: bounds of the model's size.
-MOST_ENTRIES, FIT_ROWS = 20_000, 50_000
+#: About so many labelled rows are those that the curve is fitted on. Entries and exceptions have no such bound: all that meet the thresholds count.
+FIT_ROWS = 50_000
 
 # Letters of other scripts that look like Latin ones, and digits read as letters.
 LOOK_ALIKE = {
@@ -179,7 +179,7 @@ def learn_entries(texts: DataFrame, labelled: DataFrame, toxic: int, clean: int)
     strongest = own.join(entry_of, "word").groupBy("id").agg(F.max_by("entry", F.struct("t", "entry")).alias("entry"))
     counted = chosen.join(strongest.groupBy("entry").count(), "entry", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     kept = counted.where((F.col("count") >= LEAST_TEXTS) | (F.col("t") >= SURE_TEXTS))
-    rows = kept.orderBy(F.desc("t"), "entry").limit(MOST_ENTRIES).select("entry", "t", "n").collect()
+    rows = sorted(kept.select("entry", "t", "n").collect(), key=lambda r: (-r.t, r.entry))
     return {r.entry: math.log((r.t + 0.5) / (toxic + 1)) - math.log((r.n - r.t + 0.5) / (clean + 1)) for r in rows}
 
 
@@ -196,7 +196,7 @@ def learn_exceptions(texts: DataFrame, labelled: DataFrame, entries: dict[str, f
     phrases = _emitted(texts, labelled, around, "array<string>").where(F.size("made") > 0).join(labelled, "id").select("toxic", F.explode("made").alias("phrase"))
     counts = phrases.groupBy("phrase").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
     clean = counts.where((F.col("n") - F.col("t") >= EXCEPTION_TEXTS) & (1 - F.col("t") / F.col("n") >= EXCEPTION_SHARE))
-    return [r.phrase for r in clean.orderBy(F.desc("n"), "phrase").limit(MOST_ENTRIES).collect()]
+    return [r.phrase for r in sorted(clean.select("phrase", "n").collect(), key=lambda r: (-r.n, r.phrase))]
 
 
 def _sums(rows: DataFrame, entries: dict[str, float], exceptions: Sequence[str], text: str) -> DataFrame:

@@ -80,3 +80,12 @@ def test_curve_never_falls_with_weight():
     x = draw.uniform(0, 3, (500, 2))
     _, b, c = tox._fit(x, (x[:, 0] + draw.normal(0, 0.3, 500) < 1).astype(float))
     assert b >= 0 and c >= 0
+
+
+def test_no_entry_or_exception_is_cut_by_rank(labelled, monkeypatch):
+    """Whatever cap the module had before: with one of 1, only the most frequent would stay."""
+    monkeypatch.setattr(tox, "MOST_ENTRIES", 1, raising=False)
+    docs, labels = labelled
+    model = tox._model(docs, labels, "doc_id", "text", "toxic", ())
+    assert {e.strip() for e in model.entries} == {tox.fold(b).strip() for b in BAD}
+    assert len(model.exceptions) > 1
