@@ -1,4 +1,4 @@
-"""The registered queries op1 to op10 and the DuckDB SQL of those that SQL can express."""
+"""The registered queries op1 to op13 and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterwise.llm import decontamination, exact_dedup, html_text, language_id, language_model, mixing, near_dedup, pii, secrets_scan, toxicity
+from quarterwise.llm import decontamination, exact_dedup, html_text, language_id, language_model, line_dedup, mixing, near_dedup, pii, secrets_scan, toxicity
 from quarterwise.llm.columns import packed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of each page."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return html_text.main_text(pages, keep=["page_id", "url"]).select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+_LINES_SQL = r"""
+with d as (select row_number() over () as row, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+l as (select row, doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as place from d),
+k as (select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+often as (select key, max(doc_id) as top from k where length(key) >= 20 group by key having count(distinct row) >= 3),
+m as (select k.*, often.key is not null and doc_id is distinct from top as lost from k left join often on k.key = often.key)
+select any_value(doc_id) as doc_id, count(*) as n_lines, count_if(lost)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not lost), '')) as kept_sha256
+from m group by row
+"""
+
+
+@query("op13_line_dedup", _LINES_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document that larger ids hold as well, and what stays of the text."""
+    kept = line_dedup.without_repeated_lines(documents(spark, sf_dir), keep=["doc_id"])
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark import cloudpickle
@@ -56,6 +57,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As `cut`, but as a Parquet table, whose size the planner knows: a join broadcasts it only under the session's threshold."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bit_filter(df: DataFrame, value: Column) -> np.ndarray:
     """Bits of FILTER_BITS set at the low bits of a 64-bit column. At most 2,048 bitmaps of 4 KB come back, for any number of rows."""
     small_batches(df.sparkSession)
