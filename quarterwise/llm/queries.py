@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterwise.llm import decontamination, exact_dedup, html_text, language_id, language_model, line_dedup, mixing, near_dedup, pii, secrets_scan, toxicity
+from quarterwise.llm import decontamination, exact_dedup, html_text, language_id, language_model, line_dedup, merkle, mixing, near_dedup, periodic, pii, secrets_scan, toxicity
 from quarterwise.llm.columns import packed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,6 +161,105 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(pages, keep=["page_id", "url"]).select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+#: Bits of a byte through the CRC-32 polynomial, and the checksum of a number's decimal digits.
+_CRC_SQL = """
+crc as (select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t from (select unnest(range(256)) as i)),
+checked as (select *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) as crc32 from documents, crc)"""
+
+
+def _field_sql(name: str) -> str:
+    return f"coalesce(strlen(({name})::varchar)::varchar || ':' || ({name})::varchar, '-')"
+
+
+def _tree_sql(name: str, nodes: str, levels: int) -> str:
+    """Levels of trees over `nodes` (tree, place, digest): `{name}_runs{k}` with the children of level k, `{name}_left` what is left of each tree."""
+    parts = [f"{name}0 as (select *, max(place) over (partition by tree) as last from {nodes})"]
+    for k in range(1, levels + 1):
+        parts.append(f"{name}_runs{k} as (select tree, place // 16 as place, list(digest order by place) as children from {name}{k - 1} where last > 0 group by 1, 2)")
+        parts.append(f"{name}{k} as (select tree, place, sha256(array_to_string(children, '')) as digest, max(place) over (partition by tree) as last from {name}_runs{k})")
+    left = " union all ".join(f"select tree, digest from {name}{k} where last = 0" for k in range(levels + 1))
+    return ",\n".join([*parts, f"{name}_left as ({left})"])
+
+
+def _merkle_sql(levels: int = 5, above: int = 3) -> str:
+    """Nodes level by level; a document's siblings are those of its run on each level. Up to 16**levels documents a source, 16**above sources."""
+    fields = [f"f_{f}" for f in ("doc_id", "source", "lang", "n_chars")]
+    head = ", ".join(f"{_field_sql(f)} as f_{f}" for f in ("doc_id", "source", "lang", "n_chars"))
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [("s", k, "d.tree", "d.place") for k in range(1, levels + 1)] + [("r", k, "0", "d.tree") for k in range(1, above + 1)]
+    joins = " ".join(f"left join {t}_runs{k} as {t}j{k} on {t}j{k}.tree = {tree} and {t}j{k}.place = {at} // {16**k}" for t, k, tree, at in steps)
+    sides = ", ".join(
+        f"coalesce(array_to_string({t}j{k}.children[1:{at} // {16 ** (k - 1)} % 16], ''), '') as {t}a{k}, "
+        f"coalesce(array_to_string({t}j{k}.children[{at} // {16 ** (k - 1)} % 16 + 2:], ''), '') as {t}b{k}, {t}j{k}.children is null as {t}n{k}"
+        for t, k, _, at in steps
+    )
+    folds, node = [], "presented"
+    for t, k, _, _ in steps:
+        folds.append(f"fold_{t}{k} as (select *, case when {t}n{k} then node else sha256({t}a{k} || node || {t}b{k}) end as next from {folds and f'(select * exclude (node, next), next as node from fold_{last})' or '(select *, presented as node from paths)'})")
+        last = f"{t}{k}"
+    proof = " || ".join(f"{t}a{k} || {t}b{k}" for t, k, _, _ in steps)
+    return f"""
+with {_CRC_SQL.strip()},
+f as (select doc_id, source, crc32, text, {_field_sql('text')} as f_text, {head} from checked),
+l as (select doc_id, source, sha256({' || '.join(fields)} || f_text) as leaf,
+    sha256({' || '.join(fields)} || case when crc32 % 5 = 0 then {_field_sql(lowered)} else f_text end) as presented from f),
+d as (select *, dense_rank() over (order by source nulls first) - 1 as tree, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as place from l),
+nodes as (select tree, place, leaf as digest from d),
+{_tree_sql('s', 'nodes', levels)},
+subroots as (select 0 as tree, tree as place, digest from s_left),
+{_tree_sql('r', 'subroots', above)},
+paths as (select d.*, {sides} from d {joins}),
+{(',' + chr(10)).join(folds)}
+select doc_id, leaf, s_left.digest as subroot, r_left.digest as root, sha256({proof}) as proof_sha256, next as folded_root, next = r_left.digest as verified
+from fold_{last} as x join s_left on s_left.tree = x.tree, r_left
+"""
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's proof in the manifest of all, and the root that it gives where every fifth text has been altered."""
+    docs = documents(spark, sf_dir)
+    altered = {f: F.col(f) for f in merkle.FIELDS} | {"text": F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")}
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle.leaf_digest(list(altered.values())))
+    made = merkle.manifest(merkle.document_leaves(docs, ["doc_id"], tampered=tampered))
+    requests = made.leaves.select(F.struct("row.doc_id", "tampered").alias("request"), "tree", "at")
+    found = merkle.proofs(made, requests).withColumn("folded_root", merkle.folded(F.coalesce("request.tampered", "leaf"), F.col("path")))
+    return found.select(
+        "request.doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """The texts, every tenth by its id's checksum with its words from a place on repeated over and over."""
+    check = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.when(check % 10 == 0, F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0)))
+    numbers = docs.select("doc_id", "text", F.floor(check / 10).alias("g"), chosen.alias("words")).withColumn("n", F.size("words"))
+    numbers = numbers.withColumn("a", (F.col("g") % F.greatest("n", F.lit(1))).cast("int"))
+    numbers = numbers.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    cycle = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times))
+    repeated = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(cycle, F.lit(1), F.col("n") - F.col("a")))
+    return numbers.select("doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in each document, the longest one, and what is left when each keeps one period."""
+    found = periodic.periodic_runs(_planted(documents(spark, sf_dir)), keep=["doc_id"])
+    first = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    return found.withColumn("first", first).select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("first.start")).alias("start"),
+        F.col("first.length").alias("length"),
+        (-F.col("first.period")).alias("period"),
+        F.expr("(1000 * first.length) div -first.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 _LINES_SQL = r"""
 with d as (select row_number() over () as row, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
 l as (select row, doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as place from d),
