@@ -163,6 +163,8 @@ def fragments(codes: np.ndarray, bounds: np.ndarray, low: np.ndarray, high: np.n
         if not hits:
             continue
         q, c, t = (np.concatenate(x) for x in zip(*hits))
+        if not len(q):
+            continue
         order = np.lexsort((c, q))
         q, c, t = q[order], c[order], t[order]
         new = np.ones(len(q), bool)
@@ -204,9 +206,7 @@ def stitched(found: DataFrame) -> DataFrame:
     return runs.where(F.col("stop") - F.col("start") >= F.greatest(F.lit(LEAST_WORDS), LEAST_PERIODS * F.col("period")))
 
 
-@F.arrow_udf("string")
-def collapsed(body: pa.Array, runs: pa.Array) -> pa.Array:
-    """The words of a text, joined by one space, without those that repeat earlier ones of a run."""
+def _collapse(body: pa.Array, runs: pa.Array) -> pa.Array:
     out = []
     for text, own in zip(body.cast(pa.binary()).to_pylist(), runs.to_pylist()):
         kept = text.split()
@@ -219,6 +219,11 @@ def collapsed(body: pa.Array, runs: pa.Array) -> pa.Array:
     return pa.array(out, pa.binary()).cast(pa.string())
 
 
+def collapsed(body: str, runs: str) -> Column:
+    """The words of a text, joined by one space, without those that repeat earlier ones of a run."""
+    return F.arrow_udf(_collapse, "string")(body, runs)
+
+
 def _marks(body: Column) -> list[Column]:
     return [F.xxhash64(body).alias("a"), F.xxhash64(F.lit("second"), body).alias("b")]
 
