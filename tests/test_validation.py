@@ -45,6 +45,10 @@ def test_first_record_wins_and_unusable_rows_go(spark):
     assert v.validation_report(df).first().asDict() == {"rows_read": 7, "rows_kept": 2, "rows_dropped": 5}
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_copies_that_dominate_the_input_combine_before_the_shuffle(spark):
     df = spark.range(20_000).selectExpr(
         "cast(id as string) record_id", "'1' company_id", "'2020-01-01' date", "cast(id as string) revenue",
@@ -52,8 +56,36 @@ def test_copies_that_dominate_the_input_combine_before_the_shuffle(spark):
     )
     out = v.validate_financial_records(df)
     assert [r["record_id"] for r in out.collect()] == [0]
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min" in plan and "Window" not in plan
+    assert "partial_min_by" in plan_of(out) and "Window" not in plan_of(out)
+
+
+def test_rows_with_ids_are_never_sorted(spark, records):
+    text = raw(spark, [text_row("1", "1", "2020-01-01")])
+    for df in (v.validate_financial_records(text), v.validation_report(text), v.drop_duplicate_records(records([row(1, Q1)]))):
+        assert "HashAggregate" in plan_of(df) and "SortAggregate" not in plan_of(df)
+    # text cannot be held by a hash aggregate
+    assert "SortAggregate" in plan_of(v.drop_duplicate_records(text.selectExpr("cast(company_id as long) company_id", "date", "cast(record_id as long) record_id", "revenue")))
+
+
+def test_first_of_ids_at_the_ends_of_their_range(spark):
+    top = 2**63 - 1
+    rows = [(1, Q1, i, float(k)) for k, i in enumerate([top, 0, -top - 1, 5])] + [(2, Q1, i, float(k)) for k, i in enumerate([-top - 1, None])] + [(3, Q1, None, None), (4, Q1, top, -0.5)]
+    df = spark.createDataFrame(rows, "company_id long, date date, record_id long, revenue double")
+    got = {r["company_id"]: (r["record_id"], r["revenue"]) for r in v.drop_duplicate_records(df).collect()}
+    assert got == {1: (-top - 1, 2.0), 2: (None, 1.0), 3: (None, None), 4: (top, -0.5)}
+
+
+def test_rows_that_share_the_lowest_id_give_one_whole_row_whatever_the_partitions(spark):
+    rows = [(1, Q1, 7, float(k), float(-k)) for k in range(50)] + [(1, Q1, 8, 1e9, 1e9)]
+    df = spark.createDataFrame(rows, "company_id long, date date, record_id long, revenue double, profit double")
+    got = {tuple(v.drop_duplicate_records(df.repartition(n)).first()) for n in (1, 3, 8)}
+    assert len(got) == 1 and (kept := got.pop())[2] == 7 and kept[3] == -kept[4]
+
+
+def test_the_report_counts_what_validation_keeps(spark):
+    rows = [text_row(None if k % 5 == 0 else str(k % 7), str(k % 3), f"2020-0{1 + k % 4}-01", revenue=None if k % 2 else str(k)) for k in range(60)]
+    for df in (raw(spark, rows), raw(spark, rows).drop("record_id")):
+        assert v.validation_report(df).first()["rows_kept"] == v.validate_financial_records(df).count()
 
 
 def test_dates(spark):
