@@ -1,6 +1,12 @@
+import hashlib
+import math
+
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from quarterwise import schema
+from quarterwise.functions.quantiles import group_quantiles
 from quarterwise.operators import anomaly, isolation
 from quarterwise.plans import reports
 from tests.conftest import quarter, row
@@ -53,35 +59,64 @@ def test_summaries(spark, companies):
     assert anomaly.severe_flags(flags).count() == 1
 
 
-def walk(point, base, feature, threshold, size):
-    node, depth = 0, 0
-    while feature[base + node] >= 0:
-        node = 2 * node + 1 + int(point[feature[base + node]] > threshold[base + node])
-        depth += 1
-    return depth + float(isolation.mean_depth(size[base + node]))
-
-
-def test_forest_against_a_plain_walk():
-    rng = np.random.default_rng(0)
-    points = rng.normal(size=(40, 4))
-    n = len(points)
-    forest = isolation.grow(np.tile(points, (isolation.TREES, 1)), np.repeat(np.arange(isolation.TREES), n), isolation.depth_limit(n), rng)
-    slots = 2 ** (isolation.depth_limit(n) + 1) - 1
-    got = isolation.anomaly_score(points, *forest, n)
-    for i in (0, 7, 39):
-        paths = [walk(points[i], t * slots, *forest) for t in range(isolation.TREES)]
-        assert np.isclose(got[i], 2 ** (-np.mean(paths) / isolation.mean_depth(n)))
-    feature, _, size = forest
-    assert (size[::slots] == n).all()
-    inner = np.flatnonzero(feature >= 0)
-    tree, node = inner // slots, inner % slots
-    left = tree * slots + 2 * node + 1
-    assert (size[inner] == size[left] + size[left + 1]).all()
+def draw(*parts):
+    digest = hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()
+    return int(digest[:8], 16), int(digest[8:16], 16)
+
+
+def plain_paths(company, rows, trees=100, sample=256):
+    """Path length of each (date, point) over all trees, by recursion over lists of rows."""
+    n = min(len(rows), sample)
+    limit = math.ceil(math.log2(n))
+    usual = lambda k: 0 if k < 2 else 1_000_000 if k == 2 else round((2 * (math.log(k - 1) + np.euler_gamma) - 2 * (k - 1) / k) * 1e6)
+    total = dict.fromkeys((d for d, _ in rows), 0)
+
+    def split(tree, node, depth, inside, every):
+        spans = [] if depth == limit or not inside else [f for f in range(4) if max(p[f] for _, p in inside) > min(p[f] for _, p in inside)]
+        if not spans:
+            for d, _ in every:
+                total[d] += depth * 1_000_000 + usual(len(inside))
+            return
+        first, second = draw(company, tree, node)
+        f = spans[first * len(spans) >> 32]
+        low, high = min(p[f] for _, p in inside), max(p[f] for _, p in inside)
+        cut = low + second / 2**32 * (high - low)
+        for side in (0, 1):
+            split(tree, 2 * node + 1 + side, depth + 1, *([r for r in part if (r[1][f] > cut) == side] for part in (inside, every)))
+
+    for tree in range(trees):
+        chosen = sorted(rows, key=lambda r: (draw(company, tree, r[0])[0], r[0]))[:sample]
+        split(tree, 0, 0, chosen, rows)
+    return total
+
+
+@pytest.mark.parametrize("n, sample, block", [(6, 256, 4096), (24, 256, 4096), (24, 256, 7), (60, 16, 4096), (60, 16, 10), (17, 16, 4096), (16, 16, 5)])
+def test_paths_equal_a_plain_forest_at_any_length_and_block(series, n, sample, block):
+    rng = np.random.default_rng(n)
+    df = series({3: (100 + rng.normal(size=n)).round(3).tolist()})
+    rows = [(r["date"], tuple(r[f] for f in isolation.FEATURES)) for r in df.collect()]
+    got = isolation.isolation_scores(df, trees=20, sample=sample, block_rows=block).collect()
+    assert {r["date"]: r["path"] for r in got} == plain_paths(3, rows, 20, sample) and len(got) == n
+    usual = int(isolation.mean_depth(min(n, sample)))
+    assert all(r["score"] == pytest.approx(2 ** (-r["path"] / (20 * usual))) for r in got)
+
+
+def test_a_company_longer_than_the_default_sample(series):
+    rng = np.random.default_rng(7)
+    for n in (256, 257, 300):
+        df = series({-4: (100 + rng.normal(size=n)).tolist()})
+        rows = [(r["date"], tuple(r[f] for f in isolation.FEATURES)) for r in df.collect()]
+        got = isolation.isolation_scores(df, trees=3).collect()
+        assert {r["date"]: r["path"] for r in got} == plain_paths(-4, rows, 3)
+
+
+def test_tied_rows_are_one_leaf(series):
+    assert {r["path"] for r in isolation.isolation_scores(series({1: [50.0] * 9})).collect()} == {100 * int(isolation.mean_depth(9))}
 
 
 def test_mean_depth_of_the_paper():
-    assert isolation.mean_depth(np.array([1, 2]))[1] == 1.0 and isolation.mean_depth(np.array([1]))[0] == 0.0
-    assert np.isclose(isolation.mean_depth(256), 10.2448, atol=1e-3)
+    assert isolation.mean_depth(np.array([0, 1, 2])).tolist() == [0, 0, 1_000_000]
+    assert isolation.mean_depth(256) == 10_244_771
 
 
 def test_isolation_finds_outliers_in_short_and_long_companies(series):
@@ -97,10 +132,29 @@ def test_isolation_finds_outliers_in_short_and_long_companies(series):
     flags = isolation.isolation_forest_anomalies(df)
     counts = {r["company_id"]: r["count"] for r in flags.groupBy("company_id").count().collect()}
     assert counts == {1: 2, 2: 24}
-    again = isolation.isolation_scores(df.repartition(3)).collect()
+    again = isolation.isolation_scores(df.repartition(3), block_rows=50).collect()
     assert sorted((r["company_id"], r["date"], r["score"]) for r in again) == sorted((r["company_id"], r["date"], r["score"]) for r in scores)
 
 
+def test_group_quantiles_equal_percentile(spark):
+    rng = np.random.default_rng(2)
+    values = {
+        "normal": rng.normal(size=700), "equal": np.full(50, 3.5), "single": np.array([7.0]), "two": np.array([-1.0, 2.0]),
+        "close": 1e6 + rng.random(900), "wild": np.concatenate([[1e300, -1e300], rng.random(200)]), "ints": rng.integers(-5, 5, 400).astype(float),
+    }
+    rows = [(k, float(v)) for k, vs in values.items() for v in vs] + [("normal", None), ("none", None)]
+    df = spark.createDataFrame(rows, "name string, x double").repartition(5)
+    wanted = [0.0, 0.08, 0.25, 0.5, 0.75, 1.0]
+    got = {r["name"]: r["quantiles"] for r in group_quantiles(df, ["name"], "x", wanted).collect()}
+    exact = df.groupBy("name").agg(F.expr(f"percentile(x, array({', '.join(f'{p}D' for p in wanted)}))").alias("q")).where("q is not null").collect()
+    assert got == {r["name"]: r["q"] for r in exact} and set(got) == set(values)
+
+
+def test_quantiles_combine_before_the_shuffle(spark):
+    plan = group_quantiles(spark.range(9).selectExpr("id % 2 as k", "id * 1.0D as x"), ["k"], "x", [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and "percentile" not in plan and "SortAggregate" not in plan
+
+
 def test_timeline_shows_expenses_only_where_flagged(spark, series):
     df = series({1: [10, 11], 2: [20, 21]})
     rows = [(1, quarter(1), "expenses", 6.6, 2.2, "WARNING"), (2, quarter(0), "revenue", 20.0, 2.2, "SEVERE")]
