@@ -32,6 +32,7 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 UNITS = 10_000
+_LOW_BITS = 20
 
 
 def _hundredths(col: str) -> Column:
@@ -72,8 +73,9 @@ def financial_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per company and quarter; pre-aggregated before its only wide shuffle."""
 
     def total(name: str) -> Column:
-        # as decimals the sums have 28 digits; in 64 bits the assets of some billion lines would overflow
-        return (F.sum(F.col(name).cast("decimal(18,0)")).cast("double") / UNITS).alias(name)
+        # two 64-bit sums, put together once a group: a single one would overflow at some billion lines
+        high, low = (F.sum(F.expr(f"{name} {part} {1 << _LOW_BITS}L")).cast("decimal(19,0)") for part in ("div", "%"))
+        return ((high * F.lit(1 << _LOW_BITS) + low).cast("double") / UNITS).alias(name)
 
     measures = ["revenue", "expenses", "profit", "operating_cost", "assets", "liabilities"]
     return lines(spark, sf_dir).groupBy("company_id", "date").agg(*[total(m) for m in measures])

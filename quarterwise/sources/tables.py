@@ -1,7 +1,14 @@
-"""The five stored tables: Parquet directories under one root."""
+"""The five stored tables under one root.
+
+A table is a folder of versions, each a Parquet directory, and a small file that names the current
+one. A write makes a new version and swaps that file last, so readers see the old table until
+the new one is whole, and a failed write changes nothing.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +16,10 @@ from pyspark.sql import functions as F
 from quarterwise import schema
 
 
+#: The file that names a table's current version.
+POINTER = "_current"
+
+
 class TableStore:
     """Named tables below ``root``, a folder every executor can reach."""
 
@@ -24,7 +35,8 @@ class TableStore:
     def write(self, df: DataFrame, table: str) -> int:
         """Replace a table and return its row count, observed during the write itself.
 
-        Rows are range-partitioned by company, which keeps the Parquet min/max statistics
+        The version before the replaced one is deleted; the replaced one stays for readers that are
+        still at it. Rows are range-partitioned by company, which keeps the Parquet min/max statistics
         narrow: a read of one company skips the other files. A company too large for one
         range is split by date.
         """
@@ -32,12 +44,55 @@ class TableStore:
         keys = [c for c in ("company_id", second) if c in df.columns]
         rows = Observation(f"rows_{table}")
         laid_out = df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
-        laid_out.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(self.path(table))
+        version = f"version-{uuid.uuid4().hex}"
+        laid_out.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.path(table)}/{version}")
+        replaced = self._current(table)
+        self._point(table, version)
+        self._delete_versions(table, keep={version, replaced})
         return int(rows.get["n"])
 
+    def _folder(self, table: str):
+        """The table's folder and its file system."""
+        hadoop = self.spark._jvm.org.apache.hadoop
+        path = hadoop.fs.Path(self.path(table))
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _current(self, table: str) -> str:
+        """Name of the current version; there is no folder of that name if nothing was written yet."""
+        path, files = self._folder(table)
+        pointer = self.spark._jvm.org.apache.hadoop.fs.Path(path, POINTER)
+        if not files.exists(pointer):
+            return "none"
+        stream = files.open(pointer)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _point(self, table: str, version: str) -> None:
+        """Write the pointer beside and rename it over the old one, in one step where the file system can."""
+        jvm = self.spark._jvm
+        fs = jvm.org.apache.hadoop.fs
+        path, files = self._folder(table)
+        fresh = fs.Path(path, f"{POINTER}-{version}")
+        stream = files.create(fresh, True)
+        stream.write(bytearray(version.encode()))
+        stream.close()
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context = fs.FileContext.getFileContext(files.makeQualified(path).toUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(files.makeQualified(fresh), files.makeQualified(fs.Path(path, POINTER)), options)
+
+    def _delete_versions(self, table: str, keep: set[str]) -> None:
+        path, files = self._folder(table)
+        for found in files.listStatus(path):
+            name = found.getPath().getName()
+            if name.startswith("version-") and name not in keep:
+                files.delete(found.getPath(), True)
+
     def read(self, table: str) -> DataFrame:
         """A stored table. Every column it was saved with is kept."""
-        return self.spark.read.parquet(self.path(table))
+        return self.spark.read.parquet(f"{self.path(table)}/{self._current(table)}")
 
     def companies(self) -> DataFrame:
         return companies_by_id(self.read("companies"))

@@ -82,6 +82,28 @@ def test_replace_write(spark, inputs, companies):
     assert store.companies().first()["company_name"] == "Zero Ltd"
 
 
+def test_a_failed_write_leaves_the_old_table(spark, inputs, companies):
+    store = TableStore(spark, str(inputs / "t"))
+    store.write(companies, "companies")
+    broken = companies.selectExpr("company_id", "if(company_id = 2, raise_error('lost'), company_name) as company_name", "sector", "country")
+    reader = store.companies()
+    with pytest.raises(Exception, match="lost"):
+        store.write(broken, "companies")
+    assert store.companies().count() == 3
+    assert store.write(companies.where("company_id = 0"), "companies") == 1
+    # who had opened the replaced version still reads it, and the failed one is gone
+    assert reader.count() == 3 and store.companies().count() == 1
+    assert len(list((inputs / "t" / "companies").glob("version-*"))) == 2
+
+
+def test_a_table_that_was_never_whole_is_not_there(spark, inputs, companies):
+    store = TableStore(spark, str(inputs / "t"))
+    with pytest.raises(Exception, match="lost"):
+        store.write(companies.selectExpr("company_id", "raise_error('lost') as company_name"), "companies")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        store.read("companies")
+
+
 def test_export_with_preview(spark, inputs, series, companies):
     df = series({1: range(1, 31)})
     choices = reports.export_choices(df, companies, df, df)
