@@ -15,8 +15,9 @@ from quarterwise.operators.features import compute_kpis
 from quarterwise.operators.forecast import engine, selection
 from quarterwise.operators.forecast.accuracy import error_metrics
 from quarterwise.operators.forecast.series import future_quarters, training_series, with_folds
-from quarterwise.operators.isolation import dominant_metric, isolation_forest_anomalies
+from quarterwise.operators.isolation import dominant_metric, isolation_forest_anomalies, isolation_scores
 from quarterwise.plans import named_queries, reports
+from quarterwise.sources import tables
 
 # Aggregations
 
@@ -54,7 +55,15 @@ check("a8_severity_totals", lambda s, d: anomaly.severity_totals(i.flags(s, d)),
 check("a8_severe_flags", lambda s, d: anomaly.severe_flags(i.flags(s, d)), query(_SEVERE, "flags"))
 check("a9_debt_statistics", lambda s, d: anomaly.debt_statistics(i.records(s, d)).select(F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std")),
       query(f"select {rnd('avg(debt)', 6)} as mean, {rnd('stddev_samp(debt)', 6)} as std from debts", "debts"))
-check("a11_analytics_yoy_coverage", lambda s, d: kpi.full_analytics(i.records(s, d), i.companies(s, d))["yoy_growth"]
+_YOY = f"""select c.company_id, c.date, year(c.date) as year, quarter(c.date) as quarter, c.revenue, p.revenue as prev_revenue,
+  {rnd('(c.revenue - p.revenue) / nullif(p.revenue, 0)', 4)} as yoy_growth
+  from records c left join records p on p.company_id = c.company_id and year(p.date) + 1 = year(c.date) and quarter(p.date) = quarter(c.date)"""
+check("a11_kpi_data", lambda s, d: i.analytics(s, d)["kpi_data"], query("select * from kpis", "kpis"))
+check("a11_company_summary", lambda s, d: i.analytics(s, d)["company_summary"], query("select * from summary", "summary"))
+check("a11_sector_comparison", lambda s, d: rounded_revenue(i.analytics(s, d)["sector_comparison"]), query(_SECTORS, "sectors"))
+check("a11_yoy_growth", lambda s, d: i.analytics(s, d)["yoy_growth"], query(_YOY, "records"))
+check("a11_latest_snapshot", lambda s, d: i.analytics(s, d)["latest_snapshot"], query("select * from snapshot", "snapshot"))
+check("a11_analytics_yoy_coverage", lambda s, d: i.analytics(s, d)["yoy_growth"]
       .groupBy("year").agg(F.count("prev_revenue").alias("compared"), F.count(F.lit(1)).alias("quarters")),
       query("""select year(c.date) as year, count(p.revenue) as compared, count(*) as quarters from records c left join records p
       on p.company_id = c.company_id and year(p.date) + 1 = year(c.date) and quarter(p.date) = quarter(c.date) group by all""", "records"))
@@ -70,7 +79,8 @@ check("o3_top_revenue", lambda s, d: reshape.top_row(summary(s, d), "total_reven
       query("select * from summary order by total_revenue desc, company_id limit 1", "summary"))
 check("o4_preview", lambda s, d: i.records(s, d).orderBy("company_id", "date").limit(20),
       query("select * from records order by company_id, date limit 20", "records"))
-check("o5_union_of_flags", lambda s, d: anomaly.rule_flags(i.records(s, d)), query("select * from all_flags", "all_flags"))
+check("o5_union_of_flags", lambda s, d: anomaly.rule_flags(i.records(s, d)).unionByName(isolation_forest_anomalies(i.records(s, d))),
+      query("select * from all_flags", "all_flags"))
 check("o7_distinct_metrics", lambda s, d: i.flags(s, d).select("metric").distinct(), query("select distinct metric from flags", "flags"))
 
 # Named and free SQL
@@ -128,10 +138,12 @@ check("q7_free_select", _free, query(
 
 check("d1_zscore", lambda s, d: anomaly.zscore_anomalies(i.records(s, d)), query("select * from z_flags", "z_flags"))
 check("d2_iqr", lambda s, d: anomaly.iqr_anomalies(i.records(s, d)), query("select * from iqr_flags", "iqr_flags"))
+check("d3_isolation_forest", lambda s, d: isolation_forest_anomalies(i.records(s, d)), query("select * from iso_flags", "iso_flags"))
 check("d3_flags_per_company", lambda s, d: isolation_forest_anomalies(i.records(s, d)).groupBy("company_id").agg(F.count(F.lit(1)).alias("flags")),
-      query("""select company_id, cast(ceil(0.08::double * (count(*) - 1)) as bigint) as flags from records
-      group by company_id having count(*) >= 6""", "records"))
-check("d3_isolation_forest", lambda s, d: isolation_forest_anomalies(i.records(s, d)))
+      query("select company_id, count(*) as flags from iso_flags group by company_id", "iso_flags"))
+check("d3_path_lengths", lambda s, d: isolation_scores(i.records(s, d)).select("company_id", "date", "path", F.round("score", 9).alias("score")), query(
+    f"""select company_id, date, path, {rnd(f"pow(2::double, -(path / ({anomaly_sql.TREES} * {anomaly_sql.usual_depth(f'least(n, {anomaly_sql.SAMPLE})')})::double))", 9)} as score
+    from iso_paths""", "iso_paths"))
 
 
 def _dominant(s: SparkSession, d: str) -> DataFrame:
@@ -148,8 +160,10 @@ check("d4_dominant_metric", _dominant, query(
       from records window g as (partition by company_id)))""", "records"))
 check("d5_debt_risk", lambda s, d: anomaly.debt_risk_flags(i.records(s, d)), query("select * from debt_flags", "debt_flags"))
 check("d6_stored_flags", i.flags, query("select * from flags", "flags"))
-check("d6_all_detectors", lambda s, d: anomaly.run_anomaly_detection(i.records(s, d)))
-check("w9_most_severe", lambda s, d: anomaly.keep_most_severe(anomaly.rule_flags(i.records(s, d))), query("select * from flags", "flags"))
+check("d6_all_detectors", lambda s, d: anomaly.run_anomaly_detection(i.records(s, d)), query("select * from flags", "flags"))
+check("d6_rule_flags", lambda s, d: anomaly.run_anomaly_detection(i.records(s, d), isolation=False), query("select * from kept_rule_flags", "kept_rule_flags"))
+check("w9_most_severe", lambda s, d: anomaly.keep_most_severe(
+    anomaly.rule_flags(i.records(s, d)).unionByName(isolation_forest_anomalies(i.records(s, d)))), query("select * from flags", "flags"))
 
 # Forecasts, closed form
 
@@ -222,13 +236,34 @@ def _learner(model: str):
     return lambda s, d: _long(_table(s, d, model))
 
 
+def _held_out(s: SparkSession, d: str) -> DataFrame:
+    """Mean held-out error of each learner and target, beside that of repeating the last value."""
+    folds = with_folds(training_series(i.records(s, d))).where("fold = 'held_out'")
+    naive = folds.select("company_id", "target", F.expr("transform(actual, a -> element_at(ys, -1))").alias("forecast"), "actual")
+    last = selection.with_held_out_error(naive).groupBy("target").agg(F.avg("wf_mape").alias("last_value"))
+    compared = i.default_results(s, d)["comparison"].where(F.col("model").isin(*i.LEARNERS))
+    return compared.groupBy("target", "model").agg(F.avg("wf_mape").alias("error"), F.count("wf_mape").alias("series")).join(last, "target")
+
+
 check("f4_random_forest", _learner("random_forest"))
 check("f5_gradient_boosting", _learner("gradient_boosting"))
 check("f6_kernel_regression", _learner("svr"))
-check("c9_next_quarter_all_models", lambda s, d: reports.next_quarter_card(engine.run_all_forecasts(i.records(s, d), learners=i.LEARNERS)).select("company_id", "forecast_date"),
-      query("""select company_id, cast(date_trunc('quarter', max(date)) + to_months(3) as date) as forecast_date
-      from records group by company_id having count(*) >= 8""", "records"))
+check("f8_learners_held_out", lambda s, d: _held_out(s, d).select("target", "model", "series", (F.col("error") < F.col("last_value")).alias("beats_last_value")),
+      query("""select target, model, (select count(*) from (select company_id from records group by company_id having count(*) >= 12)) as series, true as beats_last_value
+      from (select unnest(['revenue', 'profit']) as target), (select unnest(['random_forest', 'gradient_boosting', 'svr']) as model)""", "records"))
 check("f13_all_forecasts", lambda s, d: engine.run_all_forecasts(i.records(s, d), learners=i.LEARNERS))
+check("f13_forecast_shape", lambda s, d: i.default_forecasts(s, d).groupBy("company_id").agg(
+          F.count(F.lit(1)).alias("steps"), F.min("forecast_date").alias("first"), F.max("forecast_date").alias("last"),
+          F.bool_and("lower_bound <= predicted_revenue and predicted_revenue <= upper_bound and predicted_profit is not null and mape >= 0").alias("sound")),
+      query("""select company_id, cast(4 as bigint) as steps, cast(date_trunc('quarter', max(date)) + to_months(3) as date) as first,
+      cast(date_trunc('quarter', max(date)) + to_months(12) as date) as last, true as sound from records group by company_id having count(*) >= 8""", "records"))
+check("s9_default_forecasts_read", lambda s, d: tables.by_company(i.default_forecasts(s, d), date_column="forecast_date"))
+check("f17_default_feed", lambda s, d: i.default_results(s, d)["feed"])
+check("f17_default_comparison", lambda s, d: i.default_results(s, d)["comparison"])
+check("r5_default_forecast_sheet", lambda s, d: reports.forecast_sheet(i.default_forecasts(s, d), i.companies(s, d)))
+check("c9_next_quarter_all_models", lambda s, d: reports.next_quarter_card(i.default_forecasts(s, d)))
+check("c11_default_forecast_table", lambda s, d: reports.forecast_table(i.default_forecasts(s, d)))
+check("c12_default_forecast_preview", lambda s, d: reports.forecast_preview(i.default_forecasts(s, d), i.companies(s, d)))
 check("f17_fitted_and_forecast", lambda s, d: engine.fitted_and_forecast(i.records(s, d), models=i.CLOSED).select(
           "company_id", "model_name", "model", "mae", F.round("mape", 4).alias("mape"), "kind", "date",
           *[F.round(c, 2).alias(c) for c in ("value", "lower", "upper")]),

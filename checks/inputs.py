@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import sql
+from checks import anomaly_sql, sql  # noqa: F401  (the flags' stages)
 from quarterwise.operators.anomaly import run_anomaly_detection
 from quarterwise.operators.features import compute_kpis
-from quarterwise.operators.forecast.engine import run_all_forecasts
+from quarterwise.operators.forecast.engine import forecast_results, run_all_forecasts
 from quarterwise.operators.forecast.learners import gradient_boosting, kernel_regression, random_forest
+from quarterwise.operators.kpi import full_analytics
 from quarterwise.sources import retail
+from quarterwise.sources.durable import durable
 
+T = TypeVar("T")
 CLOSED = ("arima", "seasonal", "polynomial", "holt")
 LEARNERS = {
     "random_forest": random_forest(),
@@ -27,14 +33,47 @@ def kpis(spark: SparkSession, d: str) -> DataFrame:
     return compute_kpis(records(spark, d))
 
 
+_STORED: dict[tuple[str, str, str], object] = {}
+
+
+def stored(name: str, spark: SparkSession, d: str, make: Callable[[], T]) -> T:
+    """What the queries after a step share, made once a session and folder, as the step would store it."""
+    key = (name, spark.sparkContext.applicationId, d)
+    if key not in _STORED:
+        _STORED[key] = make()
+    return _STORED[key]
+
+
 def flags(spark: SparkSession, d: str) -> DataFrame:
-    """Stored flags of the rule-based detectors."""
-    return run_anomaly_detection(records(spark, d), isolation=False)
+    """Stored flags of all detectors."""
+    return stored("flags", spark, d, lambda: durable(run_anomaly_detection(records(spark, d))))
 
 
 def forecasts(spark: SparkSession, d: str) -> DataFrame:
-    """Stored forecasts of the closed-form models."""
-    return run_all_forecasts(records(spark, d), models=CLOSED)
+    """Stored forecasts of the closed-form models, which SQL can express."""
+    return stored("closed", spark, d, lambda: durable(run_all_forecasts(records(spark, d), models=CLOSED)))
+
+
+def default_results(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Forecasts, chart feed and comparison of the default models, from one stored model table."""
+    return stored("default", spark, d, lambda: forecast_results(records(spark, d)))
+
+
+def default_forecasts(spark: SparkSession, d: str) -> DataFrame:
+    return stored("forecasts", spark, d, lambda: durable(default_results(spark, d)["forecasts"]))
+
+
+def analytics(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return stored("analytics", spark, d, lambda: full_analytics(records(spark, d), companies(spark, d)))
+
+
+def with_stranger(df: DataFrame) -> DataFrame:
+    """The rows, and company 0's once more under an id that no company has."""
+    return df.unionByName(df.where("company_id = 0").withColumn("company_id", F.lit(-1).cast("bigint")))
+
+
+for _table in ("records", "flags"):
+    sql.stage(f"{_table}_with_stranger", f"  select * from {_table} union all select * replace (-1 as company_id) from {_table} where company_id = 0", _table)
 
 
 def filings(spark: SparkSession, d: str) -> DataFrame:

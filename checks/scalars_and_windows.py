@@ -147,9 +147,8 @@ check("w13_standardise", lambda s, d: keyed(
 
 check("j1_inner_records_companies", lambda s, d: reshape.with_company(i.records(s, d), i.companies(s, d), "company_name", "sector", "country"),
       query("select r.*, company_name, sector, country from records r join companies using (company_id)", "records", "companies"))
-check("j2_left_records_companies", lambda s, d: i.records(s, d).join(
-          i.companies(s, d).where("sector <> 'ASIA'"), "company_id", "left"),
-      query("select r.*, company_name, sector, country from records r left join (select * from companies where sector <> 'ASIA') using (company_id)", "records", "companies"))
+check("j2_left_records_companies", lambda s, d: i.with_stranger(i.records(s, d)).join(i.companies(s, d), "company_id", "left"),
+      query("select r.*, company_name, sector, country from records_with_stranger r left join companies using (company_id)", "records_with_stranger", "companies"))
 check("j3_flags_companies", lambda s, d: reshape.with_company(i.flags(s, d), i.companies(s, d), "company_name"),
       query("select f.*, company_name from flags f join companies using (company_id)", "flags", "companies"))
 check("j4_yoy_growth", lambda s, d: kpi.yoy_growth(i.records(s, d)), query(
@@ -159,11 +158,11 @@ check("j4_yoy_growth", lambda s, d: kpi.yoy_growth(i.records(s, d)), query(
 check("j5_compare_profit", lambda s, d: kpi.compare_profit(i.records(s, d), 0, 1), query(
     """select coalesce(a.date, b.date) as date, a.profit as profit_co0, b.profit as profit_co1
     from (select * from records where company_id = 0) a full join (select * from records where company_id = 1) b on a.date = b.date""", "records"))
-check("j7_flag_points", lambda s, d: reshape.flag_points(i.flags(s, d), i.records(s, d).where("quarter(date) <> 2")), query(
+check("j7_flag_points", lambda s, d: reshape.flag_points(i.with_stranger(i.flags(s, d)), i.records(s, d)), query(
     """select f.company_id, f.date, f.metric, severity, case f.metric when 'revenue' then revenue else expenses end as recorded
-    from flags f left join (select * from records where quarter(date) <> 2) r on r.company_id = f.company_id and r.date = f.date
-    where f.metric in ('revenue', 'expenses')""", "flags"))
+    from flags_with_stranger f left join records r on r.company_id = f.company_id and r.date = f.date
+    where f.metric in ('revenue', 'expenses')""", "flags_with_stranger"))
 check("j8_name_or_id", lambda s, d: reshape.with_label(
-          i.records(s, d).select("company_id", "date"), i.companies(s, d).where("sector <> 'ASIA'")),
+          i.with_stranger(i.records(s, d)).select("company_id", "date"), i.companies(s, d)),
       query("""select company_id, date, coalesce(company_name, 'Co ' || company_id) as company
-      from records left join (select * from companies where sector <> 'ASIA') using (company_id)""", "records", "companies"))
+      from records_with_stranger left join companies using (company_id)""", "records_with_stranger", "companies"))

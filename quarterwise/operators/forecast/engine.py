@@ -9,14 +9,8 @@ from pyspark.sql import functions as F
 
 from quarterwise.operators.forecast.closed_form import CLOSED_FORM
 from quarterwise.operators.forecast.learners import LEARNERS, Learner, add_learner_models
-from quarterwise.operators.forecast.selection import MODEL_FIELDS, best_forecasts, held_result, per_series, with_ensemble
-from quarterwise.operators.forecast.series import (
-    FULL,
-    HORIZON,
-    future_quarters,
-    training_series,
-    with_folds,
-)
+from quarterwise.operators.forecast.selection import best_forecasts, held_result, per_series, with_ensemble
+from quarterwise.operators.forecast.series import HORIZON, future_quarters, training_series, with_folds
 from quarterwise.sources.durable import durable
 
 DEFAULT_MODELS = ("arima", "random_forest", "gradient_boosting", "svr")
@@ -111,9 +105,31 @@ def fitted_and_forecast(
 ) -> DataFrame:
     """Chart feed: the revenue series with fitted and forecast points of its winner, and the profit history."""
     histories = training_series(records)
+    revenue = with_folds(histories.where(F.col("target") == "revenue"), horizon)
+    return chart_feed(histories, model_table(revenue, horizon, models, learners, fitted=True), horizon)
+
+
+def forecast_results(
+    records: DataFrame,
+    horizon: int = HORIZON,
+    models: Sequence[str] = DEFAULT_MODELS,
+    learners: dict[str, Learner] | None = None,
+    fair: bool = False,
+) -> dict[str, DataFrame]:
+    """Forecast rows, chart feed and model comparison, all from one stored table of fitted models."""
+    histories = durable(training_series(records))
+    table = durable(model_table(with_folds(histories, horizon), horizon, models, learners, fitted=True))
+    return {
+        "forecasts": forecast_rows(best_forecasts(table, fair), horizon),
+        "feed": chart_feed(histories, table, horizon),
+        "comparison": model_comparison(table),
+    }
+
+
+def chart_feed(histories: DataFrame, table: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """The feed from the series and a model table with fitted paths."""
     series = histories.where(F.col("target") == "revenue")
-    table = model_table(with_folds(series, horizon), horizon, models, learners, fitted=True)
-    winners = best_forecasts(table).drop("last_date")
+    winners = best_forecasts(table.where(F.col("target") == "revenue")).drop("last_date")
     profits = histories.where(F.col("target") == "profit").select("company_id", F.col("dates").alias("profit_dates"), F.col("ys").alias("profits"))
     joined = series.join(winners, ["company_id", "target"]).join(profits, "company_id", "left")
 
@@ -149,18 +165,3 @@ def model_comparison(table: DataFrame) -> DataFrame:
         f"array_compact(array(CASE WHEN ensemble IS NOT NULL THEN cast({own} AS {row}) END)))"
     )
     return with_ensemble(per_series(table)).selectExpr("company_id", "target", f"inline({everything})")
-
-
-__all__ = [
-    "DEFAULT_MODELS",
-    "DOCUMENTED_MODELS",
-    "FULL",
-    "MODEL_FIELDS",
-    "fitted_and_forecast",
-    "forecast_company",
-    "forecast_rows",
-    "model_comparison",
-    "model_table",
-    "run_all_forecasts",
-    "series_models",
-]

@@ -1,31 +1,32 @@
 """Pooled regressors over the whole panel: one model per target and fold, not per company.
 
-Values are standardised per series, so companies of any size share one model. Training
-runs in Spark ML; features, predictions and the recursive forecast are row-local
-projections. The panel is written once and read by every fit.
+Values are standardised per series, so companies of any size share one model. The training rows are
+one table, partitioned by target and fold, so a fit reads its own rows only. Forests and boosting
+train in Spark ML, the support vector machine by sums over partitions. All learners of a target and
+fold then predict in one pass: each is a column of the same rows.
 """
 
 from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.operators.forecast.accuracy import array_deviation, deviation, error_totals
 from quarterwise.operators.forecast.closed_form import model_struct
-from quarterwise.sources.durable import durable
+from quarterwise.sources.durable import durable, staged_table
 
 # Executors need not have this package installed: its task functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -36,13 +37,14 @@ FEATURES = (
 )
 KEYS = ("company_id", "last_date", "target", "fold")
 SEED = 42
-PARALLEL_FITS = 4
-HUBER = 1.345
+PARALLEL_FITS = 8
+#: Training rows of a partition: a fit passes over them hundreds of times, so tasks should not be tiny.
+FIT_ROWS = 250_000
 
 
-def feature_columns(t: str) -> list[str]:
+def feature_columns(t: str, recent: str = "recent") -> list[str]:
     """Feature expressions of the row at index ``t``; ``recent`` holds the values before it."""
-    values = [f"recent[{i}]" for i in range(LAGS)]
+    values = [f"{recent}[{i}]" for i in range(LAGS)]
     mean = f"(({' + '.join(values)}) / {LAGS})"
     squares = " + ".join(f"({v} - {mean}) * ({v} - {mean})" for v in values)
     angle = f"({2 * math.pi!r}D * ({t} % 4) / 4)"
@@ -89,55 +91,92 @@ class Learner:
     def fit(self, rows: DataFrame):
         return self.make().fit(self.vectors(rows))
 
-    def predict(self, model, rows: DataFrame) -> DataFrame:
-        return model.transform(self.vectors(rows)).withColumnRenamed("prediction", "z_hat").drop("features")
+    def predict(self, model, rows: DataFrame, out: str = "z_hat") -> DataFrame:
+        return model.transform(self.vectors(rows)).withColumnRenamed("prediction", out).drop("features")
 
 
-@dataclass
-class KernelLearner(Learner):
-    """Radial basis kernel by random Fourier features (Rahimi, Recht 2007).
-
-    All inputs are scaled to mean 0 and deviation 1 over the training rows, so one width fits them
-    all. Ridge regression by normal equations, one pass over the rows, then two passes with
-    Huber weights so that outliers pull less. The projection is drawn from a fixed seed, so its size depends on ``size`` and not on
-    the data. It is one matrix product per Arrow batch: written out as column expressions
-    it outgrows the method size that Spark compiles.
-    """
+@dataclass(frozen=True)
+class KernelModel:
+    """Inputs are scaled by (mean, deviation); the value is the bias and a weighted sum of kernels at the landmarks."""
 
-    size: int = 48
-    reweightings: int = 2
+    scaling: list[tuple[float, float]]
+    landmarks: np.ndarray
+    weights: np.ndarray
+    bias: float
 
-    def fit(self, rows: DataFrame):
-        """The fitted model and the mean and deviation of each input, by which all rows are scaled first."""
-        moments = rows.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in self.inputs for f in (F.avg, F.stddev_pop)]).first()
-        scaling = [(moments[f"avg_{c}"] or 0.0, moments[f"stddev_pop_{c}"] or 1.0) for c in self.inputs]
-        model = self.make().fit(self.scaled(rows, scaling).withColumn("weight", F.lit(1.0)))
-        for _ in range(self.reweightings):
-            limit = max(HUBER * model.summary.rootMeanSquaredError, 1e-9)  # a perfect fit keeps its weights
-            miss = F.greatest(F.abs(F.col("label") - F.col("z_hat")), F.lit(1e-12))
-            weighted = self.predict((model, scaling), rows).withColumn("weight", F.least(F.lit(limit) / miss, F.lit(1.0)))
-            model = self.make().fit(self.scaled(weighted, scaling))
-        return model, scaling
+    def kernels(self, inputs: np.ndarray) -> np.ndarray:
+        """Radial basis kernel between rows and landmarks; the width is the number of inputs, whose variance is 1."""
+        mean, deviation = np.array(self.scaling).T
+        x = (inputs - mean) / deviation
+        distance = (x * x).sum(1)[:, None] + (self.landmarks * self.landmarks).sum(1) - 2 * x @ self.landmarks.T
+        return np.exp(-np.maximum(distance, 0.0) / x.shape[1])
 
-    def predict(self, model, rows: DataFrame) -> DataFrame:
-        fitted, scaling = model
-        return fitted.transform(self.scaled(rows, scaling)).withColumnRenamed("prediction", "z_hat").drop("features")
+    def value(self, inputs: np.ndarray) -> np.ndarray:
+        return self.kernels(inputs) @ self.weights + self.bias
 
-    def scaled(self, df: DataFrame, scaling: Sequence[tuple[float, float]]) -> DataFrame:
-        waves = _fourier_features(len(self.inputs), self.size)
-        inputs = [((F.col(c) - F.lit(mean)) / F.lit(sigma)).alias(c) for c, (mean, sigma) in zip(self.inputs, scaling, strict=True)]
-        return df.withColumn("features", array_to_vector(waves(F.struct(*inputs))))
 
+@dataclass
+class KernelLearner(Learner):
+    """Support vector regression: radial basis kernel, epsilon-insensitive loss, on landmarks of the data.
 
-def _fourier_features(inputs: int, size: int):
-    rng = np.random.default_rng(SEED)
-    weights = rng.normal(0.0, math.sqrt(2.0 / inputs), (inputs, size))
-    shift = rng.uniform(0.0, 2 * math.pi, size)
+    The landmarks are the training rows with the lowest hashes, so they follow the data and depend on
+    no partitioning; functions are sums of kernels at them (Nystroem). The loss max(0, |e| - epsilon) is
+    bounded above by weighted squares that touch it at the last errors, so each round is a weighted
+    least squares fit whose normal equations are sums over partitions, and never makes the loss worse.
+    """
 
-    def waves(x: pd.DataFrame) -> pd.Series:
-        return pd.Series(list(np.cos(x.to_numpy(float) @ weights + shift) * math.sqrt(2.0 / size)))
+    size: int = 64
+    cost: float = 100.0
+    epsilon: float = 0.1
+    rounds: int = 12
 
-    return F.pandas_udf(waves, "array<double>")
+    def fit(self, rows: DataFrame) -> KernelModel:
+        moments = rows.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in self.inputs for f in (F.avg, F.stddev_pop)]).first()
+        scaling = [(moments[f"avg_{c}"] or 0.0, moments[f"stddev_pop_{c}"] or 1.0) for c in self.inputs]
+        first = rows.orderBy(F.xxhash64(*[k for k in (*KEYS, "t") if k in rows.columns]), *self.inputs).select(*self.inputs).limit(self.size)
+        mean, deviation = np.array(scaling).T
+        landmarks = (np.array([list(r) for r in first.collect()], float).reshape(-1, len(self.inputs)) - mean) / deviation
+        model = KernelModel(scaling, landmarks, np.zeros(len(landmarks)), 0.0)
+        # penalising the function's norm is penalising plain weights after this change of basis
+        size, vectors = np.linalg.eigh(model.kernels(landmarks * deviation + mean))
+        kept = size > 1e-8 * size.max()
+        basis = vectors[:, kept] / np.sqrt(size[kept])
+        width = basis.shape[1] + 1
+        penalty = np.diag([1.0] * (width - 1) + [1e-9])
+        for _ in range(self.rounds):
+            sums = self.sums(rows, model, basis)
+            left, right = sums[: width * width].reshape(width, width), sums[width * width :]
+            solved = np.linalg.solve(left + penalty, right)
+            model = KernelModel(scaling, landmarks, basis @ solved[:-1], float(solved[-1]))
+        return model
+
+    def sums(self, rows: DataFrame, model: KernelModel, basis: np.ndarray) -> np.ndarray:
+        """Normal equations of the next round: one pass, added up by position, the driver gets the sums."""
+        inputs, cost, epsilon = list(self.inputs), self.cost, self.epsilon
+
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((basis.shape[1] + 1) * (basis.shape[1] + 2))
+            for batch in batches:
+                x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in inputs]).reshape(batch.num_rows, -1)
+                y = batch.column("label").to_numpy(zero_copy_only=False)
+                miss = y - model.value(x)
+                above, below = (cost / (2 * np.maximum(np.abs(miss + side), 1e-3)) for side in (-epsilon, epsilon))
+                weight = above + below
+                target = y + epsilon * (below - above) / weight
+                phi = np.column_stack([model.kernels(x) @ basis, np.ones(len(x))])
+                left = phi.T @ (phi * weight[:, None])
+                total += np.concatenate([left.ravel(), phi.T @ (weight * target)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["at", "part"])
+
+        parts = rows.select(*inputs, "label").mapInArrow(partial, "at long, part double")
+        added = parts.groupBy("at").agg(F.sum("part").alias("part")).toPandas()
+        return added.sort_values("at")["part"].to_numpy()
+
+    def predict(self, model: KernelModel, rows: DataFrame, out: str = "z_hat") -> DataFrame:
+        def kernel(x: pd.DataFrame) -> pd.Series:
+            return pd.Series(model.value(x.to_numpy(float)))
+
+        return rows.withColumn(out, F.pandas_udf(kernel, "double")(F.struct(*self.inputs)))
 
 
 def random_forest(trees: int = 200, depth: int = 4) -> Learner:
@@ -152,17 +191,15 @@ def random_forest(trees: int = 200, depth: int = 4) -> Learner:
 def gradient_boosting(rounds: int = 300, rate: float = 0.05) -> Learner:
     def make():
         return GBTRegressor(
-            maxIter=rounds, maxDepth=3, stepSize=rate, subsamplingRate=0.8, minInstancesPerNode=2, seed=SEED
-        )
+            maxIter=rounds, maxDepth=3, stepSize=rate, subsamplingRate=0.8, minInstancesPerNode=2, seed=SEED,
+            cacheNodeIds=True, checkpointInterval=50,
+        )
 
     return Learner(f"GradientBoosting(n={rounds},lr={rate})", make)
 
 
-def kernel_regression(size: int = 48) -> KernelLearner:
-    def make():
-        return LinearRegression(solver="normal", regParam=0.01, weightCol="weight")
-
-    return KernelLearner(f"KernelRegression(RBF,features={size})", make, size=size)
+def kernel_regression(size: int = 64, cost: float = 100.0) -> KernelLearner:
+    return KernelLearner(f"SVR(RBF,C={cost:g})", lambda: None, size=size, cost=cost)
 
 
 LEARNERS: dict[str, Learner] = {
@@ -172,28 +209,41 @@ LEARNERS: dict[str, Learner] = {
 }
 
 
-def recursive_forecast(learner: Learner, model, folds: DataFrame, horizon: int) -> DataFrame:
-    """Each prediction becomes the newest of the four values the next one sees.
+Fitted = dict[str, tuple[Learner, object]]
+
+
+def recursive_forecasts(fitted: Fitted, folds: DataFrame, horizon: int) -> DataFrame:
+    """The keys and a column forecast_<name> for each learner.
 
-    All series advance together: no shuffle, no loop over series. The generator of each step
-    materialises the new state; as a plain projection it would be inlined into the next
-    step, several times over, and the predictions with it.
+    Each prediction becomes the newest of the four values the next one sees. All series and learners
+    advance together: no shuffle, no loop over series. The generator of each step materialises the
+    new state; as a plain projection it would be inlined into the next step, several times
+    over, and the predictions with it.
     """
-    carried = (*KEYS, "n", "center", "scale")
-    state = folds.selectExpr(*carried, f"slice(zs, -{LAGS}, {LAGS}) AS recent", "cast(array() AS array<double>) AS path")
-    moved = f"struct(concat(slice(recent, 2, {LAGS - 1}), array(z_hat)) AS recent, concat(path, array(z_hat)) AS path)"
+    carried = (*KEYS, "n", "center", "scale", "actual")
+    state = folds.selectExpr(
+        *carried,
+        *[f"slice(zs, -{LAGS}, {LAGS}) AS recent_{m}" for m in fitted],
+        *[f"cast(array() AS array<double>) AS path_{m}" for m in fitted],
+    )
+    moved = ", ".join(
+        f"concat(slice(recent_{m}, 2, {LAGS - 1}), array(hat_{m})) AS recent_{m}, concat(path_{m}, array(hat_{m})) AS path_{m}" for m in fitted
+    )
     for step in range(horizon):
-        ahead = learner.predict(model, state.selectExpr("*", *feature_columns(f"(n + {step})")))
-        state = ahead.selectExpr(*carried, f"inline(array({moved}))")
-    return state.selectExpr(*KEYS, "transform(path, z -> z * scale + center) AS forecast")
+        for m, (learner, model) in fitted.items():
+            state = learner.predict(model, state.selectExpr("*", *feature_columns(f"(n + {step})", f"recent_{m}")), f"hat_{m}").drop(*FEATURES)
+        state = state.selectExpr(*carried, f"inline(array(struct({moved})))")
+    return state.selectExpr(*KEYS, "actual", *[f"transform(path_{m}, z -> z * scale + center) AS forecast_{m}" for m in fitted])
 
 
-def in_sample(learner: Learner, model, rows: DataFrame, fitted: bool) -> DataFrame:
-    """Error sums (and the fitted path) of every series."""
-    hat = F.expr("z_hat * scale + center AS fitted")
-    pairs = learner.predict(model, rows).select(*KEYS, "t", F.col("y").alias("actual"), hat)
-    path = "sort_array(collect_list(struct(t, fitted)))" if fitted else "cast(NULL AS array<struct<t:int,fitted:double>>)"
-    return pairs.groupBy(*KEYS).agg(F.expr(f"{error_totals('actual', 'fitted')} AS sums"), F.expr(f"{path} AS path"))
+def in_sample(fitted: Fitted, rows: DataFrame, paths: bool) -> DataFrame:
+    """The keys and, for each learner, error sums sums_<name> and the fitted path path_<name> of every series."""
+    for m, (learner, model) in fitted.items():
+        rows = learner.predict(model, rows, f"hat_{m}")
+    pairs = rows.selectExpr(*KEYS, "t", "y", *[f"hat_{m} * scale + center AS hat_{m}" for m in fitted])
+    sums = [f"{error_totals('y', f'hat_{m}')} AS sums_{m}" for m in fitted]
+    listed = [f"sort_array(collect_list(struct(t, hat_{m}))).hat_{m} AS path_{m}" for m in fitted if paths]
+    return pairs.groupBy(*KEYS).agg(*map(F.expr, [*sums, *listed]))
 
 
 def add_learner_models(
@@ -201,35 +251,39 @@ def add_learner_models(
 ) -> DataFrame:
     """Model-layout rows of the pooled learners.
 
-    Both frames are written to the checkpoint folder once: a fit runs many small jobs, and
-    each would otherwise ship the whole upstream plan to its tasks. The training rows are
-    repartitioned without a count: adaptive execution sizes the partitions by bytes, which
-    is what the many passes of a fit want. They are sorted inside their partition, so a fit
-    with a fixed seed sees them in the same order every time.
+    The folds and the training rows are written to the checkpoint folder once: a fit runs many small
+    jobs, and each would otherwise ship the whole upstream plan to its tasks. The rows are sorted
+    inside their files, so a fit with a fixed seed sees them in the same order every time. The driver
+    gets the number of rows of each target and fold, four at most, to size the partitions of a fit.
     """
     staged = durable(standardised_folds(folds))
-    rows = durable(
-        training_rows(staged).repartition("company_id").sortWithinPartitions("company_id", "target", "fold", "t")
-    )
-    present = sorted({(r["target"], r["fold"]) for r in staged.select("target", "fold").distinct().collect()})
-
-    def results(job: tuple) -> DataFrame:
-        (target, fold), name = job
-        learner = learners[name]
-        here = (F.col("target") == target) & (F.col("fold") == fold)
-        train, own = rows.where(here), staged.where(here)
-        model = learner.fit(train)
-        joined = (
-            own.select(*KEYS, "actual")
-            .join(recursive_forecast(learner, model, own, horizon), list(KEYS))
-            .join(in_sample(learner, model, train, fitted), list(KEYS))
-        )
-        path = f"concat(array_repeat(cast(NULL AS double), {LAGS}), path.fitted)" if fitted else None
-        sigma = deviation("sums.e", "sums.sq", "sums.n")
-        result = model_struct(name, positions[name], learner.label, "forecast", sigma, "sums", path)
-        return joined.select(*KEYS, "actual", F.expr(f"inline(array({result}))"))
+    laid_out = training_rows(staged).repartition("company_id").sortWithinPartitions("company_id", "target", "fold", "t")
+    rows = staged_table(laid_out, "target", "fold")
+    sizes = {(r["target"], r["fold"]): r["count"] for r in rows.groupBy("target", "fold").count().collect()}
+
+    def own(df: DataFrame, group: tuple[str, str]) -> DataFrame:
+        return df.where((F.col("target") == group[0]) & (F.col("fold") == group[1]))
+
+    def fit(job: tuple[tuple[str, str], str]) -> object:
+        group, name = job
+        return learners[name].fit(own(rows, group).coalesce(max(1, math.ceil(sizes[group] / FIT_ROWS))))
 
-    jobs = [(group, name) for name in learners for group in present]
+    # boosting takes longest and starts first
+    names = sorted(learners, key=lambda m: m != "gradient_boosting")
+    jobs = [(group, m) for m in names for group in sorted(sizes)]
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        parts = list(pool.map(inheritable_thread_target(folds.sparkSession)(results), jobs))
-    return reduce(DataFrame.unionByName, parts)
+        models = dict(zip(jobs, pool.map(inheritable_thread_target(folds.sparkSession)(fit), jobs)))
+
+    ahead, behind = [], []
+    for group in sorted(sizes):
+        ready = {m: (learners[m], models[group, m]) for m in learners}
+        ahead.append(recursive_forecasts(ready, own(staged, group), horizon))
+        behind.append(in_sample(ready, own(rows, group), fitted))
+    joined = reduce(DataFrame.unionByName, ahead).join(reduce(DataFrame.unionByName, behind), list(KEYS))
+
+    def result(m: str) -> str:
+        path = f"concat(array_repeat(cast(NULL AS double), {LAGS}), path_{m})" if fitted else None
+        sigma = deviation(f"sums_{m}.e", f"sums_{m}.sq", f"sums_{m}.n")
+        return model_struct(m, positions[m], learners[m].label, f"forecast_{m}", sigma, f"sums_{m}", path)
+
+    return joined.select(*KEYS, "actual", F.expr(f"inline(array({', '.join(map(result, learners))}))"))

@@ -17,6 +17,7 @@ from quarterwise.functions.scalars import (
 from quarterwise.functions.series import ordered
 from quarterwise.operators.features import compute_kpis
 from quarterwise.schema import KPI_RESULTS
+from quarterwise.sources.durable import durable
 
 KPI_COLUMNS = KPI_RESULTS.fieldNames()
 
@@ -162,15 +163,16 @@ def quarter_card(kpis: DataFrame) -> DataFrame:
 
 
 def full_analytics(records: DataFrame, companies: DataFrame, kpis: DataFrame | None = None) -> dict[str, DataFrame]:
-    """KPI frame and everything derived from it, all lazy.
+    """The KPI frame and everything derived from it.
 
-    The caller keeps the KPI frame (`kpis`) where it uses several of them; here nothing is kept.
+    The KPI frame holds the records too. It is written once, here unless the caller passes a stored
+    one, and all five results read nothing else of the records.
     """
-    kpis = compute_kpis(records) if kpis is None else kpis
+    kpis = durable(compute_kpis(records)) if kpis is None else kpis
     return {
         "kpi_data": kpis,
-        "company_summary": company_summary(records, companies, kpis),
-        "sector_comparison": sector_comparison(records, companies, kpis),
-        "yoy_growth": yoy_growth(records),
-        "latest_snapshot": latest_kpi_snapshot(records, companies, kpis),
+        "company_summary": company_summary(kpis, companies, kpis),
+        "sector_comparison": sector_comparison(kpis, companies, kpis),
+        "yoy_growth": yoy_growth(kpis),
+        "latest_snapshot": latest_kpi_snapshot(kpis, companies, kpis),
     }

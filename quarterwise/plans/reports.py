@@ -212,9 +212,16 @@ def report_datasets(
     }
 
 
+def report_order(df: DataFrame) -> list[str]:
+    """Company and date columns of a sheet, under whichever of their names it has; rankings bring their own order."""
+    names = [c for c in ("company_id", "Company", "company_name") if c in df.columns][:1]
+    dates = [c for c in ("date", "Date", "forecast_date", "Forecast Date") if c in df.columns][:1]
+    return [*names, *dates] if dates else []
+
+
 def write_reports(datasets: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """One CSV directory per dataset; its path by name."""
-    return {name: write_csv(df, f"{root.rstrip('/')}/{name}") for name, df in datasets.items()}
+    """One CSV directory per dataset, rows of dated sheets by company and date; its path by name."""
+    return {name: write_csv(df, f"{root.rstrip('/')}/{name}", report_order(df)) for name, df in datasets.items()}
 
 
 # Export of stored datasets
@@ -233,12 +240,13 @@ def export_choices(
 
 
 def export_dataset(choices: dict[str, DataFrame], choice: str, root: str, preview: int = 20) -> tuple[str, DataFrame]:
-    """Write the whole dataset as CSV; return its path and the preview rows."""
+    """Write the whole dataset as CSV; return its path and the first rows by its key columns."""
     if choice not in choices:
         raise ValueError(f"Unknown dataset '{choice}'. Available: {list(choices)}")
     df = choices[choice]
     path = write_csv(df, f"{root.rstrip('/')}/{choice.lower().replace(' ', '_')}")
-    return path, df.limit(preview)
+    keys = [c for c in ("company_id", "date", "forecast_date", "metric") if c in df.columns]
+    return path, df.orderBy(*keys).limit(preview)
 
 
 # Chart feeds

@@ -35,10 +35,10 @@ def load_csv_data(store: TableStore, companies_path: str, records_path: str) ->
 
 
 def run_analytics(store: TableStore) -> dict[str, DataFrame]:
-    """Save the KPI table and return the KPI frame with all summaries."""
-    records = store.read("financial_records")
-    store.write(kpi_results(compute_kpis(records)), "kpi_results")
-    return full_analytics(records, store.read("companies"))
+    """Save the KPI table and return the KPI frame with all summaries, from one pass over the records."""
+    results = full_analytics(store.read("financial_records"), store.read("companies"))
+    store.write(kpi_results(results["kpi_data"]), "kpi_results")
+    return results
 
 
 def save_forecasts(

@@ -191,9 +191,17 @@ def test_forest_is_reproducible(series):
 
 def test_recursion_plan_does_not_repeat_predictions(series):
     folds = learners.standardised_folds(ts.with_folds(ts.training_series(series({1: WAVY}))))
-    model = SMALL["svr"].fit(learners.training_rows(folds))
-    plan = learners.recursive_forecast(SMALL["svr"], model, folds, 4)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("waves(") == 4
+    rows = learners.training_rows(folds)
+    ready = {m: (SMALL[m], SMALL[m].fit(rows)) for m in ("svr", "random_forest")}
+    plan = learners.recursive_forecasts(ready, folds, 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("kernel(") == 4
+    assert "Join" not in learners.in_sample(ready, rows, True)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_learners_join_once_for_all_models_and_folds(series):
+    df = series({c: [10 * c + 5 * np.sin(t + c) for t in range(20)] for c in range(1, 4)})
+    plan = engine.series_models(df, models=list(SMALL), learners=SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
 
 
 @pytest.mark.parametrize("level", [0.0, 1e8, 1e9])
@@ -212,9 +220,43 @@ def test_a_missing_profit_does_not_shorten_revenue(records):
     assert len(got["profit"]["ys"]) == 18 and got["profit"]["last_date"] == quarter(18)
 
 
+def panel_rows(series, companies=4):
+    return learners.training_rows(learners.standardised_folds(ts.with_folds(ts.training_series(series({k: [v + k for v in WAVY] for k in range(companies)})))))
+
+
 def test_kernel_inputs_are_scaled(series):
-    rows = learners.training_rows(learners.standardised_folds(ts.with_folds(ts.training_series(series({k: [v + k for v in WAVY] for k in range(4)})))))
-    _, scaling = learners.kernel_regression().fit(rows)
+    rows = panel_rows(series)
+    scaling = learners.kernel_regression().fit(rows).scaling
     moments = rows.selectExpr(*[f"avg({c})" for c in learners.FEATURES], *[f"stddev_pop({c})" for c in learners.FEATURES]).first()
     n = len(learners.FEATURES)
     assert [m for m, _ in scaling] == pytest.approx(list(moments[:n])) and [s for _, s in scaling] == pytest.approx([m or 1.0 for m in moments[n:]])
+
+
+def kernel_loss(learner, model, x, y):
+    beta = model.weights
+    gram = model.kernels(model.landmarks * np.array(model.scaling)[:, 1] + np.array(model.scaling)[:, 0])
+    miss = np.abs(y - model.value(x))
+    return 0.5 * beta @ gram @ beta + learner.cost * np.maximum(miss - learner.epsilon, 0).sum()
+
+
+def test_rounds_lower_the_epsilon_insensitive_loss_and_outliers_pull_little(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, len(learners.FEATURES)))
+    y = np.sin(x[:, 0]) + 0.5 * x[:, 1]
+    spoiled = np.where(np.arange(300) % 20 == 0, y + 30, y)
+    rows = spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, spoiled)], ", ".join(f"{c} double" for c in learners.FEATURES) + ", label double")
+    losses = []
+    for rounds in (1, 2, 4, 8, 12):
+        learner = learners.kernel_regression()
+        learner.rounds = rounds
+        losses.append(kernel_loss(learner, learner.fit(rows), x, spoiled))
+    assert all(b <= a * (1 + 1e-6) for a, b in zip(losses, losses[1:])) and losses[-1] < 0.98 * losses[0]
+    clean = np.arange(300) % 20 != 0
+    fitted = learner.fit(rows.repartition(7)).value(x)
+    assert np.median(np.abs(fitted - y)[clean]) < 0.3
+
+
+def test_a_fit_depends_on_no_partitioning(series):
+    rows = panel_rows(series)
+    one, other = (learners.kernel_regression().fit(rows.repartition(n)) for n in (1, 5))
+    assert np.allclose(one.landmarks, other.landmarks) and np.allclose(one.weights, other.weights, rtol=1e-4, atol=1e-4)

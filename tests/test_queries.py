@@ -12,8 +12,9 @@ from checks.registry import ORACLES, QUERIES
 SF = Path(entry.SMOKE_DIR)
 TABLES = "region nation customer supplier part orders lineitem".split()
 ROWS_ONLY = {
-    "d3_isolation_forest", "d6_all_detectors", "f4_random_forest", "f5_gradient_boosting", "f6_kernel_regression",
-    "f13_all_forecasts",
+    "f4_random_forest", "f5_gradient_boosting", "f6_kernel_regression", "f13_all_forecasts", "s9_default_forecasts_read",
+    "f17_default_feed", "f17_default_comparison", "r5_default_forecast_sheet", "c9_next_quarter_all_models",
+    "c11_default_forecast_table", "c12_default_forecast_preview",
 }
 
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="no test tables")
@@ -57,10 +58,28 @@ def test_entry(spark):
 
 
 def test_free_sql_reads_no_files(spark):
-    from pyspark.errors import AnalysisException
-
     from quarterwise.plans.named_queries import run_select
 
-    with pytest.raises(AnalysisException):
-        run_select(spark, f"select * from parquet.`{SF}/region.parquet`")
+    spark.range(1).createOrReplaceTempView("one_row")
+    path = f"parquet.`{SF}/region.parquet`"
+    for text in (
+        f"select * from {path}",
+        f"with w as (select * from {path}) select * from w",
+        f"select 1 where exists (select * from {path})",
+        f"select (select max(r_name) from {path}) as r",
+        f"select * from one_row where id in (select r_regionkey from {path})",
+    ):
+        with pytest.raises(ValueError, match="Only views"):
+            run_select(spark, text)
     assert run_select(spark, "select 1 as one").first()["one"] == 1
+    assert run_select(spark, "with w as (select id from one_row) select * from w where exists (select 1 from one_row)").count() == 1
+
+
+def test_named_queries_join_by_company_only(spark):
+    from quarterwise.plans.named_queries import NAMED_QUERIES, run_named_query
+
+    spark.sql("select 1L as company_id, 'A' as company_name, 's' as sector, 'UK' as country, 'soon' as date, 0D as revenue, 'x' as y").createOrReplaceTempView("companies")
+    spark.sql("select 1L as company_id, date'2020-01-01' as date, 10D as revenue, 5D as profit, 4D as expenses").createOrReplaceTempView("financial_records")
+    assert {name: run_named_query(spark, name).count() for name in NAMED_QUERIES} == dict.fromkeys(NAMED_QUERIES, 1)
+
+
