@@ -13,7 +13,8 @@ A fragment is a run's part in one tile. Fragments are shuffled by text and perio
 them parts of one run; tiles overlap by more than 3q, so a run's neighbouring fragments always do.
 
 Words are compared by 64-bit hashes, and texts are told apart by 128-bit ones: equal texts are one text
-until the end, so copies of a text cost one row a task.
+until the end, so copies of a text cost one row a task. At the end only texts whose hash passes a filter
+of fixed size, built from those that have runs, move to meet their runs.
 
 Defined results: a null or empty text has no words and no runs. Words are separated by ASCII white space.
 Runs are listed by start, then period; two runs may overlap. Rows that repeat, also rows without ids,
@@ -24,7 +25,7 @@ tile, 16p words for the longest period. An empty table gives an empty result; fu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterwise.llm.columns import packed
-from quarterwise.llm.shared import parallelism, small_batches, stored
+from quarterwise.llm.shared import Shipped, bit_filter, in_filter, parallelism, small_batches, stored
 from quarterwise.llm.text import longs, mixed, slices, word_hashes, words
 
 #: A run has at least this many words, and at least so many periods.
@@ -44,8 +45,12 @@ TILE_WORDS = 1 << 15
 _BLOCK = 1 << 20
 
 RUNS = "array<struct<start:bigint,period:bigint,length:bigint>>"
-_TILES = "a bigint, b bigint, low int, high int, start bigint, total bigint, codes binary"
 _FRAGMENTS = "a bigint, b bigint, period bigint, start bigint, stop bigint"
+#: A fragment, or a tile if it has codes.
+_EITHER = pa.schema(
+    [(k, pa.int64()) for k in ("a", "b", "period", "start", "stop", "total")] + [(k, pa.int32()) for k in ("low", "high")] + [("codes", pa.binary())]
+)
+_EITHER_SQL = "a bigint, b bigint, period bigint, start bigint, stop bigint, total bigint, low int, high int, codes binary"
 
 
 def tiles_of(n: int, least: int) -> Iterator[tuple[int, int, int, int]]:
@@ -63,32 +68,34 @@ def tiles_of(n: int, least: int) -> Iterator[tuple[int, int, int, int]]:
         octave = high + 1
 
 
-def _tiled(least: int):
+def _exploded(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, least: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The tiles of a slice of texts, and which of them hold their whole text."""
+    w = words(data, offsets)
+    codes = word_hashes(data, w)
+    counts = np.diff(w.first)
+    found = [(i, t) for i in np.flatnonzero(counts >= LEAST_WORDS) for t in tiles_of(int(counts[i]), least)]
+    text = np.array([i for i, _ in found], np.int64)
+    low, high, start, stop = np.array([t for _, t in found], np.int64).reshape(-1, 4).T
+    ends = np.concatenate([[0], np.cumsum(stop - start) * 8]).astype(np.int64)
+    first = w.first[text]
+    held = np.concatenate([codes[:0], *[codes[a:b] for a, b in zip(first + start, first + stop)]])
+    column = pa.Array.from_buffers(pa.large_binary(), len(text), [None, pa.py_buffer(ends), pa.py_buffer(held)])
+    marks = [rows.column(rows.schema.get_field_index(k)).take(pa.array(text)) for k in ("a", "b")]
+    numbers = [pa.array(x.astype(np.int32)) for x in (low, high)] + [pa.array(x.astype(np.int64)) for x in (start, counts[text])]
+    tiles = pa.RecordBatch.from_arrays([*marks, *numbers, column.cast(pa.binary())], names=["a", "b", "low", "high", "start", "total", "codes"])
+    return tiles, stop - start == counts[text]
+
+
+def _explode(least: int):
+    """Tiles that hold a whole text are solved at once and leave as fragments, the others as tiles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "body"):
-            w = words(data, offsets)
-            codes = word_hashes(data, w)
-            counts = np.diff(w.first)
-            found = [(i, t) for i in np.flatnonzero(counts >= LEAST_WORDS) for t in tiles_of(int(counts[i]), least)]
-            if not found:
-                continue
-            text = np.array([i for i, _ in found])
-            low, high, start, stop = np.array([t for _, t in found]).T
-            ends = np.cumsum(stop - start) * 8
-            first = w.first[text]
-            held = np.concatenate([codes[a:b] for a, b in zip(first + start, first + stop)])
-            column = pa.Array.from_buffers(pa.large_binary(), len(text), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(held)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[rows.column(rows.schema.get_field_index(k)).take(pa.array(text)) for k in ("a", "b")],
-                    pa.array(low.astype(np.int32)),
-                    pa.array(high.astype(np.int32)),
-                    pa.array(start.astype(np.int64)),
-                    pa.array(counts[text].astype(np.int64)),
-                    column.cast(pa.binary()),
-                ],
-                names=["a", "b", "low", "high", "start", "total", "codes"],
-            )
+            tiles, whole = _exploded(rows, data, offsets, least)
+            for part in [*_solve([tiles.filter(pa.array(whole))]), tiles.filter(pa.array(~whole))]:
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(f.name) if f.name in part.schema.names else pa.nulls(part.num_rows, f.type) for f in _EITHER], schema=_EITHER
+                )
 
     return run
 
@@ -181,7 +188,7 @@ def fragments(codes: np.ndarray, bounds: np.ndarray, low: np.ndarray, high: np.n
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _solve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, data, offsets in slices(batches, "codes"):
         low, high, start, total = (rows.column(rows.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in ("low", "high", "start", "total"))
         bounds = offsets // 8
@@ -230,16 +237,24 @@ def _marks(body: Column) -> list[Column]:
 
 def periodic_runs(docs: DataFrame, text: str | Column = "text", keep: list[str] | None = None, tile_words: int = TILE_WORDS) -> DataFrame:
     """(row, runs, collapsed) of every document: its runs, and its words without the repeats of any run."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     text = F.col(f"`{text}`") if isinstance(text, str) else text
-    rows = packed(docs, keep, body=F.coalesce(text.cast("string"), F.lit(""))).select("*", *_marks(F.col("body")))
-    texts = rows.select("a", "b", "body")
-    # so many bytes cannot hold more words than a tile
-    short = F.octet_length("body") < 2 * tile_words
-    here = texts.where(short).mapInArrow(_tiled(tile_words), _TILES)
-    dealt = texts.where(~short).mapInArrow(_tiled(tile_words), _TILES).repartition(parallelism(docs.sparkSession))
-    found = here.mapInArrow(_solve, _FRAGMENTS).unionByName(dealt.mapInArrow(_solve, _FRAGMENTS))
+    body = F.coalesce(text.cast("string"), F.lit(""))
+    # a generator: no condition on the text is moved below it and computes the text once more
+    rows = packed(docs, keep, made=body).select("row", F.inline(F.array(F.struct(F.col("made").alias("body"), *_marks(F.col("made"))))))
+
+    found = stored(rows.select("a", "b", "body").mapInArrow(_explode(tile_words), _EITHER_SQL))
+    tiles = found.where("codes is not null").select("a", "b", "low", "high", "start", "total", "codes")
+    solved = tiles.repartition(parallelism(spark)).mapInArrow(_solve, _FRAGMENTS)
+    solved = solved.unionByName(found.where("codes is null").select("a", "b", "period", "start", "stop"))
     listed = F.struct("start", "period", (F.col("stop") - F.col("start")).alias("length"))
-    runs = stored(stitched(found).groupBy("a", "b").agg(F.sort_array(F.collect_list(listed)).alias("runs")))
-    joined = rows.join(runs, ["a", "b"], "left").withColumn("runs", F.coalesce("runs", F.array().cast(RUNS)))
-    return joined.select("row", "runs", collapsed("body", "runs").alias("collapsed"))
+    runs = stored(stitched(solved).groupBy("a", "b").agg(F.sort_array(F.collect_list(listed)).alias("runs")))
+
+    # most texts have no run and stay where they are
+    bits = Shipped(spark, bit_filter(runs, F.col("a")))
+    some = F.arrow_udf(lambda a: pa.array(in_filter(bits.value, a.to_numpy(zero_copy_only=False))), "boolean")("a")
+    marked = rows.withColumn("some", some)
+    without = marked.where(~F.col("some")).withColumn("runs", F.array().cast(RUNS))
+    moved = marked.where("some").join(runs.hint("merge"), ["a", "b"], "left").withColumn("runs", F.coalesce("runs", F.array().cast(RUNS)))
+    return without.unionByName(moved).select("row", "runs", collapsed("body", "runs").alias("collapsed"))

@@ -81,7 +81,7 @@ def test_messy_rows_copies_and_an_empty_table(messy, no_docs):
 
 
 def test_copies_of_a_text_are_one_row_before_the_shuffle(spark, docs_of):
-    found = spark.range(10_000).selectExpr("id * 0 + 1 as a", "id * 0 + 2 as b", "id * 0 + 3 as period", "id % 2 * 9 as start", "id % 2 * 9 + 20 as stop")
+    found = spark.range(10_000).selectExpr("id div 100000 + 1 as a", "id div 100000 + 2 as b", "id div 100000 + 3 as period", "id % 2 * 9 as start", "id % 2 * 9 + 20 as stop")
     runs = periodic.stitched(found)
     assert [tuple(r) for r in runs.collect()] == [(1, 2, 3, 0, 29)]
     plan = runs._jdf.queryExecution().executedPlan().toString()
