@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.operators.forecast.closed_form import CLOSED_FORM
-from quarterwise.operators.forecast.learners import LEARNERS, Learner, add_learner_models
+from quarterwise.operators.forecast.learners import LEARNERS, BoostedLearner, Learner, add_learner_models
 from quarterwise.operators.forecast.selection import best_forecasts, held_result, per_series, with_ensemble
 from quarterwise.operators.forecast.series import HORIZON, future_quarters, training_series, with_folds
 from quarterwise.sources.durable import durable
@@ -22,7 +22,7 @@ def model_table(
     folds: DataFrame,
     horizon: int = HORIZON,
     models: Sequence[str] = DEFAULT_MODELS,
-    learners: dict[str, Learner] | None = None,
+    learners: dict[str, Learner | BoostedLearner] | None = None,
     fitted: bool = False,
 ) -> DataFrame:
     """One row per series, fold and model, in the model layout.
@@ -85,7 +85,7 @@ def run_all_forecasts(
     records: DataFrame,
     horizon: int = HORIZON,
     models: Sequence[str] = DEFAULT_MODELS,
-    learners: dict[str, Learner] | None = None,
+    learners: dict[str, Learner | BoostedLearner] | None = None,
     fair: bool = False,
 ) -> DataFrame:
     """``horizon`` rows for every company with at least eight quarters."""
@@ -101,7 +101,7 @@ def fitted_and_forecast(
     records: DataFrame,
     horizon: int = HORIZON,
     models: Sequence[str] = DEFAULT_MODELS,
-    learners: dict[str, Learner] | None = None,
+    learners: dict[str, Learner | BoostedLearner] | None = None,
 ) -> DataFrame:
     """Chart feed: the revenue series with fitted and forecast points of its winner, and the profit history."""
     histories = training_series(records)
@@ -113,7 +113,7 @@ def forecast_results(
     records: DataFrame,
     horizon: int = HORIZON,
     models: Sequence[str] = DEFAULT_MODELS,
-    learners: dict[str, Learner] | None = None,
+    learners: dict[str, Learner | BoostedLearner] | None = None,
     fair: bool = False,
 ) -> dict[str, DataFrame]:
     """Forecast rows, chart feed and model comparison, all from one stored table of fitted models."""

@@ -1,9 +1,10 @@
 """Pooled regressors over the whole panel: one model per target and fold, not per company.
 
 Values are standardised per series, so companies of any size share one model. The training rows are
-one table, partitioned by target and fold, so a fit reads its own rows only. Forests and boosting
-train in Spark ML, the support vector machine by sums over partitions. All learners of a target and
-fold then predict in one pass: each is a column of the same rows.
+one table, partitioned by target and fold, so a fit reads its own rows only. Forests train in Spark
+ML, the support vector machine by sums over partitions. All learners of a target and fold then
+predict in one pass: each is a column of the same rows. Boosting works on blocks of series, see
+`boosting`.
 """
 
 from __future__ import annotations
@@ -20,23 +21,22 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterwise.operators.forecast.accuracy import array_deviation, deviation, error_totals
+from quarterwise.operators.forecast.accuracy import array_deviation, deviation, error_sums, error_totals
+from quarterwise.operators.forecast.boosting import LAGS, SEED, BoostedLearner
 from quarterwise.operators.forecast.closed_form import model_struct
 from quarterwise.sources.durable import durable, staged_table
 
 # Executors need not have this package installed: its task functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LAGS = 4
 FEATURES = (
     "lag1", "lag2", "lag3", "lag4", "trail_mean", "trail_std", "season_sin", "season_cos", "time_index",
 )
 KEYS = ("company_id", "last_date", "target", "fold")
-SEED = 42
 PARALLEL_FITS = 8
 #: Training rows of a partition: a fit passes over them hundreds of times, so tasks should not be tiny.
 FIT_ROWS = 250_000
@@ -133,7 +133,8 @@ class KernelLearner(Learner):
     def fit(self, rows: DataFrame) -> KernelModel:
         moments = rows.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in self.inputs for f in (F.avg, F.stddev_pop)]).first()
         scaling = [(moments[f"avg_{c}"] or 0.0, moments[f"stddev_pop_{c}"] or 1.0) for c in self.inputs]
-        first = rows.orderBy(F.xxhash64(*[k for k in (*KEYS, "t") if k in rows.columns]), *self.inputs).select(*self.inputs).limit(self.size)
+        place = F.xxhash64(*[k for k in (*KEYS, "t") if k in rows.columns], *self.inputs)
+        first = rows.orderBy(place, *self.inputs).select(*self.inputs).limit(self.size)
         mean, deviation = np.array(scaling).T
         landmarks = (np.array([list(r) for r in first.collect()], float).reshape(-1, len(self.inputs)) - mean) / deviation
         model = KernelModel(scaling, landmarks, np.zeros(len(landmarks)), 0.0)
@@ -188,21 +189,15 @@ def random_forest(trees: int = 200, depth: int = 4) -> Learner:
     return Learner(f"RandomForest(n={trees},depth={depth})", make)
 
 
-def gradient_boosting(rounds: int = 300, rate: float = 0.05) -> Learner:
-    def make():
-        return GBTRegressor(
-            maxIter=rounds, maxDepth=3, stepSize=rate, subsamplingRate=0.8, minInstancesPerNode=2, seed=SEED,
-            cacheNodeIds=True, checkpointInterval=50,
-        )
-
-    return Learner(f"GradientBoosting(n={rounds},lr={rate})", make)
+def gradient_boosting(rounds: int = 300, rate: float = 0.05) -> BoostedLearner:
+    return BoostedLearner(f"GradientBoosting(n={rounds},lr={rate})", rounds, rate)
 
 
 def kernel_regression(size: int = 64, cost: float = 100.0) -> KernelLearner:
     return KernelLearner(f"SVR(RBF,C={cost:g})", lambda: None, size=size, cost=cost)
 
 
-LEARNERS: dict[str, Learner] = {
+LEARNERS: dict[str, Learner | BoostedLearner] = {
     "random_forest": random_forest(),
     "gradient_boosting": gradient_boosting(),
     "svr": kernel_regression(),
@@ -247,16 +242,40 @@ def in_sample(fitted: Fitted, rows: DataFrame, paths: bool) -> DataFrame:
 
 
 def add_learner_models(
-    folds: DataFrame, horizon: int, learners: dict[str, Learner], positions: dict[str, int], fitted: bool = False
+    folds: DataFrame, horizon: int, learners: dict[str, Learner | BoostedLearner], positions: dict[str, int], fitted: bool = False
 ) -> DataFrame:
-    """Model-layout rows of the pooled learners.
+    """Model-layout rows of the pooled learners; the folds are written to the checkpoint folder once."""
+    staged = durable(standardised_folds(folds))
+    parts = []
+    pooled = {m: f for m, f in learners.items() if isinstance(f, Learner)}
+    if pooled:
+        parts.append(_pooled_models(staged, horizon, pooled, positions, fitted))
+    for m, f in learners.items():
+        if isinstance(f, BoostedLearner):
+            parts.append(_boosted_models(staged, horizon, f, m, positions[m], fitted))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _layout(name: str, position: int, label: str, forecast: str, sums: str, path: str | None) -> str:
+    shown = path and f"concat(array_repeat(cast(NULL AS double), {LAGS}), {path})"
+    return model_struct(name, position, label, forecast, deviation(f"{sums}.e", f"{sums}.sq", f"{sums}.n"), sums, shown)
+
 
-    The folds and the training rows are written to the checkpoint folder once: a fit runs many small
-    jobs, and each would otherwise ship the whole upstream plan to its tasks. The rows are sorted
-    inside their files, so a fit with a fixed seed sees them in the same order every time. The driver
-    gets the number of rows of each target and fold, four at most, to size the partitions of a fit.
+def _boosted_models(staged: DataFrame, horizon: int, learner: BoostedLearner, name: str, position: int, fitted: bool) -> DataFrame:
+    found = staged.select(*KEYS, "actual", "ys").join(learner.forecasts(staged, horizon), list(KEYS))
+    pairs = f"zip_with(slice(ys, {LAGS + 1}, size(path)), path, (a, f) -> struct(a AS actual, f AS fitted))"
+    found = found.selectExpr(*KEYS, "actual", f"inline(array(struct(forecast, path, {error_sums(pairs)} AS sums)))")
+    return found.select(*KEYS, "actual", F.expr(f"inline(array({_layout(name, position, learner.label, 'forecast', 'sums', fitted and 'path' or None)}))"))
+
+
+def _pooled_models(staged: DataFrame, horizon: int, learners: dict[str, Learner], positions: dict[str, int], fitted: bool) -> DataFrame:
+    """Rows of the learners that have one model per target and fold.
+
+    The training rows are written once, too: a fit runs many small jobs, and each would otherwise ship
+    the whole upstream plan to its tasks. They are sorted inside their files, so a fit with a
+    fixed seed sees them in the same order every time. The driver gets the number of rows of each
+    target and fold, four at most, to size the partitions of a fit.
     """
-    staged = durable(standardised_folds(folds))
     laid_out = training_rows(staged).repartition("company_id").sortWithinPartitions("company_id", "target", "fold", "t")
     rows = staged_table(laid_out, "target", "fold")
     sizes = {(r["target"], r["fold"]): r["count"] for r in rows.groupBy("target", "fold").count().collect()}
@@ -268,11 +287,9 @@ def add_learner_models(
         group, name = job
         return learners[name].fit(own(rows, group).coalesce(max(1, math.ceil(sizes[group] / FIT_ROWS))))
 
-    # boosting takes longest and starts first
-    names = sorted(learners, key=lambda m: m != "gradient_boosting")
-    jobs = [(group, m) for m in names for group in sorted(sizes)]
+    jobs = [(group, m) for m in learners for group in sorted(sizes)]
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        models = dict(zip(jobs, pool.map(inheritable_thread_target(folds.sparkSession)(fit), jobs)))
+        models = dict(zip(jobs, pool.map(inheritable_thread_target(staged.sparkSession)(fit), jobs)))
 
     ahead, behind = [], []
     for group in sorted(sizes):
@@ -280,10 +297,5 @@ def add_learner_models(
         ahead.append(recursive_forecasts(ready, own(staged, group), horizon))
         behind.append(in_sample(ready, own(rows, group), fitted))
     joined = reduce(DataFrame.unionByName, ahead).join(reduce(DataFrame.unionByName, behind), list(KEYS))
-
-    def result(m: str) -> str:
-        path = f"concat(array_repeat(cast(NULL AS double), {LAGS}), path_{m})" if fitted else None
-        sigma = deviation(f"sums_{m}.e", f"sums_{m}.sq", f"sums_{m}.n")
-        return model_struct(m, positions[m], learners[m].label, f"forecast_{m}", sigma, f"sums_{m}", path)
-
-    return joined.select(*KEYS, "actual", F.expr(f"inline(array({', '.join(map(result, learners))}))"))
+    results = [_layout(m, positions[m], f.label, f"forecast_{m}", f"sums_{m}", f"path_{m}" if fitted else None) for m, f in learners.items()]
+    return joined.select(*KEYS, "actual", F.expr(f"inline(array({', '.join(results)}))"))

@@ -56,14 +56,14 @@ def drop_incomplete_records(df: DataFrame) -> DataFrame:
     return df.dropna(subset=["company_id", "date", "revenue"])
 
 
-#: Decimal digits with an optional point and exponent. The cast alone would also read `12d`, `0x1p3` and the like.
-NUMBER = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+#: What a plain decimal cannot have. The cast alone would also read `12d`, `0x1p3` and the like.
+NOT_IN_NUMBERS = r"[^0-9eE.+\s-]"
 
 
 def to_number(col: Column | str) -> Column:
     """A double; 0 for a missing or unreadable value."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(F.when(c.cast("string").rlike(NUMBER), c.try_cast("double")), F.lit(0.0))
+    return F.coalesce(F.when(~c.cast("string").rlike(NOT_IN_NUMBERS), c.try_cast("double")), F.lit(0.0))
 
 
 def coerce_measures(df: DataFrame, columns: Sequence[str] = tuple(schema.MEASURES)) -> DataFrame:

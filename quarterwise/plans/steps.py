@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from quarterwise.operators.anomaly import anomaly_summary, run_anomaly_detection
 from quarterwise.operators.features import compute_kpis
 from quarterwise.operators.forecast.engine import DEFAULT_MODELS, run_all_forecasts
-from quarterwise.operators.forecast.learners import Learner
+from quarterwise.operators.forecast.learners import BoostedLearner, Learner
 from quarterwise.operators.forecast.series import HORIZON
 from quarterwise.operators.kpi import full_analytics, kpi_results
 from quarterwise.operators.validation import validate_companies, validate_financial_records
@@ -45,7 +45,7 @@ def save_forecasts(
     store: TableStore,
     horizon: int = HORIZON,
     models: Sequence[str] = DEFAULT_MODELS,
-    learners: dict[str, Learner] | None = None,
+    learners: dict[str, Learner | BoostedLearner] | None = None,
 ) -> int:
     forecasts = run_all_forecasts(store.read("financial_records"), horizon, models, learners)
     return store.write(forecasts, "forecast_results")

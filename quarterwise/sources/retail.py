@@ -16,6 +16,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A scan dealt out by a key of its rows, if its files give fewer splits than the session has cores.
+
+    A file of few row groups would leave all work on its lines to a few tasks. A table of many files stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
     return (
@@ -49,7 +58,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cost = F.col("l_quantity").cast("bigint") * _hundredths("p_retailprice")
     total = _hundredths("o_totalprice") * 100
     return (
-        _table(spark, sf_dir, "lineitem")
+        spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
         .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
