@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterwise.llm.shared import cut
+from quarterwise.llm.shared import cut, let_go
 
 
 def _state(links: DataFrame) -> tuple[int, int]:
@@ -17,6 +17,15 @@ def _both_ways(links: DataFrame) -> DataFrame:
     return links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
+def _round(links: DataFrame) -> DataFrame:
+    ways = _both_ways(links)
+    least = ways.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("m"))
+    large = ways.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    low = large.groupBy("a").agg(F.min("b").alias("m"))
+    small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+    return cut(small.where("a <> b").distinct())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for each node of the links (a, b), both bigint: component is the least node it can be reached from.
 
@@ -27,12 +36,8 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while (now := _state(links)) != before:
         before = now
-        ways = _both_ways(links)
-        least = ways.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("m"))
-        large = ways.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        links = cut(small.where("a <> b").distinct())
+        links = _round(links)
+        let_go(links.sparkSession)
     roots = links.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
     tops = links.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return roots.unionByName(tops.join(roots.select("node"), "node", "left_anti"))

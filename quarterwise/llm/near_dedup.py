@@ -10,10 +10,13 @@ that share a key of the first with another one.
 One bit of every minhash makes a sketch. Nodes of a bucket whose sketches differ in more bits than six
 standard deviations above a link's mean (a chance of about one in a billion) are not compared.
 
-Equal sets are one node. A bucket's other nodes are compared on their full sets with one of them,
-its pivot. Where a bucket then still joins several components, nodes of different components are
-compared block by block. So pairs are not emitted inside what is already linked, and no link is
-given up.
+Equal sets are one node. In every bucket one node of each component is compared on its full set with
+one of another, the bucket's pivot. This runs twice: over the tables of the first FEW keys of both
+collections, where each node is a component, then over all tables, where only keys and buckets count
+that still join several components. So a family of near copies is contracted by few tables and is a
+row or two of a bucket afterwards, however large. Where a bucket then still joins several
+components, their nodes are compared block by block. So pairs are not emitted inside what
+is already linked, and no link is given up.
 
 Defined results: A-Z are lower-cased. A null or empty text, or one of white space only, has no
 shingle and is alone. A text of fewer words than a shingle has one shingle of all its words. The
@@ -36,11 +39,13 @@ from pyspark.sql import functions as F
 
 from quarterwise.llm.columns import packed, unpacked
 from quarterwise.llm.components import components
-from quarterwise.llm.shared import bit_filter, cut, in_filter
+from quarterwise.llm.shared import bit_filter, cut, in_filter, let_go
 from quarterwise.llm.text import LOWER, distinct_per_text, longs, mixed, slices, windows, word_hashes, words
 
 #: Keys of a collection and minhashes of a key.
 KEYS, ROWS = 22, 5
+#: Keys of a collection whose tables contract families first.
+FEW = 3
 #: Orders of nodes by which buckets choose their pivots, so that a large group has several.
 ORDERS = 2
 #: Nodes of a block where components are compared.
@@ -84,7 +89,7 @@ def _alike(x: str, y: str, percent: int) -> Column:
 
 
 def signatures(texts: DataFrame, shingle: int) -> DataFrame:
-    """(id, n_shingles, set_id, first, second, sketch) of (id, text); set_id is null without shingles."""
+    """(id, stamp, n_shingles, set_id, first, second, sketch) of (id, text, stamp); set_id is null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "text"):
@@ -104,11 +109,11 @@ def signatures(texts: DataFrame, shingle: int) -> DataFrame:
             ids = [_set_id(values[a:b]) if b > a else None for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
             sketch = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum((counts > 0) * 4)]), pa.int32()), pa.array(bits.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(counts), pa.array(ids, pa.binary()), lists[0], lists[1], sketch],
-                names=["id", "n_shingles", "set_id", "first", "second", "sketch"],
+                [rows.column(0), rows.column(rows.schema.get_field_index("stamp")), pa.array(counts), pa.array(ids, pa.binary()), lists[0], lists[1], sketch],
+                names=["id", "stamp", "n_shingles", "set_id", "first", "second", "sketch"],
             )
 
-    return texts.mapInArrow(run, "id bigint, n_shingles bigint, set_id binary, first array<bigint>, second array<int>, sketch array<bigint>")
+    return texts.mapInArrow(run, "id bigint, stamp bigint, n_shingles bigint, set_id binary, first array<bigint>, second array<int>, sketch array<bigint>")
 
 
 def _node() -> Column:
@@ -116,17 +121,28 @@ def _node() -> Column:
     return F.coalesce(F.min("id"), F.xxhash64("set_id").bitwiseOR(F.lit(-(1 << 63))))
 
 
-def buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, size) of all tables' buckets with two nodes or more; buckets of the same nodes are one."""
-    firsts = nodes.select("node", F.posexplode("first").alias("k", "key"))
-    shared = firsts.groupBy("k", "key").count().where("count > 1").select("k", "key")
+def tables(nodes: DataFrame, keys: int = KEYS) -> DataFrame:
+    """(bucket, node, component, size) in the tables of the first `keys` keys of both collections.
+
+    Keys of the first collection whose nodes are all in one component are left out before their tables are made.
+    """
+    firsts = nodes.select("node", "component", F.posexplode(F.slice("first", 1, keys)).alias("k", "key"))
+    shared = firsts.groupBy("k", "key").agg((F.min("component") < F.max("component")).alias("several")).where("several").select("k", "key")
     hits = firsts.join(shared, ["k", "key"]).select("node", "k", "key")
-    pairs = hits.join(nodes.select("node", "size", "second"), "node").select("node", "size", "k", "key", F.posexplode("second").alias("j", "other"))
-    tables = pairs.select("node", "size", F.xxhash64("k", "key", "j", "other").alias("bucket"))
+    second = nodes.select("node", "component", "size", F.slice("second", 1, keys).alias("second"))
+    pairs = hits.join(second, "node").select("node", "component", "size", "k", "key", F.posexplode("second").alias("j", "other"))
+    return pairs.select("node", "component", "size", F.xxhash64("k", "key", "j", "other").alias("bucket"))
+
+
+def buckets(nodes: DataFrame, keys: int = KEYS) -> DataFrame:
+    """(bucket, component, node, size): one node of each component in every bucket that holds several. Buckets of the same nodes are one."""
     stamp = F.xxhash64("node")
-    kinds = tables.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(node))").alias("x"), F.sum(stamp.bitwiseAND(F.lit((1 << 32) - 1))).alias("s"))
-    once = kinds.where("n > 1").groupBy("n", "x", "s").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return tables.join(once, "bucket")
+    first = F.min_by(F.struct("node", "size"), F.xxhash64("node", F.col("bucket") % ORDERS)).alias("first")
+    same = (F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(node))").alias("x"), F.sum(stamp.bitwiseAND(F.lit((1 << 32) - 1))).alias("s"))
+    held = tables(nodes, keys).groupBy("bucket", "component").agg(first, *same)
+    kinds = held.groupBy("bucket").agg(F.sum("n").alias("n"), F.expr("bit_xor(x)").alias("x"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("parts"))
+    once = kinds.where("parts > 1").groupBy("n", "x", "s").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return held.join(once, "bucket").select("bucket", "component", "first.node", "first.size")
 
 
 def _packed_texts(texts: DataFrame, wanted: np.ndarray, shingle: int) -> DataFrame:
@@ -191,26 +207,45 @@ def _linked(percent: int) -> Column:
 
 def links(texts: DataFrame, nodes: DataFrame, shingle: int, percent: int = PERCENT) -> DataFrame:
     """Confirmed links (a, b) that connect all nodes which linked pairs of the tables' buckets connect."""
-    spots = cut(buckets(nodes).join(nodes.select("node", "sketch"), "node"))
-    place = F.xxhash64("node", F.col("bucket") % ORDERS)
-    pivots = spots.groupBy("bucket").agg(F.min_by("node", place).alias("pivot"), F.min_by("size", place).alias("pivot_size"), F.min_by("sketch", place).alias("pivot_sketch"))
-    fits = (100 * F.least("size", "pivot_size") >= percent * F.greatest("size", "pivot_size")) & _alike("sketch", "pivot_sketch", percent)
-    around = spots.join(pivots, "bucket").where("node <> pivot")
-    low, high = F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
-    stars = around.where(fits).select(low, high).distinct()
-    wanted = bit_filter(spots.select("node").distinct(), F.col("node"))
-    bodies = _packed_texts(texts, wanted, shingle).join(nodes.select("set_id", "node"), "set_id")
-    bodies = cut(bodies.groupBy("node").agg(F.min("body").alias("body")))
-    first = cut(_compared(stars, bodies, shingle))
-    found = first.where(_linked(percent)).select("a", "b")
-
-    # what the stars leave open: buckets that still join several components
-    reach = components(found)
-    placed = cut(spots.select("bucket", "node").join(reach, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")))
-    parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = parts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_nodes = placed.join(main.select("bucket", "main"), "bucket").select("main", "node", "component").distinct()
-    return found.unionByName(_block_links(cut(open_nodes), bodies, shingle, percent))
+    named = nodes.withColumn("component", F.col("node"))
+    found = compared = None
+    for keys in (FEW, KEYS):
+        spots = cut(buckets(named, keys))
+        first = _compared_stars(spots, compared, texts, nodes, shingle, percent)
+        linked = first.where(_linked(percent)).select("a", "b")
+        found = linked if found is None else found.unionByName(linked)
+        compared = first.select("a", "b")
+        named = cut(nodes.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node")))
+        let_go(texts.sparkSession)
+
+    # what the stars leave open: buckets that still join several components; an old component is named by one of its nodes
+    now = named.select(F.col("node").alias("component"), F.col("component").alias("main"))
+    parts = spots.select("bucket", "component").join(now, "component").groupBy("bucket", "main").agg(F.count(F.lit(1)).alias("n"))
+    still = parts.groupBy("bucket").agg(F.max_by("main", F.struct("n", "main")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    members = cut(tables(named).join(still.select("bucket", "main"), "bucket").select("main", "node", "component").distinct())
+    if members.isEmpty():
+        return found
+    return found.unionByName(_block_links(members, _bodies(texts, members, nodes, shingle), shingle, percent))
+
+
+def _compared_stars(spots: DataFrame, done: DataFrame | None, texts: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(a, b, common, together) of the pivots and the other components' nodes in their buckets, but for the pairs that are done."""
+    pivot = F.min_by(F.struct("node", "component", "size"), F.xxhash64("node", F.col("bucket") % ORDERS))
+    around = spots.join(spots.groupBy("bucket").agg(pivot.alias("pivot")), "bucket").where(F.col("component") != F.col("pivot.component"))
+    around = around.where(100 * F.least("size", "pivot.size") >= percent * F.greatest("size", "pivot.size"))
+    stars = around.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
+    sketches = nodes.select("node", "sketch")
+    stars = stars.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b").where(_alike("sketch_a", "sketch_b", percent)).select("a", "b")
+    stars = cut(stars if done is None else stars.join(done, ["a", "b"], "left_anti"))
+    ends = stars.select(F.explode(F.array("a", "b")).alias("node"))
+    return cut(_compared(stars, _bodies(texts, ends, nodes, shingle), shingle))
+
+
+def _bodies(texts: DataFrame, wanted: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """(node, body) of the wanted nodes: one compressed text of each."""
+    bits = bit_filter(wanted.select("node").distinct(), F.col("node"))
+    bodies = _packed_texts(texts, bits, shingle).join(nodes.select("set_id", "node"), "set_id")
+    return cut(bodies.groupBy("node").agg(F.min("body").alias("body")))
 
 
 def _block_links(members: DataFrame, bodies: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -228,7 +263,7 @@ def _block_links(members: DataFrame, bodies: DataFrame, shingle: int, percent: i
     rows = cut(rows)
     left = rows.where("other").select("main", F.col("block").alias("i"), F.col("nodes").alias("x"))
     right = rows.select("main", "other", F.col("block").alias("j"), F.col("nodes").alias("y"))
-    pairs = left.join(right, "main").where("not other or i <= j").select("x", "y").repartition(F.xxhash64("x"), F.xxhash64("y"))
+    pairs = left.join(right, "main").where("not other or i <= j").select("x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -290,10 +325,14 @@ def _classes(texts: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, D
     return signed, placed.join(least, "component").join(sizes, "set_id").select(F.col("set_id").alias("set"), "component", "component_id", "set_size")
 
 
+def _texts(docs: DataFrame, ident: str, text: str) -> DataFrame:
+    body = F.col(f"`{text}`").cast("string")
+    return docs.select(F.col(f"`{ident}`").cast("bigint").alias("id"), body.alias("text"), F.xxhash64(body).alias("stamp"))
+
+
 def near_copies(docs: DataFrame, shingle: int = 5, ident: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: its id (as `ident`), n_shingles, component_id and kept."""
-    texts = docs.select(F.col(f"`{ident}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    signed, classes = _classes(texts, shingle, percent)
+    signed, classes = _classes(_texts(docs, ident, text), shingle, percent)
     # the size is a second key, so both sides are dealt out anew and a hot set can be split
     rows = signed.select("id", "n_shingles", "set_id").join(classes, (F.col("set_id") == F.col("set")) & (F.col("n_shingles") == F.col("set_size")), "left")
     component = F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("component_id"))
@@ -301,10 +340,15 @@ def near_copies(docs: DataFrame, shingle: int = 5, ident: str = "doc_id", text:
 
 
 def without_near_copies(docs: DataFrame, shingle: int = 5, ident: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One document of each component, with all its columns. Documents without words and rows without an id stay."""
-    texts = docs.select(F.col(f"`{ident}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    signed, classes = _classes(texts, shingle, percent)
-    named = signed.where("id is not null").join(classes, (F.col("set_id") == F.col("set")) & (F.col("n_shingles") == F.col("set_size")))
-    drop = named.where("id <> component_id").select("id").distinct()
-    rows = packed(docs).withColumn("id", F.col(f"row.`{ident}`").cast("bigint"))
-    return unpacked(rows.join(drop, "id", "left_anti"))
+    """One document of each component, with all its columns: the smallest id, then the smallest hash of the text, ids before none.
+
+    Documents without words stay. Rows with one id and one text are one document and stay or go together.
+    """
+    signed, classes = _classes(_texts(docs, ident, text), shingle, percent)
+    named = signed.join(classes, (F.col("set_id") == F.col("set")) & (F.col("n_shingles") == F.col("set_size"))).select("id", "stamp", "component")
+    place = F.struct(F.col("id").isNull(), "id", "stamp")
+    stays = named.groupBy("component").agg(F.min(place).alias("stays"))
+    drop = named.join(stays, "component").where(~place.eqNullSafe(F.col("stays")))
+    drop = drop.select(F.col("id").alias("drop_id"), F.col("stamp").alias("drop_stamp")).distinct()
+    rows = packed(docs).withColumns({"id": F.col(f"row.`{ident}`").cast("bigint"), "stamp": F.xxhash64(F.col(f"row.`{text}`").cast("string"))})
+    return unpacked(rows.join(drop, F.col("id").eqNullSafe(F.col("drop_id")) & (F.col("stamp") == F.col("drop_stamp")), "left_anti"))

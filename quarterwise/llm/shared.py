@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -57,6 +58,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of plans that nothing refers to any more, as rounds leave them behind `cut`.
+
+    Spark's cleaner learns of them when both collectors have run, by itself every half hour.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """As `cut`, but as a Parquet table, whose size the planner knows: a join broadcasts it only under the session's threshold."""
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"

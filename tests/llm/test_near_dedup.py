@@ -70,6 +70,39 @@ def test_one_of_each_component_stays(docs_of, rows):
     assert kept == {i for i, n, c, keep in brute(rows, 5) if keep or not n}
 
 
+def test_rows_without_ids_leave_one_of_each_component(docs_of):
+    body = prose(150, 1)
+    near = [body, *(" ".join(f"new{at}" if k == at else w for k, w in enumerate(body.split())) for at in (10, 50))]
+    alone = prose(150, 2)
+    kept = near_dedup.without_near_copies(docs_of([(None, t) for t in near] + [(None, alone), (None, None), (None, "")])).collect()
+    assert len(kept) == 4 and sum(r.text in near for r in kept) == 1
+    named = near_dedup.without_near_copies(docs_of([(None, near[0]), (9, near[1]), (None, near[2]), (4, near[0] + " more")])).collect()
+    assert [r.doc_id for r in named] == [4]
+    same_id = near_dedup.without_near_copies(docs_of([(4, near[0]), (4, near[1])])).collect()
+    assert len(same_id) == 1
+
+
+def test_a_linked_family_costs_no_rows_after_its_first_tables(spark, docs_of, monkeypatch):
+    body, made = prose(200, 5), []
+    counted = near_dedup.buckets
+
+    def buckets(nodes, keys):
+        out = counted(nodes, keys)
+        made.append((keys, out.count()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "buckets", buckets)
+    sizes = {}
+    for n in (50, 200):
+        made.clear()
+        got = near_dedup.near_copies(docs_of([(k, edited(body, 0.005, k)) for k in range(n)])).collect()
+        assert {r.component_id for r in got} == {0}
+        sizes[n] = dict(made)
+    few, every = (([s[k] for s in sizes.values()]) for k in (near_dedup.FEW, near_dedup.KEYS))
+    # the first tables cost rows in proportion; afterwards a bucket holds one row of the family and one of each node outside it
+    assert few[1] <= 200 * near_dedup.FEW**2 and few[1] <= 8 * few[0] and every[1] <= 8 * max(every[0], 100)
+
+
 def test_messy_rows(messy, no_docs):
     rows = [(r.doc_id, r.text) for r in messy.select("doc_id", "text").collect()]
     got = near_dedup.near_copies(messy).collect()
