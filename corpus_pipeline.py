@@ -1,4 +1,11 @@
-"""A training corpus from `documents`, stage after stage; each stage's rows are written and read again."""
+"""A training corpus from `documents`, stage after stage; each stage's rows are written and read again.
+
+Defined results, beside those of the operators: null and empty texts pass every stage but the last, which
+keeps only documents that the mix takes words of. Rows without an id are documents of their own; of copies, one
+stays, with or without an id. Ties go to the largest id among exact and to the smallest among near copies. Very
+long texts are read whole. Further columns stay, also those with names that the operators use. An empty
+table gives an empty corpus.
+"""
 
 from __future__ import annotations
 
@@ -31,8 +38,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the words that the mix takes of each."""
-    return mixing.mixed_documents(docs)
+    """The documents of the mix with the words that it takes of each; those that it takes nothing of go."""
+    mixed = mixing.mixed_documents(docs)
+    return mixed.where(F.col(mixed.columns[-1]) > 0)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
