@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import inputs as i
+from checks import sql
 from checks.registry import check
 from checks.sql import growth, pct, query, ratio, rnd
 from quarterwise.functions import scalars as x
 from quarterwise.functions import series as w
+from quarterwise.functions.quantiles import group_quantiles
 from quarterwise.operators import kpi, reshape
 from quarterwise.operators.features import add_rolling_metrics, engineer_features, run_preprocessing
+from quarterwise.operators.forecast.learners import standardised_folds, training_rows
+from quarterwise.operators.forecast.series import training_series, with_folds
 
 
 def keyed(df, **columns):
@@ -120,30 +124,35 @@ check("w8_quartiles", lambda s, d: i.records(s, d).groupBy("company_id").agg(
           F.percentile("profit", F.lit(0.25)).alias("q1"), F.percentile("profit", F.lit(0.75)).alias("q3"))
       .select("company_id", F.round("q1", 3).alias("q1"), F.round("q3", 3).alias("q3")),
       query(f"select company_id, {rnd('quantile_cont(profit, 0.25)', 3)} as q1, {rnd('quantile_cont(profit, 0.75)', 3)} as q3 from records group by company_id", "records"))
-check("w10_difference", lambda s, d: keyed(i.records(s, d), change=w.difference("revenue")),
-      rows(f"revenue - lag(revenue) over ({_BY}) as change"))
+check("w8_group_quantiles", lambda s, d: group_quantiles(i.records(s, d), ["company_id"], "profit", [0.25, 0.75]).select(
+          "company_id", F.round(F.col("quantiles")[0], 3).alias("q1"), F.round(F.col("quantiles")[1], 3).alias("q3")),
+      query(f"select company_id, {rnd('quantile_cont(profit, 0.25)', 3)} as q1, {rnd('quantile_cont(profit, 0.75)', 3)} as q3 from records group by company_id", "records"))
 
 
-def _lagged(s, d):
-    f = w.lag_features("revenue")
-    digits = {"trail_mean": 2, "trail_std": 3, "season_sin": 6, "season_cos": 6, "time_index": 9}
-    return keyed(i.records(s, d), **{n: F.round(c, digits[n]) if n in digits else c for n, c in f.items()})
+def _folds(s, d):
+    return with_folds(training_series(i.records(s, d))).where("target = 'revenue' and fold = 'full'")
 
 
 _T = f"(row_number() over ({_BY}) - 1)"
-check("w11_lag_features", _lagged, rows(
-    ", ".join(f"lag(revenue, {k}) over ({_BY}) as lag{k}" for k in range(1, 5)) + f""",
-    {rnd(f'avg(revenue) over ({_BY} rows between 4 preceding and 1 preceding)', 2)} as trail_mean,
-    {rnd(f'stddev_pop(revenue) over ({_BY} rows between 4 preceding and 1 preceding) + 1e-9', 3)} as trail_std,
-    {rnd(f'sin(2 * pi() * ({_T} % 4) / 4)', 6)} as season_sin, {rnd(f'cos(2 * pi() * ({_T} % 4) / 4)', 6)} as season_cos,
-    {rnd(f'{_T} / count(*) over (partition by company_id)', 9)} as time_index"""))
+sql.stage("numbered", f"""  select *, {_T} as t, count(*) over (partition by company_id) as n, avg(revenue) over (partition by company_id) as center,
+    stddev_pop(revenue) over (partition by company_id) as scale from records qualify n >= 8""", "records")
+sql.stage("standard", "  select *, (revenue - center) / scale as z from numbered", "numbered")
+check("w10_difference", lambda s, d: _folds(s, d).select("company_id", F.posexplode("changes").alias("k", "change")).select(
+          "company_id", (F.col("k") + 1).cast("bigint").alias("t"), "change"),
+      query("select * from (select company_id, t, revenue - lag(revenue) over (partition by company_id order by date) as change from numbered) where t > 0", "numbered"))
+_INPUTS = {**{f"lag{k}": 9 for k in range(1, 5)}, "trail_mean": 9, "trail_std": 9, "season_sin": 9, "season_cos": 9, "time_index": 9, "label": 9}
+check("w11_lag_features", lambda s, d: training_rows(standardised_folds(_folds(s, d))).select(
+          "company_id", F.col("t").cast("bigint").alias("t"), *[F.round(c, digits).alias(c) for c, digits in _INPUTS.items()]),
+      query(f"""select company_id, t, {', '.join(f'{rnd(c, digits)} as {c}' for c, digits in _INPUTS.items())}
+      from (select company_id, t, z as label, t / n as time_index, {', '.join(f'lag(z, {k}) over w as lag{k}' for k in range(1, 5))},
+        avg(z) over (w rows between 4 preceding and 1 preceding) as trail_mean, stddev_pop(z) over (w rows between 4 preceding and 1 preceding) + 1e-9 / scale as trail_std,
+        sin(2 * pi() * (t % 4) / 4) as season_sin, cos(2 * pi() * (t % 4) / 4) as season_cos from standard window w as (partition by company_id order by date))
+      where t >= 4""", "standard"))
 check("w12_running_sum", lambda s, d: keyed(i.records(s, d), total=F.round(w.running_sum("profit"), 5)),
       rows(rnd(f"sum(profit) over ({_BY} rows unbounded preceding)", 5) + " as total"))
-check("w13_standardise", lambda s, d: keyed(
-          i.records(s, d).withColumn("z", w.standardised("revenue")), z=F.round("z", 4),
-          restored=F.round(F.col("z") * F.stddev_pop("revenue").over(w.whole()) + F.avg("revenue").over(w.whole()), 5)),
-      rows(rnd("(revenue - avg(revenue) over (partition by company_id)) / nullif(stddev_pop(revenue) over (partition by company_id), 0)", 4)
-           + f" as z, {rnd('revenue', 5)} as restored"))
+check("w13_standardise", lambda s, d: standardised_folds(_folds(s, d)).select("company_id", "center", "scale", F.posexplode("zs").alias("t", "z")).select(
+          "company_id", F.col("t").cast("bigint").alias("t"), F.round("z", 4).alias("z"), F.round(F.col("z") * F.col("scale") + F.col("center"), 5).alias("restored")),
+      query(f"select company_id, t, {rnd('z', 4)} as z, {rnd('revenue', 5)} as restored from standard", "standard"))
 
 check("j1_inner_records_companies", lambda s, d: reshape.with_company(i.records(s, d), i.companies(s, d), "company_name", "sector", "country"),
       query("select r.*, company_name, sector, country from records r join companies using (company_id)", "records", "companies"))

@@ -8,7 +8,6 @@ expressions below share the same partitioning, so Spark plans one exchange for t
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, WindowSpec
@@ -57,10 +56,6 @@ def fill_both_ways(col: str) -> Column:
     return F.coalesce(back, ahead, F.lit(0.0))
 
 
-def difference(col: str, keys: Sequence[str] = KEY) -> Column:
-    return F.col(col) - F.lag(col, 1).over(ordered(keys))
-
-
 def running_sum(col: Column | str, keys: Sequence[str] = KEY, order: str = "date") -> Column:
     return F.sum(col).over(ordered(keys, order).rowsBetween(W.unboundedPreceding, 0))
 
@@ -69,21 +64,3 @@ def standardised(col: str, keys: Sequence[str] = KEY) -> Column:
     """(v - mean) / population std of the series; NULL for a constant series."""
     w = whole(keys)
     return over_nonzero(F.col(col) - F.avg(col).over(w), F.stddev_pop(col).over(w))
-
-
-def lag_features(col: str, lags: int = 4, keys: Sequence[str] = KEY) -> dict[str, Column]:
-    """Supervised features of a series row: lags, trailing stats, season, time index.
-
-    ``t`` counts rows from 0. Rows with t < lags have no full history; callers drop them.
-    """
-    w = ordered(keys)
-    t = F.row_number().over(w) - 1
-    before = w.rowsBetween(-4, -1)
-    angle = F.lit(2 * math.pi) * (t % 4) / 4
-    out = {f"lag{k}": F.lag(col, k).over(w) for k in range(1, lags + 1)}
-    out["trail_mean"] = F.avg(col).over(before)
-    out["trail_std"] = F.stddev_pop(col).over(before) + 1e-9
-    out["season_sin"] = F.sin(angle)
-    out["season_cos"] = F.cos(angle)
-    out["time_index"] = t / F.count(F.lit(1)).over(whole(keys))
-    return out

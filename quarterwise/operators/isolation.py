@@ -81,7 +81,8 @@ def grow(company: int, points: np.ndarray, tree: np.ndarray, depth: int, trees:
         span = np.maximum.reduceat(points, start) - low
         uneven = np.cumsum(span > 0, axis=1)
         split = uneven[:, -1] > 0
-        first, second = draws(company, ids // slots, ids % slots)
+        first, second = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        first[split], second[split] = draws(company, ids[split] // slots, ids[split] % slots)
         wanted = (first * uneven[:, -1] >> 32) + 1
         drawn = (uneven >= wanted[:, None]).argmax(axis=1)
         each = np.arange(len(ids))

@@ -112,3 +112,19 @@ def test_summary_of_a_single_quarter(records, companies):
     out = kpi.company_summary(records([row(9, Q[0])]), companies).first()
     assert out["company_name"] is None and out["avg_revenue_growth"] is None and out["quarters"] == 1
     assert out["avg_profit_margin"] == 40.0
+
+
+def test_five_analytics_frames_read_the_records_once(spark, series, companies, tmp_path):
+    series({0: range(1, 13), 1: range(20, 32)}).write.parquet(str(tmp_path / "records"))
+    stored = spark.read.parquet(str(tmp_path / "records"))
+    results = kpi.full_analytics(stored, companies)
+    assert list(results) == ["kpi_data", "company_summary", "sector_comparison", "yoy_growth", "latest_snapshot"]
+    for name, df in results.items():
+        assert "FileScan" not in df._jdf.queryExecution().executedPlan().toString(), name
+    kpis = features.compute_kpis(stored)
+    alone = {
+        "kpi_data": kpis, "company_summary": kpi.company_summary(stored, companies), "sector_comparison": kpi.sector_comparison(stored, companies),
+        "yoy_growth": kpi.yoy_growth(stored), "latest_snapshot": kpi.latest_kpi_snapshot(stored, companies),
+    }
+    for name, df in results.items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, alone[name].collect())), name

@@ -57,6 +57,22 @@ def test_all_steps(spark, inputs):
     assert "PushedFilters: [IsNotNull(company_id), EqualTo(company_id,1)]" in plan
 
 
+def test_default_models_detectors_and_ordered_reports(spark, inputs):
+    store = TableStore(spark, str(inputs / "tables"))
+    done = steps.run_steps(store, str(inputs / "companies.csv"), str(inputs / "records.csv"), str(inputs / "reports"))
+    assert done["forecast"] == 12
+    for c in (0, 1, 2):
+        rows = store.forecast_results(c).collect()
+        assert [r["forecast_date"] for r in rows] == [quarter(k) for k in range(12, 16)]
+        assert all(r["lower_bound"] <= r["predicted_revenue"] <= r["upper_bound"] and 50 < r["predicted_revenue"] < 500 for r in rows)
+    # the forest flags the spike too, under the same metric
+    assert store.anomaly_flags(1).where("metric = 'revenue' and severity = 'SEVERE'").count() == 1
+    for name, keys in (("kpi_report", ("company_id", "date")), ("forecasts", ("Company", "Forecast Date"))):
+        rows = read_csv_dir(done["report"][name])
+        shown = [tuple(int(r[k]) if k == "company_id" else r[k] for k in keys if k in r) for r in rows]
+        assert shown == sorted(shown) and len(shown) > 3, name
+
+
 def test_steps_stop_on_failure_and_names_are_checked(spark, inputs):
     store = TableStore(spark, str(inputs / "none"))
     with pytest.raises(ValueError, match="charts"):
