@@ -254,7 +254,7 @@ check("f8_learners_held_out", lambda s, d: _held_out(s, d).select("target", "mod
 check("f13_all_forecasts", lambda s, d: engine.run_all_forecasts(i.records(s, d), learners=i.LEARNERS))
 check("f13_forecast_shape", lambda s, d: i.default_forecasts(s, d).groupBy("company_id").agg(
           F.count(F.lit(1)).alias("steps"), F.min("forecast_date").alias("first"), F.max("forecast_date").alias("last"),
-          F.bool_and("lower_bound <= predicted_revenue and predicted_revenue <= upper_bound and predicted_profit is not null and mape >= 0").alias("sound")),
+          F.bool_and(F.expr("lower_bound <= predicted_revenue and predicted_revenue <= upper_bound and predicted_profit is not null and mape >= 0")).alias("sound")),
       query("""select company_id, cast(4 as bigint) as steps, cast(date_trunc('quarter', max(date)) + to_months(3) as date) as first,
       cast(date_trunc('quarter', max(date)) + to_months(12) as date) as last, true as sound from records group by company_id having count(*) >= 8""", "records"))
 check("s9_default_forecasts_read", lambda s, d: tables.by_company(i.default_forecasts(s, d), date_column="forecast_date"))

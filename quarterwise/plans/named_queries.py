@@ -34,25 +34,26 @@ NAMED_QUERIES: dict[str, str | Callable[[SparkSession], DataFrame]] = {
         with yearly as (
           select company_id, year(date) as y, mean(try_divide(expenses, revenue)) as share
           from financial_records group by all)
-        select company_name, cast(y as string) as year, round(100 * share, 2) as avg_expense_ratio_pct
+        select company_name, cast(yearly.y as string) as year, round(100 * share, 2) as avg_expense_ratio_pct
         from yearly join companies using (company_id)
-        order by company_id, y""",
+        order by company_id, yearly.y""",
     # the last rows by a window: one scan and no second aggregate to join with
     "profit_ranking_latest": """
         with dated as (
           select company_id, date, revenue, profit, rank() over (partition by company_id order by date desc) as age
           from financial_records)
-        select company_name, sector, dated.date, round(profit) as latest_profit, round(100 * try_divide(profit, revenue), 2) as profit_margin_pct
+        select company_name, sector, dated.date, round(dated.profit) as latest_profit,
+          round(100 * try_divide(dated.profit, dated.revenue), 2) as profit_margin_pct
         from dated join companies using (company_id)
-        where age = 1
-        order by profit desc""",
+        where dated.age = 1
+        order by dated.profit desc""",
     "yoy_growth_window": """
         with yearly as (
           select company_id, year(date) as y, sum(revenue) as income
           from financial_records group by all)
-        select company_name, cast(y as string) as year, round(income) as annual_revenue
+        select company_name, cast(yearly.y as string) as year, round(income) as annual_revenue
         from yearly join companies using (company_id)
-        order by company_id, y""",
+        order by company_id, yearly.y""",
 }
 
 
