@@ -37,15 +37,19 @@ def training_series(records: DataFrame, targets: Sequence[str] = TARGETS) -> Dat
     return series.select("company_id", F.element_at("dates", -1).alias("last_date"), "target", "dates", "ys")
 
 
+def changes(ys: Column) -> Column:
+    """Every value but the first less the one before it."""
+    n = F.size(ys)
+    return F.zip_with(F.slice(ys, 2, n - 1), F.slice(ys, 1, n - 1), lambda now, before: now - before)
+
+
 def _fold(name: str, ys: Column, actual: Column) -> Column:
     """The generator materialises these, so no later projection recomputes them."""
-    n = F.size(ys)
-    changes = F.zip_with(F.slice(ys, 2, n - 1), F.slice(ys, 1, n - 1), lambda now, before: now - before)
     return F.struct(
         F.lit(name).alias("fold"),
-        n.alias("n"),
+        F.size(ys).alias("n"),
         ys.alias("ys"),
-        changes.alias("changes"),
+        changes(ys).alias("changes"),
         actual.alias("actual"),
     )
 

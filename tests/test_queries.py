@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB text on the smallest data folder."""
 
 import math
+from datetime import date
 from pathlib import Path
 
 import duckdb
@@ -53,6 +54,18 @@ def test_query(spark, duck, name):
     assert as_rows(df.columns, df.collect()) == as_rows(columns, result.fetchall())
 
 
+def test_differences_have_a_row_for_every_record(spark, monkeypatch):
+    """Also companies of fewer records than a forecast needs, records without a revenue and those without a record before them."""
+    from checks import scalars_and_windows
+
+    values = {1: [5.0, 3.0, None, 4.0, 9.5], 2: [7.0], 3: [float(k * k) for k in range(10)]}
+    records = spark.createDataFrame([(c, date(2020 + k, 1, 1), v) for c, vs in values.items() for k, v in enumerate(vs)], "company_id bigint, date date, revenue double")
+    monkeypatch.setattr(scalars_and_windows.i, "records", lambda s, d: records)
+    got = {(r.company_id, r.date.year - 2020): r.change for r in QUERIES["w10_difference"](spark, "").collect()}
+    want = {(c, k): None if not k or None in (v, vs[k - 1]) else v - vs[k - 1] for c, vs in values.items() for k, v in enumerate(vs)}
+    assert got == want
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
 
