@@ -15,7 +15,8 @@ one of another, the bucket's pivot. This runs twice: over the tables of the firs
 collections, where each node is a component, then over all tables, where only keys and buckets count
 that still join several components. So a family of near copies is contracted by few tables and is a
 row or two of a bucket afterwards, however large. Where a bucket then still joins several
-components, their nodes are compared block by block. So pairs are not emitted inside what
+components, the nodes that share the bucket's key of the first collection are compared block by block:
+a row a node and key, not a row a node and bucket. So pairs are not emitted inside what
 is already linked, and no link is given up.
 
 Defined results: A-Z are lower-cased. A null or empty text, or one of white space only, has no
@@ -122,7 +123,7 @@ def _node() -> Column:
 
 
 def tables(nodes: DataFrame, keys: int = KEYS) -> DataFrame:
-    """(bucket, node, component, size) in the tables of the first `keys` keys of both collections.
+    """(bucket, half, node, component, size) in the tables of the first `keys` keys of both collections; half: the bucket's key of the first.
 
     Keys of the first collection whose nodes are all in one component are left out before their tables are made.
     """
@@ -131,18 +132,19 @@ def tables(nodes: DataFrame, keys: int = KEYS) -> DataFrame:
     hits = firsts.join(shared, ["k", "key"]).select("node", "k", "key")
     second = nodes.select("node", "component", "size", F.slice("second", 1, keys).alias("second"))
     pairs = hits.join(second, "node").select("node", "component", "size", "k", "key", F.posexplode("second").alias("j", "other"))
-    return pairs.select("node", "component", "size", F.xxhash64("k", "key", "j", "other").alias("bucket"))
+    return pairs.select("node", "component", "size", F.xxhash64("k", "key").alias("half"), F.xxhash64("k", "key", "j", "other").alias("bucket"))
 
 
 def buckets(nodes: DataFrame, keys: int = KEYS) -> DataFrame:
-    """(bucket, component, node, size): one node of each component in every bucket that holds several. Buckets of the same nodes are one."""
+    """(bucket, half, component, node, size, pivot): one node of each component in every bucket that holds several, and the bucket's pivot among them. Buckets of the same nodes are one."""
     stamp = F.xxhash64("node")
     first = F.min_by(F.struct("node", "size"), F.xxhash64("node", F.col("bucket") % ORDERS)).alias("first")
     same = (F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(node))").alias("x"), F.sum(stamp.bitwiseAND(F.lit((1 << 32) - 1))).alias("s"))
-    held = tables(nodes, keys).groupBy("bucket", "component").agg(first, *same)
-    kinds = held.groupBy("bucket").agg(F.sum("n").alias("n"), F.expr("bit_xor(x)").alias("x"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("parts"))
-    once = kinds.where("parts > 1").groupBy("n", "x", "s").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return held.join(once, "bucket").select("bucket", "component", "first.node", "first.size")
+    held = tables(nodes, keys).groupBy("bucket", "component").agg(first, F.min("half").alias("half"), *same)
+    pivot = F.min_by(F.struct("first.node", "component", "first.size"), F.xxhash64("first.node", F.col("bucket") % ORDERS)).alias("pivot")
+    kinds = held.groupBy("bucket").agg(F.sum("n").alias("n"), F.expr("bit_xor(x)").alias("x"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("parts"), pivot)
+    once = kinds.where("parts > 1").groupBy("n", "x", "s").agg(F.min_by(F.struct("bucket", "pivot"), "bucket").alias("one")).select("one.*")
+    return held.join(once, "bucket").select("bucket", "half", "component", "first.node", "first.size", "pivot")
 
 
 def _packed_texts(texts: DataFrame, wanted: np.ndarray, shingle: int) -> DataFrame:
@@ -206,37 +208,51 @@ def _linked(percent: int) -> Column:
 
 
 def links(texts: DataFrame, nodes: DataFrame, shingle: int, percent: int = PERCENT) -> DataFrame:
-    """Confirmed links (a, b) that connect all nodes which linked pairs of the tables' buckets connect."""
+    """Links (a, b) that connect all nodes which linked pairs of the tables' buckets connect, and no others."""
     named = nodes.withColumn("component", F.col("node"))
     found = compared = None
     for keys in (FEW, KEYS):
         spots = cut(buckets(named, keys))
+        let_go(texts.sparkSession)
         first = _compared_stars(spots, compared, texts, nodes, shingle, percent)
+        let_go(texts.sparkSession)
         linked = first.where(_linked(percent)).select("a", "b")
-        found = linked if found is None else found.unionByName(linked)
         compared = first.select("a", "b")
-        named = cut(nodes.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node")))
+        named = cut(nodes.join(components(linked if found is None else found.unionByName(linked)), "node", "left").withColumn("component", F.coalesce("component", "node")))
+        # one link of each node stands for all that made its component
+        found = named.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         let_go(texts.sparkSession)
 
-    # what the stars leave open: buckets that still join several components; an old component is named by one of its nodes
-    now = named.select(F.col("node").alias("component"), F.col("component").alias("main"))
-    parts = spots.select("bucket", "component").join(now, "component").groupBy("bucket", "main").agg(F.count(F.lit(1)).alias("n"))
-    still = parts.groupBy("bucket").agg(F.max_by("main", F.struct("n", "main")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    members = cut(tables(named).join(still.select("bucket", "main"), "bucket").select("main", "node", "component").distinct())
+    members = cut(open_members(spots, named))
+    let_go(texts.sparkSession)
     if members.isEmpty():
         return found
     return found.unionByName(_block_links(members, _bodies(texts, members, nodes, shingle), shingle, percent))
 
 
+def open_members(spots: DataFrame, named: DataFrame) -> DataFrame:
+    """(main, node, component) of the nodes that the stars leave open, `spots` naming components as they were before them.
+
+    They are those that have a key of the first collection in whose buckets several components are left; main is the
+    one that is there most. A node is a row a key and not a row a bucket.
+    """
+    now = named.select(F.col("node").alias("component"), F.col("component").alias("main"))  # an old component is named by one of its nodes
+    parts = cut(spots.select("half", "component").join(now, "component").groupBy("half", "main").agg(F.count(F.lit(1)).alias("n")))
+    still = parts.groupBy("half").agg(F.max_by("main", F.struct("n", "main")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    # components that meet another there, so that no others come in by the key alone
+    meet = parts.select("half", F.col("main").alias("component")).join(still.select("half", "main"), "half")
+    firsts = named.select("node", "component", F.posexplode("first").alias("k", "key")).select("node", "component", F.xxhash64("k", "key").alias("half"))
+    return firsts.join(meet, ["half", "component"]).select("main", "node", "component").distinct()
+
+
 def _compared_stars(spots: DataFrame, done: DataFrame | None, texts: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(a, b, common, together) of the pivots and the other components' nodes in their buckets, but for the pairs that are done."""
-    pivot = F.min_by(F.struct("node", "component", "size"), F.xxhash64("node", F.col("bucket") % ORDERS))
-    around = spots.join(spots.groupBy("bucket").agg(pivot.alias("pivot")), "bucket").where(F.col("component") != F.col("pivot.component"))
-    around = around.where(100 * F.least("size", "pivot.size") >= percent * F.greatest("size", "pivot.size"))
+    around = spots.where(F.col("component") != F.col("pivot.component")).where(100 * F.least("size", "pivot.size") >= percent * F.greatest("size", "pivot.size"))
     stars = around.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
     sketches = nodes.select("node", "sketch")
     stars = stars.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b").where(_alike("sketch_a", "sketch_b", percent)).select("a", "b")
     stars = cut(stars if done is None else stars.join(done, ["a", "b"], "left_anti"))
+    let_go(texts.sparkSession)
     ends = stars.select(F.explode(F.array("a", "b")).alias("node"))
     return cut(_compared(stars, _bodies(texts, ends, nodes, shingle), shingle))
 

@@ -103,6 +103,34 @@ def test_a_linked_family_costs_no_rows_after_its_first_tables(spark, docs_of, mo
     assert few[1] <= 200 * near_dedup.FEW**2 and few[1] <= 8 * few[0] and every[1] <= 8 * max(every[0], 100)
 
 
+def test_nodes_that_stars_leave_open_are_rows_of_keys_not_of_buckets(spark, docs_of, rows, monkeypatch):
+    made, opened = {}, near_dedup.open_members
+
+    def open_members(spots, named):
+        out = opened(spots, named)
+        made["members"], made["spots"] = out.count(), spots.count()
+        # every component that is left of a bucket with several is there with the node that it had in it
+        now = dict(named.select("node", "component").collect())
+        left = {}
+        for r in spots.collect():
+            left.setdefault(r.bucket, set()).add((r.node, now[r.component]))
+        want = {node for ends in left.values() if len({c for _, c in ends}) > 1 for node, _ in ends}
+        assert want and want <= {r.node for r in out.collect()}
+        return out
+
+    monkeypatch.setattr(near_dedup, "open_members", open_members)
+    got = near_dedup.near_copies(docs_of(rows), shingle=2).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows, 2)
+    assert 0 < made["members"] < made["spots"]
+
+
+def test_a_bucket_is_joined_once_and_brings_its_pivot(spark):
+    nodes = spark.createDataFrame([(k, k, 10 + k, [1, 2], [3, 4]) for k in range(6)], "node bigint, component bigint, size bigint, first array<bigint>, second array<int>")
+    got = near_dedup.buckets(nodes, 2)
+    rows = got.collect()
+    assert len(rows) == 6 and len({r.pivot for r in rows}) == 1 and rows[0].pivot.node in range(6) and rows[0].pivot.size == 10 + rows[0].pivot.node
+
+
 def test_messy_rows(messy, no_docs):
     rows = [(r.doc_id, r.text) for r in messy.select("doc_id", "text").collect()]
     got = near_dedup.near_copies(messy).collect()
