@@ -131,6 +131,16 @@ def test_a_bucket_is_joined_once_and_brings_its_pivot(spark):
     assert len(rows) == 6 and len({r.pivot for r in rows}) == 1 and rows[0].pivot.node in range(6) and rows[0].pivot.size == 10 + rows[0].pivot.node
 
 
+def test_links_that_are_stars_need_no_round(spark, monkeypatch):
+    from quarterwise.llm import components as module
+
+    done = []
+    monkeypatch.setattr(module, "_round", lambda links, of=module._round: done.append(1) or of(links))
+    stars = spark.createDataFrame([(5, 1), (6, 1), (9, 2)], "a bigint, b bigint")
+    assert dict(components(stars).collect()) == {1: 1, 5: 1, 6: 1, 2: 2, 9: 2} and not done
+    assert dict(components(stars.union(stars.sparkSession.createDataFrame([(9, 6)], "a bigint, b bigint"))).collect()) == dict.fromkeys([1, 2, 5, 6, 9], 1) and done
+
+
 def test_messy_rows(messy, no_docs):
     rows = [(r.doc_id, r.text) for r in messy.select("doc_id", "text").collect()]
     got = near_dedup.near_copies(messy).collect()
