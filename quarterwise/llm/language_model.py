@@ -37,8 +37,8 @@ WARM_ROUNDS, ROUNDS = 14, 3
 PRIOR = 50.0
 END = np.uint64(0x656E64)
 TEXT_BYTES = 2 << 20
-#: Tokens whose emissions are added up at once.
-ADDED = 1 << 16
+#: Bytes of symbols that a round works on at once: steps cost less with more texts in each.
+ROUND_BYTES = 4 << 20
 
 
 @dataclass
@@ -102,55 +102,72 @@ def _symbols(v: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     return np.insert(symbol, ends, 0), np.insert(hashes, ends, END), np.insert(count, ends, end_count), w.first + np.arange(len(w.first))
 
 
-def _by_time(symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sequences from long to short: order, and token positions step after step, with the number of sequences in each step."""
+def _by_time(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens step after step, sequences from long to short in each: their positions, their ranks among the sequences, where steps begin, and the sequences' order."""
     size = np.diff(first)
     order = np.argsort(-size, kind="stable")
     active = np.searchsorted(-size[order], -np.arange(size.max(initial=0)), "left")
-    return order, first[:-1][order], active
-
-
-def _forward(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray, keep: bool) -> tuple[np.ndarray, list, list]:
-    """Natural log likelihood of each sequence by the scaled forward recursion; with `keep`, all scaled states and factors."""
-    order, begin, active = _by_time(symbols, first)
-    logs = np.zeros(len(begin))
-    states, factors = [], []
-    alpha, ones = None, np.ones(len(m.move))
-    for t, n in enumerate(active.tolist()):
-        emitted = m.emit[symbols[begin[:n] + t]]
-        alpha = (start if t == 0 else alpha[:n] @ m.move) * emitted
-        factor = alpha @ ones
-        alpha = alpha / factor[:, None]
-        logs[:n] += np.log(factor)
-        if keep:
-            states.append(alpha)
-            factors.append(factor)
-    out = np.zeros(len(begin))
-    out[order] = logs
-    return out, states, factors
+    begin = np.concatenate([[0], np.cumsum(active)])
+    step = np.repeat(np.arange(len(active)), active)
+    rank = np.arange(begin[-1]) - begin[step]
+    return first[:-1][order][rank] + step, rank, begin, order
+
+
+@dataclass
+class _Steps:
+    """The forward recursion, step after step: symbols of all tokens, their emissions and scaled states (states x tokens), factors, and where steps begin."""
+
+    symbols: np.ndarray
+    emitted: np.ndarray
+    states: np.ndarray
+    factors: np.ndarray
+    begin: list[int]
+
+
+def _recursion(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, _Steps]:
+    """Natural log likelihood of each sequence by the scaled forward recursion.
+
+    What does not depend on the step before is done for all steps at once, so a step is few operations, however few sequences are as long.
+    """
+    place, rank, begin, order = _by_time(first)
+    s = _Steps(symbols[place], np.zeros(0), np.zeros(0), np.empty(len(place), m.emit.dtype), begin.tolist())
+    s.emitted = np.take(np.ascontiguousarray(m.emit.T), s.symbols, axis=1)
+    s.states = np.empty_like(s.emitted)
+    back, ones, before = np.ascontiguousarray(m.move.T), np.ones(len(m.move), m.emit.dtype), 0
+    for a, b in zip(s.begin[:-1], s.begin[1:], strict=True):
+        now = s.emitted[:, a:b] * (back @ s.states[:, before : before + b - a] if a else start[:, None])
+        factor = np.matmul(ones, now, out=s.factors[a:b])
+        np.divide(now, factor, out=s.states[:, a:b])
+        before = a
+    out = np.zeros(len(order))
+    out[order] = np.bincount(rank, np.log(s.factors, dtype=np.float64), len(order))
+    return out, s
+
+
+def _forward(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
+    """Log likelihoods; with `keep`, all scaled states and factors as well."""
+    logs, s = _recursion(m, start, symbols, first)
+    return (logs, s.states, s.factors) if keep else (logs, None, None)
 
 
 def _expected(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Log likelihood and expected numbers of moves and emissions."""
-    logs, states, factors = _forward(m, start, symbols, first, keep=True)
-    _, begin, active = _by_time(symbols, first)
-    move, emit = np.zeros_like(m.move), np.zeros_like(m.emit)
-    beta = np.ones((len(begin), len(m.move)))
-    gammas, places, held = [], [], 0
-    for t in range(len(active) - 1, -1, -1):
-        n = active[t]
-        gammas.append(states.pop() * beta[:n])
-        places.append(symbols[begin[:n] + t])
-        held += n
+    """Log likelihood and expected numbers of moves and emissions, in the precision of the model; their sums are doubles."""
+    logs, s = _recursion(m, start, symbols, first)
+    move, emit = np.zeros(m.move.shape), np.zeros(m.emit.shape)
+    s.emitted /= s.factors
+    beta = np.ones((len(m.move), len(logs)), m.emit.dtype)
+    for t in range(len(s.begin) - 2, -1, -1):
+        a, b = s.begin[t], s.begin[t + 1]
+        after = beta[:, : b - a]
         if t:
-            weighed = m.emit[places[-1]] * beta[:n] / factors[t][:, None]
-            move += states[t - 1][:n].T @ weighed
-            beta[:n] = weighed @ m.move.T
-        if held >= ADDED or not t:
-            gamma, place = np.concatenate(gammas), np.concatenate(places)
-            for k in range(len(m.move)):
-                emit[:, k] += np.bincount(place, gamma[:, k], len(emit))
-            gammas, places, held = [], [], 0
+            before = s.begin[t - 1]
+            weighed = s.emitted[:, a:b] * after
+            move += s.states[:, before : before + b - a] @ weighed.T
+        s.states[:, a:b] *= after  # now the states' shares
+        if t:
+            np.matmul(m.move, weighed, out=after)
+    for k, gamma in enumerate(s.states):
+        emit[:, k] = np.bincount(s.symbols, gamma, len(emit))
     return float(logs.sum()), move * m.move, emit
 
 
@@ -167,6 +184,19 @@ def _coded(texts: DataFrame, v) -> DataFrame:
     return texts.select("text").mapInArrow(run, "symbols binary").sortWithinPartitions(F.length("symbols"))
 
 
+def _together(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about `most` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _symbol_kind(v: Vocabulary) -> np.dtype:
     return np.dtype(np.uint16 if len(v.unigram) <= 1 << 16 else np.int32)
 
@@ -183,10 +213,11 @@ def _coded_round(coded: DataFrame, v, m: Hmm) -> tuple[float, Hmm]:
     kind = _symbol_kind(v.value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shipped.value
+        # a token's shares in single precision, half the memory to read and write; the factors keep them in its range
+        single = Hmm(*(x.astype(np.float32) for x in (shipped.value.start, shipped.value.move, shipped.value.emit)))
         sums = np.zeros(1 + s + s * s + z * s)
-        for _, data, offsets in slices(batches, "symbols", TEXT_BYTES):
-            logs, move, emit = _expected(own, own.start, np.frombuffer(data.tobytes(), kind), offsets // kind.itemsize)
+        for _, data, offsets in slices(_together(batches, ROUND_BYTES), "symbols", ROUND_BYTES):
+            logs, move, emit = _expected(single, single.start, np.frombuffer(data.tobytes(), kind), offsets // kind.itemsize)
             sums[0] += logs
             sums[1 : 1 + s] += emit.sum(axis=0) - move.sum(axis=0)  # states that no move leads to: those that texts begin in
             sums[1 + s : 1 + s + s * s] += move.ravel()

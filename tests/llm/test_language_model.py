@@ -150,3 +150,19 @@ def test_every_round_is_baum_welch_over_all_whole_texts(docs_of):
         m = lm.Hmm(start / start.sum(), move / move.sum(axis=1)[:, None], (emit + lm.PRIOR * v.value.unigram[:, None]) / (emit.sum(axis=0) + lm.PRIOR))
     got = lm.train(texts, v, rounds=1, warm_rounds=2)
     assert np.allclose(got.start, m.start) and np.allclose(got.move, m.move) and np.allclose(got.emit, m.emit)
+
+
+def test_expected_counts_in_single_precision_and_steps_of_all_batches():
+    import pyarrow as pa
+
+    draw = np.random.default_rng(9)
+    m = lm.Hmm(draw.dirichlet([1] * 8), draw.dirichlet([0.2] * 8, 8), draw.dirichlet([0.05] * 300, 8).T + 1e-14)
+    single = lm.Hmm(*(x.astype(np.float32) for x in (m.start, m.move, m.emit)))
+    first = np.concatenate([[0], np.cumsum(draw.integers(0, 3000, 40))])
+    flat = draw.integers(0, 300, first[-1])
+    want, got = lm._expected(m, m.start, flat, first), lm._expected(single, single.start, flat, first)
+    assert got[1].dtype == got[2].dtype == np.float64 and got[0] == pytest.approx(want[0], rel=1e-4)
+    assert np.allclose(got[1], want[1], rtol=1e-3, atol=1e-3) and np.allclose(got[2], want[2], rtol=1e-3, atol=1e-3)
+    batches = [pa.record_batch({"symbols": pa.array([bytes([k]) * 10 * n for n in range(4)], pa.binary())}) for k in range(9)]
+    merged = list(lm._together(iter(batches), 200))
+    assert len(merged) < len(batches) and [x for b in merged for x in b.column(0).to_pylist()] == [x for b in batches for x in b.column(0).to_pylist()]
