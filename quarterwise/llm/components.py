@@ -28,8 +28,8 @@ def _round(links: DataFrame) -> DataFrame:
     return cut(small.where("a <> b").distinct())
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, component) for each node of the links (a, b), both bigint: component is the least node it can be reached from.
+def roots(links: DataFrame) -> DataFrame:
+    """(node, component) for each node of the links (a, b), both bigint, that is not itself the least node it can be reached from: component is that one.
 
     Every round replaces links by links to smaller nodes, each made from counts and minima of a
     node's links and a join that Spark can split; nothing of it comes to the driver but whether they are stars.
@@ -38,6 +38,12 @@ def components(links: DataFrame) -> DataFrame:
     while not _stars(links):
         links = _round(links)
         let_go(links.sparkSession)
-    roots = links.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
-    tops = links.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
-    return roots.unionByName(tops.join(roots.select("node"), "node", "left_anti"))
+    # stars have one link for each of these nodes
+    return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) for each node of the links (a, b), both bigint: component is the least node it can be reached from."""
+    found = roots(links)
+    tops = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(found, "node", "left_anti")
+    return found.unionByName(tops.withColumn("component", F.col("node")))

@@ -24,11 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.llm.columns import packed, unpacked
-from quarterwise.llm.shared import bit_filter, cut, in_filter
+from quarterwise.llm.shared import bit_filter, cut, for_now, in_filter
 from quarterwise.llm.text import longs, slices, windows, word_hashes, words
 
 SEED = 5
@@ -72,9 +73,8 @@ def _items(benchmark: DataFrame, seed: int) -> DataFrame:
     return found.where(F.size("words") >= seed).groupBy("words").agg(F.min("item").alias("item"), F.first("seeds").alias("seeds"))
 
 
-def _runs(texts: DataFrame, seeds: np.ndarray, seed: int) -> DataFrame:
+def _runs(texts: DataFrame, seeds: Broadcast, seed: int) -> DataFrame:
     """(id, stamp, runs) of every text: md5 of the text, and its stretches (at, words) of possible seeds."""
-    shipped = texts.sparkSession.sparkContext.broadcast(seeds)
     kind = pa.struct([("at", pa.int64()), ("words", pa.list_(pa.int64()))])
 
     def stamped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +88,7 @@ def _runs(texts: DataFrame, seeds: np.ndarray, seed: int) -> DataFrame:
             hashes = word_hashes(data, w)
             values, _, at = windows(hashes, w, seed, short=False)
             inside = np.zeros(len(hashes) + 1, np.int64)
-            hits = at[in_filter(shipped.value, values)]
+            hits = at[in_filter(seeds.value, values)]
             np.add.at(inside, hits, 1)
             np.add.at(inside, hits + seed, -1)
             mark = np.cumsum(inside[:-1]) > 0
@@ -198,8 +198,8 @@ def _tiled(pairs: DataFrame, seed: int) -> DataFrame:
 def tiled_pairs(texts: DataFrame, benchmark: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(id, stamp) of all texts (id, text), and the tiles of every pair (stamp, item) that shares a seed."""
     items = cut(_items(benchmark, seed).withColumn("key", F.monotonically_increasing_id()))
-    seeds = items.select("words", F.explode("seeds").alias("seed")).distinct()
-    found = cut(_runs(texts, bit_filter(seeds.select("seed").distinct(), F.col("seed")), seed))
+    with for_now(texts.sparkSession) as ship:
+        found = cut(_runs(texts, ship(bit_filter(items.select(F.explode("seeds").alias("seed")), F.col("seed"))), seed))
     runs = found.where(F.size("runs") > 0).select("stamp", F.explode("runs").alias("run")).distinct().select("stamp", F.col("run.at").alias("at"), F.col("run.words").alias("run"))
     stretches = runs.withColumn("n", F.size("run"))
     # which items a stretch may belong to: its words' runs of SEED, joined as lists

@@ -22,11 +22,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.llm.columns import packed, unpacked
-from quarterwise.llm.shared import bit_filter, cut, in_filter
+from quarterwise.llm.shared import bit_filter, cut, for_now, in_filter
 from quarterwise.llm.text import LOWER, mixed, slices
 
 #: A cut needs `CUT_BITS` zero bits, so chunks are about 2**CUT_BITS bytes, within these bounds.
@@ -72,10 +73,9 @@ def _chunks(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[bytes, li
     return raw, begin, end, prints, first
 
 
-def _recipes(docs: DataFrame, bits: int, doubtful: np.ndarray | None) -> DataFrame:
+def _recipes(docs: DataFrame, bits: int, doubtful: Broadcast | None) -> DataFrame:
     """Size, text_sha256, md5 of the text as it is, recipe and, where a fingerprint is doubtful, the contents under it, of rows (id, text)."""
     schema = f"id {docs.schema['id'].dataType.simpleString()}, size bigint, text_sha256 string, raw string, recipe array<bigint>, contents binary"
-    shipped = docs.sparkSession.sparkContext.broadcast(doubtful) if doubtful is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "text"):
@@ -85,8 +85,8 @@ def _recipes(docs: DataFrame, bits: int, doubtful: np.ndarray | None) -> DataFra
             raw, begin, end, prints, first = _chunks(LOWER[data], offsets, bits)
             shas = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             contents = [None] * len(shas)
-            if shipped is not None:
-                hit = in_filter(shipped.value, prints)
+            if doubtful is not None:
+                hit = in_filter(doubtful.value, prints)
                 for k in np.flatnonzero(np.add.reduceat(np.append(hit, False), first[:-1]) * (first[:-1] < first[1:])):
                     parts = [raw[begin[j] : end[j]] for j in range(first[k], first[k + 1]) if hit[j]]
                     contents[k] = b"".join(len(p).to_bytes(4, "big") + p for p in parts)
@@ -99,14 +99,13 @@ def _recipes(docs: DataFrame, bits: int, doubtful: np.ndarray | None) -> DataFra
     return docs.mapInArrow(run, schema)
 
 
-def _contents(docs: DataFrame, bits: int, repeated: np.ndarray) -> DataFrame:
+def _contents(docs: DataFrame, bits: int, repeated: Broadcast) -> DataFrame:
     """(fingerprint, content) of chunks whose fingerprint occurs more than once."""
-    shipped = docs.sparkSession.sparkContext.broadcast(repeated)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in slices(batches, "text"):
             raw, begin, end, prints, _ = _chunks(LOWER[data], offsets, bits)
-            hit = np.flatnonzero(in_filter(shipped.value, prints)).tolist()
+            hit = np.flatnonzero(in_filter(repeated.value, prints)).tolist()
             found = {(int(prints[k]), raw[begin[k] : end[k]]) for k in hit}
             keys = np.array([k for k, _ in found], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([c for _, c in found], pa.binary())], names=["fingerprint", "content"])
@@ -119,7 +118,7 @@ def chunk_dictionary(docs: DataFrame, text: str = "text", bits: int = FINGERPRIN
     from pyspark.sql import Window
 
     texts = docs.select(F.lit(0).alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    repeated = _repeated(_recipes(texts, bits, None))
+    repeated = docs.sparkSession.sparkContext.broadcast(_repeated(_recipes(texts, bits, None)))
     distinct = _contents(texts, bits, repeated).distinct()
     return distinct.withColumn("variant", F.row_number().over(Window.partitionBy("fingerprint").orderBy("content")))
 
@@ -132,9 +131,10 @@ def _repeated(recipes: DataFrame) -> np.ndarray:
 def _verified(texts: DataFrame, bits: int) -> DataFrame:
     """Recipes in which equal lists (and contents, where there are any) mean equal texts."""
     recipes = cut(_recipes(texts, bits, None))
-    distinct = _contents(texts, bits, _repeated(recipes)).distinct()
-    doubtful = bit_filter(distinct.groupBy("fingerprint").count().where("count > 1"), F.col("fingerprint"))
-    return cut(_recipes(texts, bits, doubtful)) if doubtful.any() else recipes
+    with for_now(texts.sparkSession) as ship:
+        distinct = _contents(texts, bits, ship(_repeated(recipes))).distinct()
+        doubtful = bit_filter(distinct.groupBy("fingerprint").count().where("count > 1"), F.col("fingerprint"))
+        return cut(_recipes(texts, bits, ship(doubtful))) if doubtful.any() else recipes
 
 
 def _grouped(docs: DataFrame, ident: str, text: str, bits: int) -> DataFrame:

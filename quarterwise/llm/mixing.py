@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterwise.llm.columns import free_names, packed
-from quarterwise.llm.shared import cut
+from quarterwise.llm.shared import cut, let_go
 
 #: Words of a block.
 BLOCK_WORDS = 256
@@ -58,14 +58,21 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def _placed(sized: DataFrame, sources: DataFrame) -> DataFrame:
-    """Adds the source's columns and `start`, the document's first word in its source's stream."""
-    known = sized.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).withColumn("part", F.substring("place", 1, 4))
-    parts = known.groupBy("number", "part").agg(F.sum("size").alias("part_size"))
+def _known(sized: DataFrame, sources: DataFrame) -> DataFrame:
+    return sized.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).withColumn("part", F.substring("place", 1, 4))
+
+
+def _parts(sized: DataFrame, sources: DataFrame) -> DataFrame:
+    """(number, part, part_start): the first word of every part of a source's stream."""
+    parts = _known(sized, sources).groupBy("number", "part").agg(F.sum("size").alias("part_size"))
     before = Window.partitionBy("number").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("number", "part", F.coalesce(F.sum("part_size").over(before), F.lit(0)).alias("part_start"))
+    return parts.select("number", "part", F.coalesce(F.sum("part_size").over(before), F.lit(0)).alias("part_start"))
+
+
+def _placed(sized: DataFrame, sources: DataFrame, parts: DataFrame) -> DataFrame:
+    """Adds the source's columns and `start`, the document's first word in its source's stream."""
     within = Window.partitionBy("number", "part").orderBy("place", "size").rowsBetween(Window.unboundedPreceding, -1)
-    return known.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0))).join(parts, ["number", "part"]).withColumn("start", F.col("part_start") + F.col("within"))
+    return _known(sized, sources).withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0))).join(parts, ["number", "part"]).withColumn("start", F.col("part_start") + F.col("within"))
 
 
 def _slots(sources: DataFrame, block: int) -> DataFrame:
@@ -130,7 +137,7 @@ def mixed_pieces(docs: DataFrame, ident: str = "doc_id", text: str = "text", sou
     """The mix itself: (slot, doc id, from, words), words `from` to `from + words` of the document, in the order of slot and from."""
     sized = _sized(docs, ident, text, source).withColumn("id", F.col(f"row.`{ident}`")).drop("row")
     sources = cut(targets(sized.select("source", "size")))
-    placed = _placed(sized, sources)
+    placed = _placed(sized, sources, _parts(sized, sources))
     pieces = _pieces(placed, schedule(sources, block), block)
     return pieces.join(placed.where("size > 0").select("number", "start", "id"), ["number", "start"]).select("slot", F.col("id").alias(ident), "from", "words")
 
@@ -138,10 +145,14 @@ def mixed_pieces(docs: DataFrame, ident: str = "doc_id", text: str = "text", sou
 def mixed(docs: DataFrame, ident: str = "doc_id", text: str = "text", source: str = "source", block: int = BLOCK_WORDS) -> DataFrame:
     """Column `row` with the document, and size, source_size, target and taken, its words in the mix with repeats."""
     sized = _sized(docs, ident, text, source)
-    sources = cut(targets(sized.select("source", "size")))
-    light = cut(_placed(sized.drop("row"), sources).select("number", "start", "size"))
-    taken = _pieces(light, schedule(sources, block), block).groupBy("number", "start").agg(F.sum("words").alias("taken"))
-    placed = _placed(sized, sources)
+    # texts are read for their sizes once, and once more for the rows of the result
+    narrow = cut(sized.drop("row"))
+    sources = cut(targets(narrow.select("source", "size")))
+    parts = cut(_parts(narrow, sources))
+    light = cut(_placed(narrow, sources, parts).select("number", "start", "size"))
+    taken = cut(_pieces(light, schedule(sources, block), block).groupBy("number", "start").agg(F.sum("words").alias("taken")))
+    let_go(docs.sparkSession)
+    placed = _placed(sized, sources, parts)
     # documents without words share a start with the next one, and none of them is taken
     joined = placed.join(taken.withColumn("some", F.lit(True)), (placed["number"] == taken["number"]) & (placed["start"] == taken["start"]) & (placed["size"] > 0), "left")
     return joined.select("row", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

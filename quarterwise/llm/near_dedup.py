@@ -35,12 +35,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.llm.columns import packed, unpacked
-from quarterwise.llm.components import components
-from quarterwise.llm.shared import bit_filter, cut, in_filter, let_go
+from quarterwise.llm.components import roots
+from quarterwise.llm.shared import bit_filter, cut, for_now, in_filter, let_go
 from quarterwise.llm.text import LOWER, distinct_per_text, longs, mixed, slices, windows, word_hashes, words
 
 #: Keys of a collection and minhashes of a key.
@@ -147,9 +148,8 @@ def buckets(nodes: DataFrame, keys: int = KEYS) -> DataFrame:
     return held.join(once, "bucket").select("bucket", "half", "component", "first.node", "first.size", "pivot")
 
 
-def _packed_texts(texts: DataFrame, wanted: np.ndarray, shingle: int) -> DataFrame:
+def _packed_texts(texts: DataFrame, wanted: Broadcast, shingle: int) -> DataFrame:
     """(set_id, body): compressed normalised texts of the documents that `wanted` lets through, null ids always."""
-    shipped = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
@@ -158,7 +158,7 @@ def _packed_texts(texts: DataFrame, wanted: np.ndarray, shingle: int) -> DataFra
             for batch in batches:
                 ids = batch.column(0)
                 known = np.asarray(ids.fill_null(0)).astype(np.int64)
-                take = in_filter(shipped.value, known) | np.asarray(ids.is_null().to_numpy(zero_copy_only=False))
+                take = in_filter(wanted.value, known) | np.asarray(ids.is_null().to_numpy(zero_copy_only=False))
                 yield batch.filter(pa.array(take))
 
         for rows, data, offsets in slices(chosen(), "text"):
@@ -218,7 +218,7 @@ def links(texts: DataFrame, nodes: DataFrame, shingle: int, percent: int = PERCE
         let_go(texts.sparkSession)
         linked = first.where(_linked(percent)).select("a", "b")
         compared = first.select("a", "b")
-        named = cut(nodes.join(components(linked if found is None else found.unionByName(linked)), "node", "left").withColumn("component", F.coalesce("component", "node")))
+        named = cut(nodes.join(roots(linked if found is None else found.unionByName(linked)), "node", "left").withColumn("component", F.coalesce("component", "node")))
         # one link of each node stands for all that made its component
         found = named.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         let_go(texts.sparkSession)
@@ -259,9 +259,10 @@ def _compared_stars(spots: DataFrame, done: DataFrame | None, texts: DataFrame,
 
 def _bodies(texts: DataFrame, wanted: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     """(node, body) of the wanted nodes: one compressed text of each."""
-    bits = bit_filter(wanted.select("node").distinct(), F.col("node"))
-    bodies = _packed_texts(texts, bits, shingle).join(nodes.select("set_id", "node"), "set_id")
-    return cut(bodies.groupBy("node").agg(F.min("body").alias("body")))
+    with for_now(texts.sparkSession) as ship:
+        bits = ship(bit_filter(wanted, F.col("node")))
+        bodies = _packed_texts(texts, bits, shingle).join(nodes.select("set_id", "node"), "set_id")
+        return cut(bodies.groupBy("node").agg(F.min("body").alias("body")))
 
 
 def _block_links(members: DataFrame, bodies: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -332,13 +333,13 @@ def _classes(texts: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, D
     filled = signed.where("set_id is not null")
     nodes = filled.groupBy("set_id").agg(_node().alias("node"), F.min("id").alias("least_id"), F.max("n_shingles").alias("size"), F.first("first").alias("first"), F.first("second").alias("second"), F.first("sketch").alias("sketch"))
     nodes = cut(nodes)
-    same_id = filled.select("id", "set_id").where("id is not null").distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+    same_id = filled.where("id is not null").groupBy("id").agg((F.min("set_id") < F.max("set_id")).alias("several")).where("several").select("id")
     twice = filled.join(same_id, "id").select("id", "set_id").distinct().join(nodes.select("set_id", "node"), "set_id").select(F.col("id").alias("a"), F.col("node").alias("b"))
-    named = components(links(texts, nodes, shingle, percent).unionByName(twice))
-    placed = nodes.select("set_id", "node", "least_id").join(named, "node", "left").select("set_id", "least_id", F.coalesce("component", "node").alias("component"))
+    named = roots(links(texts, nodes, shingle, percent).unionByName(twice))
+    placed = nodes.join(named, "node", "left").select("set_id", "least_id", "size", F.coalesce("component", "node").alias("component"))
+    let_go(texts.sparkSession)
     least = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    sizes = filled.groupBy("set_id").agg(F.max("n_shingles").alias("set_size"))
-    return signed, placed.join(least, "component").join(sizes, "set_id").select(F.col("set_id").alias("set"), "component", "component_id", "set_size")
+    return signed, placed.join(least, "component").select(F.col("set_id").alias("set"), "component", "component_id", F.col("size").alias("set_size"))
 
 
 def _texts(docs: DataFrame, ident: str, text: str) -> DataFrame:

@@ -6,9 +6,11 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,25 @@ def let_go(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextmanager
+def for_now(spark: SparkSession) -> Iterator[Callable[[object], Broadcast]]:
+    """Makes broadcasts that go at the end, with the driver's file of each, which else stays as long as the session.
+
+    What reads them has to be materialised by then.
+    """
+    made: list[Broadcast] = []
+
+    def ship(value: object) -> Broadcast:
+        made.append(spark.sparkContext.broadcast(value))
+        return made[-1]
+
+    try:
+        yield ship
+    finally:
+        for held in made:
+            held.destroy()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """As `cut`, but as a Parquet table, whose size the planner knows: a join broadcasts it only under the session's threshold."""
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"

@@ -22,18 +22,19 @@ from __future__ import annotations
 import hashlib
 import math
 import unicodedata
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterwise.llm.columns import packed
-from quarterwise.llm.shared import bit_filter, cut, in_filter
+from quarterwise.llm.shared import bit_filter, cut, for_now, in_filter
 from quarterwise.llm.text import release
 
 REJECT = 0.7
@@ -123,14 +124,13 @@ def _phrases(folded: str, begin: int) -> list[str]:
     return ([f" {before[-1]} {word} "] if before else []) + ([f" {word} {after[0]} "] if after else [])
 
 
-def _emitted(texts: DataFrame, ids: DataFrame, emit, kind: str) -> DataFrame:
-    """(id, made) of the texts (id, text) whose id may be in `ids`: `emit` makes the value, of SQL type `kind`, from the folded text."""
-    shipped = texts.sparkSession.sparkContext.broadcast(bit_filter(ids, F.col("id")))
+def _emitted(texts: DataFrame, ids: Broadcast, emit, kind: str) -> DataFrame:
+    """(id, made) of the texts (id, text) whose id may be in the filter `ids`: `emit` makes the value, of SQL type `kind`, from the folded text."""
     made = pa.binary() if kind == "binary" else pa.list_(pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = in_filter(shipped.value, np.asarray(batch.column(0).fill_null(0)).astype(np.int64))
+            known = in_filter(ids.value, np.asarray(batch.column(0).fill_null(0)).astype(np.int64))
             batch = batch.filter(pa.array(known))
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
@@ -144,9 +144,9 @@ def _stamp(folded: str) -> bytes:
     return hashlib.blake2b(folded.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def distinct_labelled(texts: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, toxic): one id for each distinct labelled text, toxic if any of its labels is."""
-    stamps = _emitted(texts, labels, _stamp, "binary").join(labels, "id")
+def distinct_labelled(texts: DataFrame, labels: DataFrame, known: Broadcast) -> DataFrame:
+    """(id, toxic): one id for each distinct labelled text, toxic if any of its labels is. `known`: a filter of the labels' ids."""
+    stamps = _emitted(texts, known, _stamp, "binary").join(labels, "id")
     return stamps.groupBy("made").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic")).select("id", "toxic")
 
 
@@ -160,9 +160,9 @@ def _beginnings(word: str, least: int, below: str) -> str:
     return f"transform({lengths}, k -> concat(' ', substring({word}, {least}, k)))"
 
 
-def learn_entries(texts: DataFrame, labelled: DataFrame, toxic: int, clean: int) -> dict[str, float]:
+def learn_entries(texts: DataFrame, labelled: DataFrame, toxic: int, clean: int, ship: Callable[[object], Broadcast]) -> dict[str, float]:
     """Entries and weights from texts (id, text) and distinct labelled texts (id, toxic), of which `toxic` and `clean` are the numbers."""
-    words = _emitted(texts, labelled, _words, "array<string>").join(labelled, "id")
+    words = _emitted(texts, ship(bit_filter(labelled, F.col("id"))), _words, "array<string>").join(labelled, "id")
     counts = cut(words.select("toxic", F.explode("made").alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")))
     whole = F.array(F.concat(F.lit(" "), "word", F.lit(" ")))
     entries = F.explode(F.concat(F.expr(_beginnings("word", 1, "length(word)")), whole)).alias("entry")
@@ -175,7 +175,7 @@ def learn_entries(texts: DataFrame, labelled: DataFrame, toxic: int, clean: int)
     lost = parts.where(F.col("t") >= LITTLE * F.col("part_t")).select(F.col("part").alias("entry"))
     chosen = cut(told.join(gained.union(lost).distinct(), "entry", "left_anti"))
     entry_of = counts.where("t > 0").select("word", entries).join(chosen, "entry").select("word", "entry", "t")
-    own = _emitted(texts, labelled.where("toxic = 1"), _words, "array<string>").select("id", F.explode("made").alias("word"))
+    own = _emitted(texts, ship(bit_filter(labelled.where("toxic = 1"), F.col("id"))), _words, "array<string>").select("id", F.explode("made").alias("word"))
     strongest = own.join(entry_of, "word").groupBy("id").agg(F.max_by("entry", F.struct("t", "entry")).alias("entry"))
     counted = chosen.join(strongest.groupBy("entry").count(), "entry", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     kept = counted.where((F.col("count") >= LEAST_TEXTS) | (F.col("t") >= SURE_TEXTS))
@@ -183,9 +183,9 @@ def learn_entries(texts: DataFrame, labelled: DataFrame, toxic: int, clean: int)
     return {r.entry: math.log((r.t + 0.5) / (toxic + 1)) - math.log((r.n - r.t + 0.5) / (clean + 1)) for r in rows}
 
 
-def learn_exceptions(texts: DataFrame, labelled: DataFrame, entries: dict[str, float]) -> list[str]:
+def learn_exceptions(texts: DataFrame, labelled: DataFrame, entries: dict[str, float], ship: Callable[[object], Broadcast]) -> list[str]:
     """Phrases around hits in the distinct labelled texts that are nearly always clean."""
-    shipped = texts.sparkSession.sparkContext.broadcast(tuple(entries.items()))
+    shipped = ship(tuple(entries.items()))
     made: list[ahocorasick.Automaton | None] = []
 
     def around(folded: str) -> list[str]:
@@ -193,7 +193,7 @@ def learn_exceptions(texts: DataFrame, labelled: DataFrame, entries: dict[str, f
             made.append(_automaton(dict(shipped.value), ()))
         return sorted({p for _, a, _ in hits(made[0], folded) for p in _phrases(folded, a)})
 
-    phrases = _emitted(texts, labelled, around, "array<string>").where(F.size("made") > 0).join(labelled, "id").select("toxic", F.explode("made").alias("phrase"))
+    phrases = _emitted(texts, ship(bit_filter(labelled, F.col("id"))), around, "array<string>").where(F.size("made") > 0).join(labelled, "id").select("toxic", F.explode("made").alias("phrase"))
     counts = phrases.groupBy("phrase").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
     clean = counts.where((F.col("n") - F.col("t") >= EXCEPTION_TEXTS) & (1 - F.col("t") / F.col("n") >= EXCEPTION_SHARE))
     return [r.phrase for r in sorted(clean.select("phrase", "n").collect(), key=lambda r: (-r.n, r.phrase))]
@@ -257,17 +257,22 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, floa
 
 def learn(texts: DataFrame, labels: DataFrame, exceptions: Sequence[str] = ()) -> Model:
     """A model from texts (id, text) and labels (id, toxic); only labelled texts are used."""
+    with for_now(texts.sparkSession) as ship:
+        return _learned(texts, labels, exceptions, ship)
+
+
+def _learned(texts: DataFrame, labels: DataFrame, exceptions: Sequence[str], ship: Callable[[object], Broadcast]) -> Model:
     labels = cut(labels.where("id is not null and toxic is not null").groupBy("id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic")))
-    labelled = cut(distinct_labelled(texts, labels))
+    known = ship(bit_filter(labels, F.col("id")))
+    labelled = cut(distinct_labelled(texts, labels, known))
     total = labelled.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
     toxic, clean = int(total[0]), int(total[1] - total[0])
-    entries = learn_entries(texts, labelled, toxic, clean) if toxic and clean else {}
-    excused = tuple(dict.fromkeys([*(f" {' '.join(fold(e).split())} " for e in exceptions), *(learn_exceptions(texts, labelled, entries) if entries else [])]))
-    shipped = texts.sparkSession.sparkContext.broadcast(bit_filter(labels, F.col("id")))
+    entries = learn_entries(texts, labelled, toxic, clean, ship) if toxic and clean else {}
+    excused = tuple(dict.fromkeys([*(f" {' '.join(fold(e).split())} " for e in exceptions), *(learn_exceptions(texts, labelled, entries, ship) if entries else [])]))
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(in_filter(shipped.value, np.asarray(batch.column(0).fill_null(0)).astype(np.int64))))
+            yield batch.filter(pa.array(in_filter(known.value, np.asarray(batch.column(0).fill_null(0)).astype(np.int64))))
 
     own = packed(texts.where("id is not null").mapInArrow(mine, texts.schema))
     scored = _sums(own, entries, excused, "text").withColumn("id", F.col("row.id")).drop("row").join(labels, "id")

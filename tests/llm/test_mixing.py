@@ -75,3 +75,15 @@ def test_messy_rows_and_no_rows(messy, no_docs):
 def test_all_sizes_zero(docs_of):
     rows = mixing.mixed(docs_of(["", None, " "])).collect()
     assert [(r.target, r.taken) for r in rows] == [(0.0, 0)] * 3
+
+
+def test_texts_are_read_for_their_sizes_once_and_for_the_rows_once(spark, docs):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = mixing.mixed(docs.mapInArrow(counted, docs.schema), block=64).collect()
+    assert read.value == 2 * len(rows)

@@ -7,7 +7,7 @@ import pytest
 
 from llm.conftest import prose
 from quarterwise.llm import near_dedup
-from quarterwise.llm.components import components
+from quarterwise.llm.components import components, roots
 
 
 def shingles(text, k):
@@ -141,6 +141,12 @@ def test_links_that_are_stars_need_no_round(spark, monkeypatch):
     assert dict(components(stars.union(stars.sparkSession.createDataFrame([(9, 6)], "a bigint, b bigint"))).collect()) == dict.fromkeys([1, 2, 5, 6, 9], 1) and done
 
 
+def test_roots_of_stars_are_their_links_without_another_shuffle(spark):
+    out = roots(spark.createDataFrame([(1, 5), (6, 5), (2, 9), (9, 2), (4, 4)], "a bigint, b bigint"))
+    assert sorted(map(tuple, out.collect())) == [(5, 1), (6, 1), (9, 2)]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_messy_rows(messy, no_docs):
     rows = [(r.doc_id, r.text) for r in messy.select("doc_id", "text").collect()]
     got = near_dedup.near_copies(messy).collect()

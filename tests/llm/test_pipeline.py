@@ -1,3 +1,4 @@
+import os
 import re
 
 import duckdb
@@ -95,3 +96,12 @@ def test_sql(spark, small, name):
 
 def test_decontamination_parameters():
     assert decontamination.LEAST_COVERAGE == 0.5 and decontamination.SEED == 5
+
+
+def test_filters_of_finished_steps_leave_no_file_on_the_driver(spark, small):
+    docs, folder = spark.read.parquet(f"{small}/documents.parquet"), spark.sparkContext._temp_dir
+    for name, stage in corpus_pipeline.STAGES:
+        before = set(os.listdir(folder))
+        stage(spark, docs, small).count()
+        left = [os.path.getsize(f"{folder}/{f}") for f in set(os.listdir(folder)) - before]
+        assert sum(left) < 1 << 20, name
