@@ -39,6 +39,10 @@ END = np.uint64(0x656E64)
 TEXT_BYTES = 2 << 20
 #: Bytes of symbols that a round works on at once: steps cost less with more texts in each.
 ROUND_BYTES = 4 << 20
+#: Tokens whose emissions are added up at once: they and the sums stay in the processor's cache.
+COUNTED = 1 << 15
+#: Tokens of texts that are scored together, unless a slice has more.
+SCORED = 1 << 20
 
 
 @dataclass
@@ -122,40 +126,44 @@ class _Steps:
     states: np.ndarray
     factors: np.ndarray
     begin: list[int]
+    rank: np.ndarray
+    order: np.ndarray
 
 
-def _recursion(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, _Steps]:
-    """Natural log likelihood of each sequence by the scaled forward recursion.
+def _recursion(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray, keep: bool = True) -> _Steps:
+    """The scaled forward recursion over all sequences; without `keep`, only the last step's states are held.
 
     What does not depend on the step before is done for all steps at once, so a step is few operations, however few sequences are as long.
     """
     place, rank, begin, order = _by_time(first)
-    s = _Steps(symbols[place], np.zeros(0), np.zeros(0), np.empty(len(place), m.emit.dtype), begin.tolist())
-    s.emitted = np.take(np.ascontiguousarray(m.emit.T), s.symbols, axis=1)
-    s.states = np.empty_like(s.emitted)
+    s = _Steps(symbols[place].astype(np.intp), np.zeros(0), np.zeros(0), np.empty(len(place), m.emit.dtype), begin.tolist(), rank, order)
+    s.emitted = np.take(np.ascontiguousarray(m.emit.T), s.symbols, axis=1, mode="clip")
+    s.states = np.empty_like(s.emitted if keep else s.emitted[:, : len(order)])
     back, ones, before = np.ascontiguousarray(m.move.T), np.ones(len(m.move), m.emit.dtype), 0
     for a, b in zip(s.begin[:-1], s.begin[1:], strict=True):
         now = s.emitted[:, a:b] * (back @ s.states[:, before : before + b - a] if a else start[:, None])
         factor = np.matmul(ones, now, out=s.factors[a:b])
-        np.divide(now, factor, out=s.states[:, a:b])
-        before = a
-    out = np.zeros(len(order))
-    out[order] = np.bincount(rank, np.log(s.factors, dtype=np.float64), len(order))
-    return out, s
+        to = a if keep else 0
+        np.divide(now, factor, out=s.states[:, to : to + b - a])
+        before = to
+    return s
 
 
 def _forward(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
     """Log likelihoods; with `keep`, all scaled states and factors as well."""
-    logs, s = _recursion(m, start, symbols, first)
+    s = _recursion(m, start, symbols, first, keep)
+    logs = np.zeros(len(s.order))
+    logs[s.order] = np.bincount(s.rank, np.log(s.factors, dtype=np.float64), len(logs))
     return (logs, s.states, s.factors) if keep else (logs, None, None)
 
 
 def _expected(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     """Log likelihood and expected numbers of moves and emissions, in the precision of the model; their sums are doubles."""
-    logs, s = _recursion(m, start, symbols, first)
+    s = _recursion(m, start, symbols, first)
+    log = float(np.log(s.factors).sum(dtype=np.float64))
     move, emit = np.zeros(m.move.shape), np.zeros(m.emit.shape)
     s.emitted /= s.factors
-    beta = np.ones((len(m.move), len(logs)), m.emit.dtype)
+    beta = np.ones((len(m.move), len(s.order)), m.emit.dtype)
     for t in range(len(s.begin) - 2, -1, -1):
         a, b = s.begin[t], s.begin[t + 1]
         after = beta[:, : b - a]
@@ -166,9 +174,11 @@ def _expected(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray)
         s.states[:, a:b] *= after  # now the states' shares
         if t:
             np.matmul(m.move, weighed, out=after)
-    for k, gamma in enumerate(s.states):
-        emit[:, k] = np.bincount(s.symbols, gamma, len(emit))
-    return float(logs.sum()), move * m.move, emit
+    for at in range(0, len(s.symbols), COUNTED):
+        there = s.symbols[at : at + COUNTED]
+        for k, gamma in enumerate(s.states[:, at : at + COUNTED]):
+            emit[:, k] += np.bincount(there, gamma, len(emit))
+    return log, move * m.move, emit
 
 
 def _coded(texts: DataFrame, v) -> DataFrame:
@@ -255,26 +265,39 @@ def _scored(rows: DataFrame, v, m: Hmm) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, voc = shipped.value, v.value
+        held: list[tuple[np.ndarray, np.ndarray, list[pa.Array]]] = []
+
+        def together() -> Iterator[pa.RecordBatch]:
+            # steps cost less with more texts in each
+            sizes = np.concatenate([n for _, n, _ in held])
+            logs, _, _ = _forward(own, own.start, np.concatenate([x for x, _, _ in held]), np.concatenate([[0], np.cumsum(sizes)]), keep=False)
+            at = 0
+            for _, n, columns in held:
+                model = pa.array(logs[at : at + len(n)] / math.log(10))
+                at += len(n)
+                yield pa.RecordBatch.from_arrays([*columns[:5], model, columns[5]], names=["row", "n_tokens", "head_known", "head_logs", "inner_logs", "model_logs", "rare"])
+            held.clear()
+
         for part, data, offsets in slices(batches, "text", TEXT_BYTES):
             symbols, hashes, count, first = _symbols(voc, data, offsets)
-            logs, _, _ = _forward(own, own.start, symbols, first, keep=False)
             known = np.log10(np.maximum(count, 0) + 0.5)
             rare = count < 0
             inner = np.where(symbols > voc.words, np.where(rare, 0, known) - np.log10(voc.class_mass)[np.maximum(symbols - voc.words - 1, 0)], 0.0)
             add = lambda x: np.add.reduceat(x, first[:-1])
             bounds = np.concatenate([[0], np.cumsum(add(rare.astype(np.int64)))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(part.schema.get_field_index("row")),
-                    pa.array(np.diff(first)),
-                    pa.array(add((count > 0).astype(np.int64))),
-                    pa.array(add(np.where(rare, 0, known))),
-                    pa.array(add(inner)),
-                    pa.array(logs / math.log(10)),
-                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(hashes[rare].view(np.int64))),
-                ],
-                names=["row", "n_tokens", "head_known", "head_logs", "inner_logs", "model_logs", "rare"],
-            )
+            columns = [
+                part.column(part.schema.get_field_index("row")),
+                pa.array(np.diff(first)),
+                pa.array(add((count > 0).astype(np.int64))),
+                pa.array(add(np.where(rare, 0, known))),
+                pa.array(add(inner)),
+                pa.ListArray.from_arrays(pa.array(bounds), pa.array(hashes[rare].view(np.int64))),
+            ]
+            held.append((symbols, np.diff(first), columns))
+            if sum(len(x) for x, _, _ in held) >= SCORED:
+                yield from together()
+        if held:
+            yield from together()
 
     return rows.mapInArrow(run, schema)
 

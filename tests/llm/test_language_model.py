@@ -166,3 +166,27 @@ def test_expected_counts_in_single_precision_and_steps_of_all_batches():
     batches = [pa.record_batch({"symbols": pa.array([bytes([k]) * 10 * n for n in range(4)], pa.binary())}) for k in range(9)]
     merged = list(lm._together(iter(batches), 200))
     assert len(merged) < len(batches) and [x for b in merged for x in b.column(0).to_pylist()] == [x for b in batches for x in b.column(0).to_pylist()]
+
+
+def test_counts_and_scores_do_not_depend_on_what_is_worked_on_together(docs_of, monkeypatch):
+    draw = np.random.default_rng(4)
+    m = lm.Hmm(draw.dirichlet([1] * 8), draw.dirichlet([1] * 8, 8), draw.dirichlet([1] * 50, 8).T)
+    first = np.concatenate([[0], np.cumsum([70, 0, 1, 900, 33])])
+    flat = draw.integers(0, 50, first[-1])
+    train = docs_of([prose(1 + 97 * k % 400, k) for k in range(40)] + ["", None])
+    rows = train.select(F.struct("doc_id").alias("row"), "text").coalesce(1)
+    monkeypatch.setattr(lm, "TEXT_BYTES", 1000)
+    out = []
+    for counted, scored in ((7, 1), (1 << 15, 1 << 20)):
+        monkeypatch.setattr(lm, "COUNTED", counted)
+        log, move, emit = lm._expected(m, m.start, flat, first)
+        logs, states, _ = lm._forward(m, m.start, flat, first, keep=True)
+        assert log == pytest.approx(logs.sum()) and np.allclose(lm._forward(m, m.start, flat, first, keep=False)[0], logs) and states.shape == (8, 1004)
+        counts = lm.hash_counts(train, lm.CLASSES)
+        v = Shipped(train.sparkSession, lm.vocabulary(counts, 42))
+        hmm = lm.train(train.select("text"), v, rounds=0, warm_rounds=0)
+        monkeypatch.setattr(lm, "SCORED", scored)
+        got = {r.row.doc_id: tuple(r)[1:6] + (r.model_logs,) for r in lm._scored(rows, v, hmm).collect()}
+        out.append((move, emit, got))
+    assert np.allclose(out[0][0], out[1][0]) and np.allclose(out[0][1], out[1][1])
+    assert len(out[0][2]) == 42 and all(a == pytest.approx(out[1][2][k]) for k, a in out[0][2].items())
