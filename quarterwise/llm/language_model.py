@@ -41,15 +41,20 @@ TEXT_BYTES = 2 << 20
 ROUND_BYTES = 4 << 20
 #: Tokens whose emissions are added up at once: they and the sums stay in the processor's cache.
 COUNTED = 1 << 15
+#: A round's tokens that are worked on together, which stay in the processor's cache, and the most steps that these may be.
+PART, MOST_STEPS = 1 << 15, 64
+#: Steps after which a round scales its sums to 1, or each one where a sum has come below FAR or above 1 / FAR.
+SCALED, FAR = 8, 1e-9
 #: Tokens of texts that are scored together, unless a slice has more.
 SCORED = 1 << 20
 
 
 @dataclass
 class Vocabulary:
-    """Sorted hashes of head words with counts and symbols, and each class's mass in half-count-smoothed words."""
+    """Sorted hashes of head words with counts and symbols, where their first bits lead, and each class's mass in half-count-smoothed words."""
 
     head: np.ndarray
+    leading: np.ndarray
     count: np.ndarray
     symbol: np.ndarray
     class_mass: np.ndarray
@@ -88,7 +93,24 @@ def vocabulary(counts: DataFrame, texts: int, head_words: int = HEAD, words: int
     unigram[symbol[own]] = n[own] + 0.5
     unigram[words + 1 :] = classes
     order = np.argsort(hashes)
-    return Vocabulary(hashes[order], n[order], symbol[order].astype(np.int32), classes, tokens, distinct, words, unigram / unigram.sum())
+    return Vocabulary(hashes[order], _leading(hashes[order]), n[order], symbol[order].astype(np.int32), classes, tokens, distinct, words, unigram / unigram.sum())
+
+
+def _leading(head: np.ndarray) -> np.ndarray:
+    """Where the hashes of each value of their first bits begin in sorted ones, twice to four times as many values as hashes."""
+    bits = len(head).bit_length() + 1
+    return np.searchsorted(head, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.int32)
+
+
+def _places(head: np.ndarray, leading: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """As np.searchsorted(head, hashes): few hashes share their first bits, so few steps lead from these to the place."""
+    place = leading[hashes >> np.uint64(65 - len(leading).bit_length())]
+    head = np.append(head, np.uint64(2**64 - 1))
+    later = np.flatnonzero(head[place] < hashes)
+    while len(later):
+        place[later] += 1
+        later = later[head[place[later]] < hashes[later]]
+    return place
 
 
 def _symbols(v: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -97,7 +119,7 @@ def _symbols(v: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     w = words(data, offsets)
     hashes = word_hashes(data, w)
     ends = w.first[1:]
-    place = np.searchsorted(v.head, hashes)
+    place = _places(v.head, v.leading, hashes)
     place[place == len(v.head)] = 0
     known = v.head[place] == hashes
     symbol = np.where(known, v.symbol[place], word_marks(data, w.start, w.end, len(v.class_mass)) + v.words + 1).astype(np.int32)
@@ -157,28 +179,114 @@ def _forward(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray,
     return (logs, s.states, s.factors) if keep else (logs, None, None)
 
 
+def _parts(size: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Steps that are worked on together, for sequences from long to short: the first one, how many, and how many sequences reach the first and the last."""
+    out, at = [], 0
+    while at < size.max(initial=0):
+        n = int(np.searchsorted(-size, -at))
+        steps = min(max(PART // n, SCALED), MOST_STEPS, int(size[0]) - at)
+        out.append((at, steps, n, int(np.searchsorted(-size, -(at + steps), "right"))))
+        at += steps
+    return out
+
+
+def _scaled_steps(states: np.ndarray, emitted: np.ndarray, before: np.ndarray | None, start: np.ndarray, move: np.ndarray, often: int) -> dict[int, np.ndarray]:
+    """Fills states (steps x sequences x states), their sums made 1 every `often` steps and in the last one; these steps' factors."""
+    factors, ones = {}, np.ones(len(move), move.dtype)
+    for t, (now, shares) in enumerate(zip(states, emitted, strict=True)):
+        if before is None:
+            np.multiply(shares, start, now)
+        else:
+            np.dot(before[: len(now)], move, now)
+            np.multiply(now, shares, now)
+        if (t + 1) % often == 0 or t + 1 == len(states):
+            factors[t] = np.dot(now, ones)
+            np.divide(now, factors[t][:, None], now)
+        before = now
+    return factors
+
+
 def _expected(m: Hmm, start: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Log likelihood and expected numbers of moves and emissions, in the precision of the model; their sums are doubles."""
-    s = _recursion(m, start, symbols, first)
-    log = float(np.log(s.factors).sum(dtype=np.float64))
-    move, emit = np.zeros(m.move.shape), np.zeros(m.emit.shape)
-    s.emitted /= s.factors
-    beta = np.ones((len(m.move), len(s.order)), m.emit.dtype)
-    for t in range(len(s.begin) - 2, -1, -1):
-        a, b = s.begin[t], s.begin[t + 1]
-        after = beta[:, : b - a]
-        if t:
-            before = s.begin[t - 1]
-            weighed = s.emitted[:, a:b] * after
-            move += s.states[:, before : before + b - a] @ weighed.T
-        s.states[:, a:b] *= after  # now the states' shares
-        if t:
-            np.matmul(m.move, weighed, out=after)
-    for at in range(0, len(s.symbols), COUNTED):
-        there = s.symbols[at : at + COUNTED]
-        for k, gamma in enumerate(s.states[:, at : at + COUNTED]):
-            emit[:, k] += np.bincount(there, gamma, len(emit))
-    return log, move * m.move, emit
+    """Log likelihood and expected numbers of moves and emissions, in the precision of the model; their sums are doubles.
+
+    Sequences go on to the end of the steps they end in with a symbol that every state emits for certain and that is not counted. Emissions are
+    relative to their symbol's mean over the states, so sums stay near 1 and need not be made 1 in every step; where they do not, they are.
+    """
+    z, s = m.emit.shape
+    kind = m.emit.dtype
+    mean = m.emit.mean(axis=1, dtype=np.float64)
+    mean[mean == 0] = 1
+    relative = np.ones((z + 1, s), kind)
+    relative[:z] = m.emit / mean[:, None]
+    symbols = symbols.astype(np.min_scalar_type(z), copy=False)
+    log = float(np.bincount(symbols, minlength=z) @ np.log(mean))
+    size = np.diff(first)
+    order = np.argsort(-size, kind="stable")
+    size, begin = size[order], first[:-1][order]
+    parts = _parts(size)
+    ends = np.cumsum([steps * n for _, steps, n, _ in parts], dtype=np.int64).tolist()
+    most = max((steps * n for _, steps, n, _ in parts), default=0)
+    there, states = np.empty(sum(ends[-1:]), symbols.dtype), np.empty((sum(ends[-1:]), s), kind)
+    emitted, after = np.empty((most, s), kind), np.empty((most, s), kind)
+    forth, back = np.ascontiguousarray(m.move), np.ascontiguousarray(m.move.T)
+
+    def of(part: int, whole: np.ndarray) -> np.ndarray:
+        _, steps, n, _ = parts[part]
+        return whole[ends[part] - steps * n : ends[part]].reshape(steps, n, *whole.shape[1:])
+
+    def shares(part: int) -> np.ndarray:
+        at = of(part, there).astype(np.intp)
+        return np.take(relative, at, axis=0, out=emitted[: at.size].reshape(*at.shape, s), mode="clip")
+
+    factors: list[dict[int, np.ndarray]] = []
+    before = None
+    for part, (at, steps, n, full) in enumerate(parts):
+        step = np.arange(at, at + steps)[:, None]
+        np.take(symbols, begin[:n] + step, out=of(part, there), mode="clip")
+        of(part, there)[:, full:][step >= size[full:n]] = z
+        now, x = of(part, states), shares(part)
+        for often in (SCALED, 1):
+            with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+                found = _scaled_steps(now, x, before, start, forth, often)
+            every = np.concatenate(list(found.values()))
+            if every.min() > FAR and every.max() < 1 / FAR:
+                break
+        log += float(np.log(every, dtype=np.float64).sum())
+        factors.append(found)
+        before = now[-1]
+    move, emit = np.zeros((s, s)), np.zeros((z + 1, s))
+    beta, open_to = np.ones((len(size), s), kind), len(there)
+    for part in range(len(parts) - 1, -1, -1):
+        _, steps, n, full = parts[part]
+        now, weighed, b = of(part, states), shares(part), after[: steps * n].reshape(steps, n, s)
+        b[-1] = beta[:n]
+        for t in range(steps - 1, -1, -1):
+            np.multiply(weighed[t], b[t], weighed[t])
+            if t in factors[part]:
+                np.divide(weighed[t], factors[part][t][:, None], weighed[t])
+            np.dot(weighed[t], back, b[t - 1] if t else beta[:n])
+        weighed[:, full:][of(part, there)[:, full:] == z] = 0
+        move += now[:-1].reshape(-1, s).T @ weighed[1:].reshape(-1, s)
+        if part:
+            move += of(part - 1, states)[-1, :n].T @ weighed[0]
+        np.multiply(now, b, now)  # now the states' shares
+        done = ends[part] - steps * n
+        if open_to - done >= COUNTED or not part:
+            for at in range(done, open_to, COUNTED):
+                to = min(at + COUNTED, open_to)
+                _count(emit, there[at:to], states[at:to])
+            open_to = done
+    return log, move * m.move, emit[:z]
+
+
+def _count(emit: np.ndarray, symbols: np.ndarray, shares: np.ndarray) -> None:
+    """Adds the shares (tokens x states) to their symbols' rows, two states at a time as one complex number."""
+    pairs = shares.view(np.result_type(shares, np.complex64)) if shares.shape[1] % 2 == 0 else shares
+    sums = np.zeros((pairs.shape[1], len(emit)), pairs.dtype)
+    at = symbols.astype(np.intp)
+    for own, pair in zip(sums, pairs.T, strict=True):
+        np.add.at(own, at, pair)
+    emit += np.ascontiguousarray(sums.T).view(shares.dtype)
 
 
 def _coded(texts: DataFrame, v) -> DataFrame:

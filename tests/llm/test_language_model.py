@@ -190,3 +190,47 @@ def test_counts_and_scores_do_not_depend_on_what_is_worked_on_together(docs_of,
         out.append((move, emit, got))
     assert np.allclose(out[0][0], out[1][0]) and np.allclose(out[0][1], out[1][1])
     assert len(out[0][2]) == 42 and all(a == pytest.approx(out[1][2][k]) for k, a in out[0][2].items())
+
+
+def test_a_round_holds_a_tokens_states_once_and_little_more():
+    """Each state of a token takes 4 bytes; further arrays as long as these were half of a round's time."""
+    import tracemalloc
+
+    draw = np.random.default_rng(8)
+    m = lm.Hmm(*(x.astype(np.float32) for x in (draw.dirichlet([1] * 8), draw.dirichlet([1] * 8, 8), draw.dirichlet([1] * 300, 8).T)))
+    first = np.concatenate([[0], np.cumsum(draw.integers(0, 600, 3000))])
+    flat = draw.integers(0, 300, first[-1]).astype(np.uint16)
+    tracemalloc.start()
+    lm._expected(m, m.start, flat, first)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 48 * len(flat)
+
+
+@pytest.mark.parametrize("part, most_steps", [(1, 1), (50, 3), (1 << 15, 64)])
+def test_sums_far_from_one_are_scaled_in_every_step(monkeypatch, part, most_steps):
+    """Two states that seldom change, each with words of its own, and texts of both kinds by turns: eight steps are beyond single precision."""
+    move = np.array([[1 - 1e-7, 1e-7], [1e-7, 1 - 1e-7]])
+    emit = np.array([[0.5, 1e-7], [0.5 - 1e-7, 1e-7], [1e-7, 0.5], [1e-7, 0.5 - 1e-7]])
+    seqs = [[0, 2] * 40, [1, 1, 0], [], [3], [2, 0, 3, 1] * 5, [0, 1] * 30]
+    first, flat = np.concatenate([[0], np.cumsum([len(s) for s in seqs])]), np.array(sum(seqs, []))
+    m = lm.Hmm(np.array([0.5, 0.5]), move, emit)
+    single = lm.Hmm(*(x.astype(np.float32) for x in (m.start, m.move, m.emit)))
+    monkeypatch.setattr(lm, "PART", part)
+    monkeypatch.setattr(lm, "MOST_STEPS", most_steps)
+    got = lm._expected(single, single.start, flat, first)
+    monkeypatch.setattr(lm, "SCALED", 1)
+    want = lm._expected(m, m.start, flat, first)
+    assert want[0] == pytest.approx(lm._forward(m, m.start, flat, first, keep=False)[0].sum())
+    assert want[2].sum() == pytest.approx(len(flat)) and want[1].sum() == pytest.approx(len(flat) - 5)
+    assert got[0] == pytest.approx(want[0], rel=1e-5) and np.allclose(got[1], want[1], rtol=1e-4, atol=1e-4) and np.allclose(got[2], want[2], rtol=1e-4, atol=1e-4)
+
+
+def test_places_by_first_bits_are_those_of_a_search():
+    draw = np.random.default_rng(2)
+    for n in (1, 2, 3, 4, 1000, 70_000):
+        head = np.sort(draw.integers(0, 2**64, n, dtype=np.uint64))
+        head[: n // 2] >>= np.uint64(9)  # many that share their first bits
+        head.sort()
+        ask = np.concatenate([draw.integers(0, 2**64, 5000, dtype=np.uint64), head, head + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+        assert (lm._places(head, lm._leading(head), ask) == np.searchsorted(head, ask)).all()
